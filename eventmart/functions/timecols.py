@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +43,15 @@ def time_literal(value: datetime | str | Column | None) -> Column:
 
 
 def seconds_interval(seconds: float) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds).cast("decimal(18,6)"))
+    return F.lit(timedelta(microseconds=round(seconds * 1_000_000)))
 
 
 def minutes_interval(minutes: int) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    return F.lit(timedelta(minutes=minutes))
 
 
 def days_interval(days: int) -> Column:
-    return F.make_dt_interval(F.lit(days))
+    return F.lit(timedelta(days=days))
 
 
 def window_start(ts: Column | str, minutes: int = 10) -> Column:

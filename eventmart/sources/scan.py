@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,7 +151,7 @@ def _mergeable_groups(spark: SparkSession, files: list[str]) -> list[tuple[list[
     """
     try:
         return [(files, spark.read.option("mergeSchema", "true").parquet(*files).schema)]
-    except (AnalysisException, PySparkException) as error:
+    except (Py4JJavaError, PySparkException) as error:
         if len(files) == 1 or "CANNOT_MERGE" not in str(error):
             raise
     half = len(files) // 2
@@ -165,7 +166,7 @@ def schema_union(spark: SparkSession, files: list[str]) -> DataFrame:
     """
     groups: dict[str, tuple[list[str], T.StructType]] = {}
     for paths, schema in _mergeable_groups(spark, sorted(files)):
-        known = groups.setdefault(schema.json(), ([], schema))
+        known = groups.setdefault(schema.simpleString(), ([], schema))
         known[0].extend(paths)
     wanted = reduce(_common_struct, [schema for _, schema in groups.values()])
     parts = []
