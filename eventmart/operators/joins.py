@@ -13,6 +13,37 @@ def _bucket(micros: Column, width: int) -> Column:
     return ((micros - F.pmod(micros, F.lit(width))) / F.lit(width)).cast("bigint")
 
 
+def spread_by_time(
+    left: DataFrame,
+    right: DataFrame,
+    left_ts: str,
+    right_ts: str,
+    within_seconds: float,
+    salts: int = 1,
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with an extra equality for an interval join, and that equality.
+
+    Time buckets are four intervals wide. A left row lies in exactly one bucket, a
+    right row goes to the one or two buckets its interval touches, so each pair meets
+    once and a heavy user spreads over time. With `salts` above one, left rows of a
+    bucket spread further over that many shares, each facing a copy of the right rows.
+    """
+    width, reach = int(within_seconds * 4_000_000), int(within_seconds * 1_000_000)
+    at = micros_since_epoch(right_ts)
+    buckets = F.sequence(_bucket(at - F.lit(reach), width), _bucket(at + F.lit(reach), width))
+    right = right.withColumn("_r_bucket", F.explode(buckets))
+    left_salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)) if salts > 1 else None
+    left = left.withColumn("_bucket", _bucket(micros_since_epoch(left_ts), width))
+    same = F.col("_bucket") == F.col("_r_bucket")
+    if left_salt is not None:
+        left = left.withColumn("_salt", left_salt)
+        right = right.withColumn(
+            "_r_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+        )
+        same = same & (F.col("_salt") == F.col("_r_salt"))
+    return left, right, same
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -22,6 +53,7 @@ def interval_join(
     within_seconds: float,
     take: dict[str, str],
     bucketed: bool = True,
+    salts: int = 1,
     how: str = "left",
 ) -> DataFrame:
     """Left rows with every right row of equal keys at most `within_seconds` away.
@@ -29,12 +61,12 @@ def interval_join(
     Both ends are inclusive and fractions of a second count. `take` maps the
     right columns to carry to their output names.
 
-    A plain equi-join on `keys` puts everything one user ever did into one task.
-    With `bucketed`, time buckets four intervals wide join the keys: a left row
-    lies in exactly one bucket, a right row goes to the one or two buckets its
-    interval touches, so each pair meets once and a heavy user spreads over time.
+    A plain equi-join on `keys` puts everything one user ever did into one task;
+    `bucketed` adds time to the join keys (see `spread_by_time`). Adaptive execution
+    splits a bucket that is still too large; `salts` does so without it.
     """
     span = seconds_interval(within_seconds)
+    columns = left.columns
     side = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
         F.col(right_ts).alias("_r_ts"),
@@ -44,18 +76,10 @@ def interval_join(
     for k in keys:
         condition = (F.col(k) == F.col(f"_r_{k}")) & condition
     if bucketed:
-        width = int(within_seconds * 4_000_000)
-        reach = int(within_seconds * 1_000_000)
-        at = micros_since_epoch("_r_ts")
-        side = side.withColumn(
-            "_r_bucket",
-            F.explode(F.sequence(_bucket(at - F.lit(reach), width), _bucket(at + F.lit(reach), width))),
-        )
-        left = left.withColumn("_bucket", _bucket(micros_since_epoch(left_ts), width))
-        condition = (F.col("_bucket") == F.col("_r_bucket")) & condition
-    kept = [c for c in left.columns if c != "_bucket"]
+        left, side, same = spread_by_time(left, side, left_ts, "_r_ts", within_seconds, salts)
+        condition = same & condition
     return left.join(side, condition, how).select(
-        *kept, *[F.col(f"_t_{name}").alias(name) for name in take.values()]
+        *columns, *[F.col(f"_t_{name}").alias(name) for name in take.values()]
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.session import cut_lineage
+from eventmart.session import stage
 
 # A value held by at least 1/HOT of all rows is joined by broadcast. At most HOT
 # values can be that frequent, which bounds the broadcast whatever the data.
@@ -56,18 +56,18 @@ def pct_rank_avg(
     counted. Rows are counted per distinct value first, so ties never pile up in a
     sort. Distinct values are cut at approximate quantiles into buckets: each
     bucket is ranked on its own and shifted by the rows in the buckets before it.
-    The input is read several times, so it is checkpointed.
+    The input is read several times, so it is staged once.
     """
     spark = df.sparkSession
     buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df = cut_lineage(df)
+    df = stage(df)
     ranked = F.col(col).isNotNull() & ~F.isnan(col)
     values = df.where(ranked)
     n, ranks = _value_ranks(values.select(col), col, out, scale, buckets)
     unranked = df.where(~ranked).withColumn(out, F.lit(None).cast("double"))
     if n == 0:
         return unranked
-    ranks = cut_lineage(ranks)
+    ranks = stage(ranks)
     hot = F.col("_ties") * HOT >= n
     frequent = F.broadcast(ranks.where(hot).select(col, out))
     rest = ranks.where(~hot).select(col, out)

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmart.functions.timecols import seconds_interval
 from eventmart.operators.dedup import latest_per_key
 from eventmart.operators.incremental import LOOKBACK_MINUTES
+from eventmart.operators.joins import spread_by_time
 from eventmart.plans import silver
 from eventmart.plans.bronze import parse_raw
 from eventmart.plans.refresh import Warehouse
@@ -76,10 +77,11 @@ def interval_join(
     within_seconds: float,
     take: dict[str, str],
     late_minutes: int = LOOKBACK_MINUTES,
+    salts: int = 1,
 ) -> DataFrame:
     """Stream-stream left outer interval join.
 
-    Both watermarks bound the state. A left row without a partner appears only once
+    State is spread over time buckets and, with `salts`, within a bucket. Both watermarks bound the state. A left row without a partner appears only once
     the watermark shows that none can come any more.
     """
     span = seconds_interval(within_seconds)
@@ -91,7 +93,10 @@ def interval_join(
     condition = (F.col("_r_ts") >= F.col(left_ts) - span) & (F.col("_r_ts") <= F.col(left_ts) + span)
     for k in keys:
         condition = (F.col(k) == F.col(f"_r_{k}")) & condition
-    joined = stream_time(left, left_ts, late_minutes).join(side, condition, "leftOuter")
+    timed, side, same = spread_by_time(
+        stream_time(left, left_ts, late_minutes), side, left_ts, "_r_ts", within_seconds, salts
+    )
+    joined = timed.join(side, same & condition, "leftOuter")
     return joined.select(
         *[F.col(c).cast("timestamp_ntz").alias(c) if c == left_ts else F.col(c) for c in left.columns],
         *[

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions.timecols import time_literal
@@ -35,95 +35,74 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pick(domain: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in domain]), (index + 1).cast("int"))
+def _pick(domain: list[str], index: str) -> str:
+    values = ", ".join(f"'{v}'" for v in domain)
+    return f"element_at(array({values}), cast({index} + 1 as int))"
 
 
-def _user() -> Column:
-    return F.concat(F.lit("user_"), F.col("user_id").cast("string"))
+def _time(as_text: bool) -> str:
+    """Event time as stored, or as the raw families write it: ISO-8601 text in UTC."""
+    text = "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+    return f"{text if as_text else 'ts'} AS timestamp"
 
 
-def _iso() -> Column:
-    """Event time as the raw families write it: ISO-8601 text in UTC."""
-    return F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+_USER = "concat('user_', user_id) AS user_id"
 
 
 def raw_device(ev: DataFrame, as_text: bool = False) -> DataFrame:
-    kind = F.col("event_type")
-    payload = F.struct(
-        F.lit("1920x1080").alias("screen_resolution"),
-        _pick(BROWSERS, F.col("k") % 4).alias("browser"),
-        F.lit("100.0").alias("browser_version"),
-        F.struct(
-            F.lit("Springfield").alias("city"),
-            F.lit("US").alias("country"),
-            (F.col("k") % 90).cast("double").alias("latitude"),
-            (-(F.col("k") % 180)).cast("double").alias("longitude"),
-        ).alias("location"),
-        F.struct(
-            F.concat(F.lit("s_"), F.col("user_id").cast("string"), F.lit("_"), (F.col("event_id") % 7).cast("string")).alias(
-                "session_id"
-            ),
-            F.lit("2024-01-01T00:00:00").alias("session_start"),
-            (F.col("k") % 2 == 0).alias("is_new_session"),
-        ).alias("session"),
-        F.struct(
-            (F.lit(100) + F.col("k") * 10).cast("bigint").alias("page_load_time_ms"),
-            F.lit("WiFi").alias("network_type"),
-        ).alias("performance"),
-    )
-    return ev.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        (_iso() if as_text else F.col("ts")).alias("timestamp"),
-        _user().alias("user_id"),
-        F.concat(F.lit("dev_"), F.col("user_id").cast("string"), F.lit("_"), (F.col("event_id") % 3).cast("string")).alias(
-            "device_id"
-        ),
-        _pick(DEVICE_TYPES, F.col("event_id") % 4).alias("device_type"),
-        _pick(PLATFORMS, F.col("user_id") % 5).alias("platform"),
-        F.when(kind == "view", "page_view")
-        .when(kind == "click", "click")
-        .when(kind == "signup", "form_submit")
-        .when(kind == "purchase", "video_complete")
-        .when(kind == "error", "scroll")
-        .alias("event_type"),
-        payload.alias("payload"),
+    return ev.selectExpr(
+        "cast(event_id as string) AS event_id",
+        _time(as_text),
+        _USER,
+        "concat('dev_', user_id, '_', event_id % 3) AS device_id",
+        f"{_pick(DEVICE_TYPES, 'event_id % 4')} AS device_type",
+        f"{_pick(PLATFORMS, 'user_id % 5')} AS platform",
+        """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'click' WHEN 'signup' THEN 'form_submit'
+          WHEN 'purchase' THEN 'video_complete' WHEN 'error' THEN 'scroll' END AS event_type""",
+        f"""named_struct(
+          'screen_resolution', '1920x1080',
+          'browser', {_pick(BROWSERS, 'k % 4')},
+          'browser_version', '100.0',
+          'location', named_struct('city', 'Springfield', 'country', 'US',
+            'latitude', cast(k % 90 as double), 'longitude', cast(-(k % 180) as double)),
+          'session', named_struct('session_id', concat('s_', user_id, '_', event_id % 7),
+            'session_start', '2024-01-01T00:00:00', 'is_new_session', k % 2 = 0),
+          'performance', named_struct('page_load_time_ms', cast(100 + k * 10 as bigint), 'network_type', 'WiFi')
+        ) AS payload""",
     )
 
 
 def raw_session(ev: DataFrame, as_text: bool = False) -> DataFrame:
-    return ev.where(F.col("event_type") == "signup").select(
-        F.concat(F.lit("sess_"), F.col("event_id").cast("string")).alias("session_id"),
-        (_iso() if as_text else F.col("ts")).alias("timestamp"),
-        _user().alias("user_id"),
-        _pick(PLATFORMS, F.col("user_id") % 5).alias("platform"),
-        F.lit("mobile").alias("device_type"),
-        (F.lit(30) + F.col("k") * 7).cast("bigint").alias("session_duration_seconds"),
-        (F.lit(1) + F.col("k") % 20).cast("bigint").alias("pages_viewed"),
-        (F.col("k") % 51).cast("bigint").alias("interactions"),
-        (F.col("k") < 5).alias("is_bounce"),
-        _pick(REFERRERS, F.col("k") % 5).alias("referrer"),
-        F.lit("/page/home").alias("landing_page"),
+    return ev.where("event_type = 'signup'").selectExpr(
+        "concat('sess_', event_id) AS session_id",
+        _time(as_text),
+        _USER,
+        f"{_pick(PLATFORMS, 'user_id % 5')} AS platform",
+        "'mobile' AS device_type",
+        "cast(30 + k * 7 as bigint) AS session_duration_seconds",
+        "cast(1 + k % 20 as bigint) AS pages_viewed",
+        "cast(k % 51 as bigint) AS interactions",
+        "k < 5 AS is_bounce",
+        f"{_pick(REFERRERS, 'k % 5')} AS referrer",
+        "'/page/home' AS landing_page",
     )
 
 
 def raw_transaction(ev: DataFrame, as_text: bool = False) -> DataFrame:
-    moved = F.when(F.col("event_id") % 14 == 0, 1).otherwise(0)
-    quantity = (F.lit(1) + F.col("k") % 5).cast("bigint")
-    return ev.where((F.col("event_type") == "purchase") & (F.col("event_id") % 4 == 0)).select(
-        F.concat(F.lit("txn_"), F.col("event_id").cast("string")).alias("transaction_id"),
-        (_iso() if as_text else F.col("ts")).alias("timestamp"),
-        _user().alias("user_id"),
-        _pick(PLATFORMS, (F.col("user_id") + moved) % 5).alias("platform"),
-        F.lit("prod_100").alias("product_id"),
-        _pick(PRODUCT_CATEGORIES, F.col("k") % 6).alias("product_category"),
-        quantity.alias("quantity"),
-        F.col("value").alias("unit_price"),
-        (F.col("value") * quantity).alias("total_amount"),
-        F.lit("USD").alias("currency"),
-        F.lit("credit_card").alias("payment_method"),
-        F.lit("US").alias("shipping_country"),
-        (F.col("k") % 5 == 0).alias("is_first_purchase"),
+    return ev.where("event_type = 'purchase' AND event_id % 4 = 0").selectExpr(
+        "concat('txn_', event_id) AS transaction_id",
+        _time(as_text),
+        _USER,
+        f"{_pick(PLATFORMS, '(user_id + if(event_id % 14 = 0, 1, 0)) % 5')} AS platform",
+        "'prod_100' AS product_id",
+        f"{_pick(PRODUCT_CATEGORIES, 'k % 6')} AS product_category",
+        "cast(1 + k % 5 as bigint) AS quantity",
+        "value AS unit_price",
+        "value * cast(1 + k % 5 as bigint) AS total_amount",
+        "'USD' AS currency",
+        "'credit_card' AS payment_method",
+        "'US' AS shipping_country",
+        "k % 5 = 0 AS is_first_purchase",
     )
 
 
