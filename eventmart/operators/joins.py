@@ -10,7 +10,7 @@ from eventmart.functions.timecols import micros_since_epoch, seconds_interval
 
 def _bucket(micros: Column, width: int) -> Column:
     """Floor division that also holds for times before the epoch."""
-    return ((micros - F.pmod(micros, F.lit(width))) / F.lit(width)).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, F.lit(width)), F.lit(width))
 
 
 def spread_by_time(

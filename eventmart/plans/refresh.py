@@ -13,6 +13,7 @@ from eventmart.plans import bronze, gold, silver
 from eventmart.plans.checks import SUITES
 from eventmart.plans.store import LayerTable
 from eventmart.schemas import FAMILIES
+from eventmart.session import require_utc
 from eventmart.sources.scan import SOURCE
 
 BRONZE = [f.table for f in FAMILIES.values()]
@@ -43,6 +44,9 @@ class Warehouse:
     lookback_minutes: int = LOOKBACK_MINUTES
     retract_unmatched: bool = False
 
+    def __post_init__(self) -> None:
+        require_utc(self.spark)
+
     def table(self, name: str) -> LayerTable:
         _, partition, sort, marks = _LAYOUT[name]
         return LayerTable(self.spark, f"{self.root}/{name.split('_')[0]}", name, partition, sort, marks)

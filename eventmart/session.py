@@ -31,6 +31,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Event time is zone-free UTC; in another session zone parsing and spans would shift."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"set spark.sql.session.timeZone to UTC, it is {zone}")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as `spark.checkpoint.dir` names it.
 
