@@ -13,7 +13,7 @@ from eventmart.plans import bronze, gold, silver
 from eventmart.plans.checks import SUITES
 from eventmart.plans.store import LayerTable
 from eventmart.schemas import FAMILIES
-from eventmart.session import require_utc
+from eventmart.session import require_utc, staging
 from eventmart.sources.scan import SOURCE
 
 BRONZE = [f.table for f in FAMILIES.values()]
@@ -57,6 +57,13 @@ class Warehouse:
             raise ValueError(f"{name} has not been built")
         return df
 
+    def register_views(self) -> list[str]:
+        """A temporary view per built table, for ad-hoc SQL; each keeps the version it saw."""
+        built = [name for name in _LAYOUT if self.table(name).exists()]
+        for name in built:
+            self.read(name).createOrReplaceTempView(name)
+        return built
+
     # ---- bronze ----
 
     def load_bronze(self, directory: str, family: str, as_of: datetime) -> int | None:
@@ -82,6 +89,8 @@ class Warehouse:
             "bounds": self._bounds(name),
         }
         retract = None
+        if name == "silver_user_activity" and self.retract_unmatched:
+            retract = silver.stale_unmatched
         if name == "silver_device_events":
             batch = silver.silver_device_events(self.read("bronze_device_events"), **options)
         elif name == "silver_transactions":
@@ -90,8 +99,6 @@ class Warehouse:
             batch = silver.silver_user_activity(
                 self.read("bronze_device_events"), self.read("bronze_session_events"), **options
             )
-            if self.retract_unmatched:
-                retract = silver.stale_unmatched(batch)
         return table.upsert(batch, _LAYOUT[name][0], retract=retract)
 
     # ---- gold ----
@@ -104,7 +111,8 @@ class Warehouse:
                 self.read("silver_user_activity"), self.read("silver_transactions"), as_of
             )
         else:
-            mart = gold.gold_user_engagement(self.read("silver_device_events"))
+            with staging(self.spark):
+                return self.table(name).replace(gold.gold_user_engagement(self.read("silver_device_events")))
         return self.table(name).replace(mart)
 
     def check(self, name: str) -> DataFrame:

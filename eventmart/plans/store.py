@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -164,12 +165,14 @@ class LayerTable:
         write = f"{version:010d}-{uuid.uuid4().hex}"
         path = f"{self.path}/data/{_STAMP}={write}"
         # The rebalance hint lets AQE split a day that holds most rows and merge small ones.
+        adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        if adaptive:
+            df = df.hint("rebalance", *([self.partition_by] if self.partition_by else []))
         if self.partition_by:
-            df = df.hint("rebalance", self.partition_by)
             order = [self.partition_by] + ([self.sort_by] if self.sort_by else [])
             df.sortWithinPartitions(*order).write.partitionBy(self.partition_by).parquet(path)
         else:
-            df.hint("rebalance").write.parquet(path)
+            df.write.parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
         part = F.col(self.partition_by).cast("string") if self.partition_by else F.lit(_WHOLE)
         rows = (
@@ -204,12 +207,12 @@ class LayerTable:
         key: str,
         writer: str | None = None,
         batch_id: int | None = None,
-        retract: DataFrame | None = None,
+        retract: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int | None:
         """Keyed upsert: stored rows with a key of the batch go, the batch rows come.
 
         A day whose stored rows are all kept is not rewritten, it only gains files.
-        `retract` is a further set of keys to remove. A `writer` that repeats a
+        `retract` derives further keys to remove from the rows just written. A `writer` that repeats a
         `batch_id` it has already committed changes nothing and gets None.
         """
         snapshot = self.snapshot()
@@ -217,7 +220,7 @@ class LayerTable:
             return None
         version = snapshot.version + 1 if snapshot else 1
         added = self._write(batch, version)
-        if snapshot and not added and retract is None and writer is None:
+        if snapshot and not added and writer is None:
             return snapshot.version
         schema = batch.schema
         entries = added
@@ -226,7 +229,7 @@ class LayerTable:
             known = set(schema.names)
             schema = T.StructType([*schema.fields, *[f for f in batch.schema.fields if f.name not in known]])
             kept = snapshot.entries
-            if added or retract is not None:
+            if added:
                 kept = self._without(snapshot, schema, self._batch_keys(added, batch.schema, key, retract), key, version)
             entries = kept + added
         batches = dict(snapshot.batches) if snapshot else {}
@@ -237,8 +240,9 @@ class LayerTable:
 
     def _batch_keys(self, added, schema, key, retract) -> DataFrame:
         """Keys to remove, read back from the files just written rather than recomputed."""
-        keys = self._read_entries(added, schema).select(key)
-        return keys if retract is None else keys.unionByName(retract.select(key))
+        rows = self._read_entries(added, schema)
+        keys = rows.select(key)
+        return keys if retract is None else keys.unionByName(retract(rows).select(key))
 
     def _without(self, snapshot, schema, keys: DataFrame, key: str, version: int) -> list[dict]:
         """Live entries after the rows with `keys` are gone; only days with hits are rewritten."""

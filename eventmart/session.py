@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,11 +79,19 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete what `stage` wrote in this process, once nothing reads it any more."""
-    conf = spark._jsc.hadoopConfiguration()
-    dropped = 0
-    while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        dropped += bool(path.getFileSystem(conf).delete(path, True))
-    return dropped
+@contextmanager
+def staging(spark: SparkSession):
+    """Delete what `stage` writes inside the block when it ends.
+
+    For jobs that store their result inside the block; a result still to be read
+    needs its staged rows.
+    """
+    start = len(_staged)
+    try:
+        yield
+    finally:
+        conf = spark._jsc.hadoopConfiguration()
+        for name in _staged[start:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        del _staged[start:]

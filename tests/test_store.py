@@ -122,6 +122,9 @@ def test_two_refreshes_equal_one(spark, sf_dir, tmp_path):
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).isEmpty(), name
     assert parts.read("silver_user_activity").count() >= whole.read("silver_user_activity").count()
+    assert "gold_user_engagement" in parts.register_views()
+    top = spark.sql("SELECT platform, total_events FROM gold_platform_events ORDER BY total_events DESC LIMIT 1").first()
+    assert top["total_events"] == max(r["total_events"] for r in parts.read("gold_platform_events").collect())
     for report in reports.values():
         assert [r["column"] for r in report.where("not passed").collect()] == []
 
@@ -134,3 +137,65 @@ def test_third_refresh_without_new_files_changes_nothing(spark, sf_dir, tmp_path
     before = w.read("silver_device_events").count(), w.read("bronze_session_events").count()
     w.refresh(directory, AS_OF, layers=("bronze", "silver"))
     assert (w.read("silver_device_events").count(), w.read("bronze_session_events").count()) == before
+
+
+def session_file(spark, directory, stamp, *rows):
+    schema = "session_id string, timestamp string, user_id string, platform string, pages_viewed bigint"
+    land_batch(spark.createDataFrame(list(rows), schema).coalesce(1), directory, "session", stamp)
+
+
+def device_file(spark, directory, stamp, *rows):
+    schema = "event_id string, timestamp string, user_id string, platform string"
+    df = spark.createDataFrame(list(rows), schema)
+    land_batch(df.withColumn("device_id", F.lit("d")).withColumn("event_type", F.lit("click")).coalesce(1), directory, "device", stamp)
+
+
+def test_batch_load_skips_a_late_smaller_name(spark, tmp_path):
+    w, source = Warehouse(spark, str(tmp_path / "w")), str(tmp_path / "in")
+    session_file(spark, source, "20240129_000010", ("a", "2024-01-29T10:00:00+00:00", "u", "p", 1))
+    w.load_bronze(source, "session", AS_OF)
+    session_file(spark, source, "20240129_000000", ("b", "2024-01-29T10:00:00+00:00", "u", "p", 1))
+    w.load_bronze(source, "session", AS_OF)
+    assert [r["session_id"] for r in w.read("bronze_session_events").collect()] == ["a"]
+
+
+def test_reemitted_session_keeps_the_latest_batch(spark, tmp_path):
+    w, source = Warehouse(spark, str(tmp_path / "w")), str(tmp_path / "in")
+    session_file(spark, source, "20240129_000000", ("a", "2024-01-28T10:00:00+00:00", "u", "p", 1))
+    w.load_bronze(source, "session", AS_OF)
+    session_file(spark, source, "20240129_000010", ("a", "2024-01-29T10:00:00+00:00", "u", "p", 2))
+    w.load_bronze(source, "session", AS_OF)
+    assert [r["pages_viewed"] for r in w.read("bronze_session_events").collect()] == [2]
+
+
+@pytest.mark.parametrize("retract", [False, True])
+def test_late_session_through_the_warehouse(spark, tmp_path, retract):
+    w, source = Warehouse(spark, str(tmp_path / "w"), retract_unmatched=retract), str(tmp_path / "in")
+    device_file(spark, source, "20240129_000000", ("e", "2024-01-29T10:05:00+00:00", "u", "p"))
+    session_file(spark, source, "20240129_000000", ("far", "2024-01-29T09:00:00+00:00", "u", "p", 1))
+    for family in ("device", "session"):
+        w.load_bronze(source, family, AS_OF)
+    w.build_silver("silver_user_activity", AS_OF)
+    session_file(spark, source, "20240129_000010", ("near", "2024-01-29T10:06:00+00:00", "u", "p", 1))
+    w.load_bronze(source, "session", AS_OF)
+    w.build_silver("silver_user_activity", AS_OF)
+    ids = sorted(r["activity_id"] for r in w.read("silver_user_activity").collect())
+    assert ids == (["e_near"] if retract else ["e_near", "e_no_session"])
+
+
+def test_boundary_window_is_kept_for_devices_and_dropped_for_activity(spark, tmp_path):
+    w, source = Warehouse(spark, str(tmp_path / "w")), str(tmp_path / "in")
+    device_file(spark, source, "20240129_000000", ("new", "2024-01-29T10:45:00+00:00", "u", "p"))
+    session_file(spark, source, "20240129_000000", ("s", "2024-01-29T09:00:00+00:00", "u", "p", 1))
+    for family in ("device", "session"):
+        w.load_bronze(source, family, AS_OF)
+    for name in ("silver_device_events", "silver_user_activity"):
+        w.build_silver(name, AS_OF)
+    late = [("edge", "2024-01-29T10:25:00+00:00", "u", "p"), ("in", "2024-01-29T10:35:00+00:00", "u", "p"), ("out", "2024-01-29T10:15:00+00:00", "u", "p")]
+    device_file(spark, source, "20240129_000010", *late)
+    w.load_bronze(source, "device", AS_OF)
+    for name in ("silver_device_events", "silver_user_activity"):
+        w.build_silver(name, AS_OF)
+    ids = lambda name: sorted(r["event_id"] for r in w.read(name).collect())
+    assert ids("silver_device_events") == ["edge", "in", "new"]
+    assert ids("silver_user_activity") == ["in", "new"]
