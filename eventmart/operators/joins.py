@@ -52,7 +52,6 @@ def interval_join(
     right_ts: str,
     within_seconds: float,
     take: dict[str, str],
-    bucketed: bool = True,
     salts: int = 1,
     how: str = "left",
 ) -> DataFrame:
@@ -61,9 +60,10 @@ def interval_join(
     Both ends are inclusive and fractions of a second count. `take` maps the
     right columns to carry to their output names.
 
-    A plain equi-join on `keys` puts everything one user ever did into one task;
-    `bucketed` adds time to the join keys (see `spread_by_time`). Adaptive execution
-    splits a bucket that is still too large; `salts` does so without it.
+    A plain equi-join on `keys` would compare everything one user ever did with
+    everything else of that user in one task, so time is part of the join keys (see
+    `spread_by_time`). Adaptive execution splits a bucket that is still too large;
+    `salts` does so without it.
     """
     span = seconds_interval(within_seconds)
     columns = left.columns
@@ -75,10 +75,8 @@ def interval_join(
     condition = F.col("_r_ts").between(F.col(left_ts) - span, F.col(left_ts) + span)
     for k in keys:
         condition = (F.col(k) == F.col(f"_r_{k}")) & condition
-    if bucketed:
-        left, side, same = spread_by_time(left, side, left_ts, "_r_ts", within_seconds, salts)
-        condition = same & condition
-    return left.join(side, condition, how).select(
+    left, side, same = spread_by_time(left, side, left_ts, "_r_ts", within_seconds, salts)
+    return left.join(side, same & condition, how).select(
         *columns, *[F.col(f"_t_{name}").alias(name) for name in take.values()]
     )
 

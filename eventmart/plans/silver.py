@@ -128,7 +128,7 @@ def silver_user_activity(
     as_of: AsOf = None,
     lookback_minutes: int = LOOKBACK_MINUTES,
     bounds: Bounds | None = None,
-    bucketed: bool = True,
+    salts: int = 1,
 ) -> DataFrame:
     """Device events with every session of the same user and platform within five minutes.
 
@@ -175,7 +175,7 @@ def silver_user_activity(
         "session_timestamp",
         SESSION_REACH_SECONDS,
         _SESSION_TAKE,
-        bucketed=bucketed,
+        salts=salts,
     )
     activity_id = F.concat(
         F.col("event_id"), F.lit("_"), F.coalesce(F.col("session_id"), F.lit(NO_SESSION))

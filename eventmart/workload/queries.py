@@ -85,12 +85,12 @@ def _silver_transactions(spark, sf_dir):
     )
 
 
-def _activity(spark, sf_dir, bucketed=True):
+def _activity(spark, sf_dir, salts=1):
     return silver.silver_user_activity(
         _bronze_devices(spark, sf_dir),
         fam.bronze(fam.events(spark, sf_dir), "session"),
         as_of=fam.AS_OF,
-        bucketed=bucketed,
+        salts=salts,
     )
 
 
@@ -503,7 +503,7 @@ _INTERVAL_SQL = """SELECT a.event_id, a.user_id, a.ts, b.event_id AS partner_id,
     ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 30 MINUTE AND a.ts + INTERVAL 30 MINUTE"""
 
 
-def _interval(spark, sf_dir, bucketed):
+def _interval(spark, sf_dir, salts):
     rows = fam.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     return interval_join(
         rows.drop("event_type"),
@@ -513,18 +513,18 @@ def _interval(spark, sf_dir, bucketed):
         "ts",
         1800,
         {"event_id": "partner_id", "ts": "partner_ts"},
-        bucketed=bucketed,
+        salts=salts,
     )
 
 
 @query(_INTERVAL_SQL)
 def interval_join_left(spark, sf_dir):
-    return _interval(spark, sf_dir, bucketed=False)
+    return _interval(spark, sf_dir, salts=1)
 
 
 @query(_INTERVAL_SQL)
-def interval_join_bucketed(spark, sf_dir):
-    return _interval(spark, sf_dir, bucketed=True)
+def interval_join_salted(spark, sf_dir):
+    return _interval(spark, sf_dir, salts=4)
 
 
 @query("SELECT * FROM conversion", ("conversion",))
@@ -845,8 +845,8 @@ def silver_user_activity(spark, sf_dir):
 
 
 @query("SELECT * FROM activity", ("activity",))
-def silver_user_activity_unbucketed(spark, sf_dir):
-    return _activity(spark, sf_dir, bucketed=False)
+def silver_user_activity_salted(spark, sf_dir):
+    return _activity(spark, sf_dir, salts=4)
 
 
 @query(

@@ -342,7 +342,7 @@ def sides(spark):
     return tuple(frame(spark, schema, *[(*r[:3], str(r[3])) for r in rows]) for rows in (left, right))
 
 
-@pytest.mark.parametrize("options", [{"bucketed": False}, {"bucketed": True}, {"salts": 4}])
+@pytest.mark.parametrize("options", [{}, {"salts": 4}])
 def test_interval_join_edges(sides, options):
     out = interval_join(*sides, ["user", "plat"], "t", "t", 300, {"id": "match"}, **options)
     assert sorted((r["id"], r["match"] or "-") for r in out.collect()) == [
@@ -350,7 +350,7 @@ def test_interval_join_edges(sides, options):
     ]
 
 
-@pytest.mark.parametrize("options", [{}, {"salts": 3}, {"bucketed": False}])
+@pytest.mark.parametrize("options", [{}, {"salts": 3}])
 def test_interval_join_against_brute_force(spark, options):
     """One user holds most rows, times straddle the epoch and bucket ends."""
     import random
