@@ -11,13 +11,16 @@ from eventmart.session import stage
 # A value held by at least 1/HOT of all rows is joined by broadcast. At most HOT
 # values can be that frequent, which bounds the broadcast whatever the data.
 HOT = 1000
+# Buckets need to be even, not fine: 512 sorts run side by side, while the quantile
+# sketches that every map task sends to the one merging task stay small.
+MOST_BUCKETS = 512
 
 
 def _split_points(values: DataFrame, col: str, buckets: int) -> tuple[int, list[float]]:
     shares = [i / buckets for i in range(1, buckets)]
     row = values.agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(col, shares, F.lit(10 * buckets)).alias("cuts"),
+        F.percentile_approx(col, shares, F.lit(4 * buckets)).alias("cuts"),
     ).first()
     cuts = sorted(set(row["cuts"] or []))
     return row["n"], [float("-inf"), *[c for c in cuts if c not in (float("-inf"), float("inf"))], float("inf")]
@@ -59,7 +62,7 @@ def pct_rank_avg(
     The input is read several times, so it is staged once.
     """
     spark = df.sparkSession
-    buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or min(MOST_BUCKETS, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     df = stage(df)
     ranked = F.col(col).isNotNull() & ~F.isnan(col)
     values = df.where(ranked)

@@ -36,6 +36,21 @@ ENGAGEMENT_WEIGHTS = {
 ENGAGEMENT_STEPS = [(90, "highly_engaged"), (70, "engaged"), (40, "moderate")]
 ENGAGEMENT_OTHER = "low"
 
+# What the engagement mart reads; project to these before storing an input just for it.
+ENGAGEMENT_INPUT = [
+    "event_id",
+    "event_timestamp",
+    "event_date",
+    "user_id",
+    "device_id",
+    "session_id",
+    "event_type",
+    "device_type",
+    "platform",
+    "browser",
+    "page_load_time_ms",
+]
+
 
 def platform_daily(events: DataFrame) -> DataFrame:
     """Events, users and devices per platform, event type, device type and day."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.timecols import time_literal
+from eventmart.plans.bronze import parse_raw
 from eventmart.plans.refresh import Warehouse
 from eventmart.plans.store import LayerTable
 from eventmart.session import shared_path
@@ -86,7 +87,7 @@ def stream_dedup_upsert(spark, sf_dir):
     for rows, stamp, kind in warehouse_rows:
         raw = fam.raw_device(rows, as_text=True)
         land_batch(raw.withColumn("event_type", kind) if kind is not None else raw, f"{work}/in", "device", stamp)
-        bronze = streams.parse_raw(streams.read_family(spark, f"{work}/in", "device"), "device", fam.LOADED_AT)
+        bronze = parse_raw(streams.read_family(spark, f"{work}/in", "device"), "device", fam.LOADED_AT)
         sink = streams.newest_wins_sink(table, "event_id", [SOURCE, "event_timestamp"], "dedup")
         streams.drain(bronze, sink, f"{work}/checkpoint")
     return table.read().select("event_id", "user_id", "event_type", "event_timestamp")
