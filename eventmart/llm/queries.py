@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, line_rules, mixing, packing, simhash
+from eventmart.llm import chat, line_rules, mixing, packing, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -133,3 +133,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     return mixing.decisions(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
