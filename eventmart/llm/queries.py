@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, line_rules, mixing, packing, simhash, templates
+from eventmart.llm import chat, disclosure, line_rules, mixing, packing, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -139,3 +139,26 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, and those of terms that disclose it."""
+    found = disclosure.spans_of(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in disclosure.KINDS])
+
+    def told(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    def of_kind(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    plain = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return found.select(
+        "doc_id",
+        *[of_kind(i).alias(f"n_{k}") for i, k in enumerate(disclosure.KINDS[:4])],
+        F.sha2(told("base"), 256).alias("base_sha256"),
+        told(F.sort_array(F.concat("base", plain))).alias("spans"),
+        F.size("terms").cast("long").alias("n_term"),
+    )
