@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, disclosure, line_rules, mixing, packing, simhash, templates
+from eventmart.llm import byte_cnn, chat, disclosure, line_rules, masked_lm, mixing, packing, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -162,3 +162,17 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
         told(F.sort_array(F.concat("base", plain))).alias("spans"),
         F.size("terms").cast("long").alias("n_term"),
     )
+
+
+@query()
+def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under the network trained on all of them."""
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.scored(docs, masked_lm.fit(docs))
+
+
+@query()
+def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.scored(docs, byte_cnn.fitted(docs, table(spark, sf_dir, "labels")))
