@@ -2,8 +2,8 @@
 
 A text's UTF-8 bytes pass `FILTERS` learned filters of `WIDTH` bytes; a filter is a table of a weight for each
 place and byte value. The responses of overlapping chunks (`CHUNK` bytes, a step of half a chunk) that
-cover the whole document are max-pooled; the mean and the maximum over all chunks go through one logistic
-unit to the probability of label 1.
+cover the whole document are max-pooled; the mean, the maximum and the minimum over all chunks go through one
+logistic unit to the probability of label 1.
 
 Fitting uses a bounded sample of labelled rows: at most `PER_CLASS` rows of each label, those of the smallest
 hashes, of at most `MOST_BYTES` characters; the class shares of all labelled rows correct the
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.text import keep_columns
 
-FILTERS = 16
+FILTERS = 24
 WIDTH = 5
 CHUNK = 256
-PER_CLASS = 1000
+PER_CLASS = 1500
 MOST_BYTES = 1 << 14
 EPOCHS = 10
 BATCH = 16
@@ -73,7 +73,7 @@ def half_maxima(p: Params, data: np.ndarray, where: bool = False):
 def probability(p: Params, data: np.ndarray) -> float:
     top, _, _ = half_maxima(p, data)
     chunks = np.maximum(np.maximum(top[1:], top[:-1]) + p["b"], 0)
-    logit = float(np.concatenate((chunks.mean(axis=0), chunks.max(axis=0))) @ p["w"] + p["a"][0])
+    logit = float(np.concatenate((chunks.mean(axis=0), chunks.max(axis=0), chunks.min(axis=0))) @ p["w"] + p["a"][0])
     return 1 / (1 + np.exp(-max(-60.0, min(60.0, logit))))
 
 
@@ -85,13 +85,14 @@ def gradient(p: Params, data: np.ndarray, label: int) -> tuple[float, Params]:
     at = np.where(first, place[:-1], place[1:])
     chunks = np.maximum(best + p["b"], 0)
     n, cols = len(chunks), np.arange(FILTERS)
-    widest = chunks.argmax(axis=0)
-    x = np.concatenate((chunks.mean(axis=0), chunks[widest, cols]))
+    widest, least = chunks.argmax(axis=0), chunks.argmin(axis=0)
+    x = np.concatenate((chunks.mean(axis=0), chunks[widest, cols], chunks[least, cols]))
     y = 1 / (1 + np.exp(-np.clip(x @ p["w"] + p["a"][0], -60, 60)))
     d = np.float32(y - label)
     grad = {"w": d * x, "a": np.array([d], np.float32), "T": np.zeros_like(p["T"])}
     dc = np.repeat(d * p["w"][None, :FILTERS] / n, n, axis=0)
-    dc[widest, cols] += d * p["w"][FILTERS:]
+    dc[widest, cols] += d * p["w"][FILTERS : 2 * FILTERS]
+    dc[least, cols] += d * p["w"][2 * FILTERS :]
     dc = np.where(chunks > 0, dc, 0)
     grad["b"] = dc.sum(axis=0)
     for k in range(WIDTH):
@@ -105,7 +106,7 @@ def fit(sample: list[tuple[bytes, int]], share: float, seed: int = 5, epochs: in
     p = {
         "T": rng.normal(0, 0.1, (WIDTH, 256, FILTERS)).astype(np.float32),
         "b": np.zeros(FILTERS, np.float32),
-        "w": rng.normal(0, 0.3, 2 * FILTERS).astype(np.float32),
+        "w": rng.normal(0, 0.3, 3 * FILTERS).astype(np.float32),
         "a": np.zeros(1, np.float32),
     }
     ones = sum(label for _, label in sample)
@@ -114,8 +115,8 @@ def fit(sample: list[tuple[bytes, int]], share: float, seed: int = 5, epochs: in
         p["a"][0] = np.log(max(share, 1e-3) / max(1 - share, 1e-3))
         return p
     data = [(np.frombuffer(text, np.uint8), label) for text, label in sample]
-    m, v, step = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2)), None, 0
-    m, v = m
+    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    step = 0
     for _ in range(epochs):
         order = rng.permutation(len(data))
         for a in range(0, len(order), BATCH):
