@@ -1,4 +1,53 @@
-"""Documents to packed token rows, stage by stage."""
+"""Documents to packed token rows: five stages, each stored before the next reads it."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from eventmart.llm import line_rules, mixing, packing, simhash, templates
+from eventmart.session import stage
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line rules keep, without the lines that fail them."""
+    return line_rules.cleaned(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return templates.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def token_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed token rows of all that is left."""
+    return packing.pack_tokens(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("source mixing", source_mix),
+    ("token packing", token_rows),
+]
+
+#: Rounding by chance and token ids are not SQL; tests hold run() against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over `documents`; between two of them rows are written as Parquet and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import byte_cnn, chat, disclosure, line_rules, masked_lm, mixing, packing, simhash, templates
+from eventmart.llm import byte_cnn, chat, disclosure, line_rules, masked_lm, mixing, packing, simhash, substrings, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -176,3 +176,18 @@ def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents")
     return byte_cnn.scored(docs, byte_cnn.fitted(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that stand elsewhere too."""
+    kept = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
