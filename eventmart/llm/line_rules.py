@@ -30,55 +30,69 @@ from eventmart.llm.text import SPACE, split_words, text_or_empty
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST_PERCENT = 50
-BOILERPLATE_WORDS = 40
+BOILERPLATE_CHARS = 300
+#: A separator or hung mark for so many characters of a line, or more, makes the rule.
+CHARS_PER_MARK = 24
 
 SYMBOLS = "#*$%&|<>"
+#: Any character that the counts of symbols, the navigation or the hung-mark rule look for.
+MARKS = r"[|>»•·!?#*$%&<]"
 SEPARATOR = r"(^|[\x20\x09-\x0D])[|>»•·]($|[\x20\x09-\x0D])"
 SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*[\x20\x09-\x0D]*$"
-#: A word that ends in two or more marks or symbols.
+#: A word that ends in two or more marks, or in a symbol.
 HUNG_WORD = r"([!?#*$%&<>]{2,}[.,]*|[#*$%&<>])($|[\x20\x09-\x0D])"
 #: Phrases of stock lines, matched in lower case.
 STOCK = (
-    r"(all rights reserved|licensed under|terms of (use|service)|privacy policy|cookie|"
-    r"enable javascript|click here|sign up|log ?in to|subscribe to|powered by|copyright (©|\(c\)))"
-)
+    "all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie",
+    "enable javascript", "click here", "sign up", "log in to", "login to", "subscribe to", "powered by",
+    "copyright ©", "copyright (c)",
+)
 
 KEPT, NAVIGATION, STOCK_LINE, PUNCTUATION = 0, 1, 2, 3
 
 
-def _hits(text: Column, pattern: str) -> Column:
-    """How often a one-character mark pattern is found: what replacing a hit by one letter fewer tells."""
-    return F.size(F.split(text, pattern)) - 1
+def has_stock(text: Column) -> Column:
+    low = F.lower(text)
+    found = F.contains(low, F.lit(STOCK[0]))
+    for phrase in STOCK[1:]:
+        found = found | F.contains(low, F.lit(phrase))
+    return found
 
 
-def line_fault(line: Column) -> Column:
-    """0 for a line to keep, else the first rule it breaks."""
-    n = F.size(split_words(line))
+def _dense(line: Column, pattern: str) -> Column:
+    """The pattern is found, and often for the line's length."""
+    return line.rlike(pattern) & ((F.size(F.split(line, pattern)) - 1) * CHARS_PER_MARK >= F.length(line))
+
+
+def line_fault(line: Column, marked: Column, stock: Column) -> Column:
+    """0 for a line to keep, else the first rule it breaks.
+
+    `marked` and `stock` say of the whole document whether such rules can apply at all.
+    """
     return (
-        F.when(~line.rlike("[^\\x20\\x09-\\x0D]"), F.lit(KEPT))
-        .when((line.rlike(SEPARATOR)) & (_hits(line, r"[|>»•·]") * 4 >= n), F.lit(NAVIGATION))
-        .when(F.lower(line).rlike(STOCK) & (n <= BOILERPLATE_WORDS), F.lit(STOCK_LINE))
-        .when(line.rlike(HUNG_WORD) & (_hits(line, HUNG_WORD) * 4 >= n), F.lit(PUNCTUATION))
+        F.when(~line.rlike(r"[^\x20\x09-\x0D]"), F.lit(KEPT))
+        .when(marked & _dense(line, SEPARATOR), F.lit(NAVIGATION))
+        .when(stock & (F.length(line) <= BOILERPLATE_CHARS) & has_stock(line), F.lit(STOCK_LINE))
+        .when(marked & _dense(line, HUNG_WORD), F.lit(PUNCTUATION))
         .when(~line.rlike(SENTENCE_END), F.lit(PUNCTUATION))
         .otherwise(F.lit(KEPT))
     )
 
 
-def repeated_window_words(words: Column, n: Column) -> Column:
-    """Words that lie in a three-word window found twice or more; both columns must be plain references.
+def window_hashes(words: Column, n: Column) -> Column:
+    """XXH64 of every three-word window; `words` must be a plain reference."""
+    first = F.slice(words, F.lit(1), F.greatest(n - 2, F.lit(0)))
+    return F.transform(first, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
-    Each window becomes one long, its hash above its position, so one primitive
-    sort brings equal windows together and keeps where they start.
-    """
-    bits = F.ceil(F.log2(n + F.lit(1))).cast("int")
 
-    def packed(_, i):
-        h = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+def placed(hashes: Column, bits: Column) -> Column:
+    """Each hash above its position in one long, sorted: equal windows come together."""
+
+    def pack(h, i):
         high = F.call_function("shiftleft", F.call_function("shiftright", h, bits), bits)
         return high.bitwiseOR(i.cast("long"))
 
-    windows = F.when(n >= 3, F.sort_array(F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0)).cast("int")), packed)))
-    return windows, bits
+    return F.sort_array(F.transform(hashes, pack))
 
 
 def judged(df: DataFrame, text: str = "text", max_lost: int = MAX_LOST_PERCENT) -> DataFrame:
@@ -91,60 +105,74 @@ def judged(df: DataFrame, text: str = "text", max_lost: int = MAX_LOST_PERCENT)
     """
     base = df.withColumn("_lr_text", text_or_empty(df, text))
     body = F.col("_lr_text")
-    base = base.withColumns({"_lr_words": split_words(body), "_lr_lines": F.split(body, "\n", -1)})
     base = base.withColumns(
         {
-            "_lr_n": F.size("_lr_words"),
-            "_lr_full": F.filter("_lr_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-            "_lr_fault": F.transform("_lr_lines", line_fault),
+            "_lr_words": split_words(body),
+            "_lr_lines": F.split(body, "\n", -1),
+            "_lr_marked": body.rlike(MARKS),
+            "_lr_stock": has_stock(body),
         }
     )
-    n, words, lines, fault = F.col("_lr_n"), F.col("_lr_words"), F.col("_lr_lines"), F.col("_lr_fault")
-    windows, bits = repeated_window_words(words, n)
+    words, lines, marked = F.col("_lr_words"), F.col("_lr_lines"), F.col("_lr_marked")
     base = base.withColumns(
         {
-            "_lr_win": windows,
-            "_lr_bits": bits,
-            "_lr_good": F.filter(lines, lambda x, i: F.get(fault, i) == KEPT),
+            "_lr_n": F.size("_lr_words"),
+            "_lr_full": F.filter("_lr_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+            "_lr_fault": F.transform("_lr_lines", lambda x: line_fault(x, marked, F.col("_lr_stock"))),
+            "_lr_hash": window_hashes(words, F.size("_lr_words")),
         }
     )
-    win, bits = F.col("_lr_win"), F.col("_lr_bits")
-
-    def key(x):
-        return F.call_function("shiftright", x, bits)
-
-    twice = F.filter(win, lambda x, i: (key(x) == key(F.get(win, i + 1))) | ((i > 0) & (key(x) == key(F.get(win, i - 1)))))
+    n, fault, hashes = F.col("_lr_n"), F.col("_lr_fault"), F.col("_lr_hash")
+    # Most texts repeat no window; only the others are sorted.
+    repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    base = base.withColumns(
+        {"_lr_bits": F.ceil(F.log2(n + F.lit(1))).cast("int"), "_lr_hash": F.when(repeats, hashes)}
+    )
+    bits = F.col("_lr_bits")
+    base = base.withColumn("_lr_win", F.when(hashes.isNotNull(), placed(hashes, bits)))
+    win = F.col("_lr_win")
+    base = base.withColumn("_lr_key", F.transform(win, lambda x: F.call_function("shiftright", x, bits)))
+    key = F.col("_lr_key")
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    twice = F.filter(
+        win, lambda x, i: (F.get(key, i) == F.get(key, i + 1)) | ((i > 0) & (F.get(key, i) == F.get(key, i - 1)))
+    )
     base = base.withColumn("_lr_at", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask))))
-    at = F.col("_lr_at")
-    steps = F.transform(at, lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(at, i + 1) - p, F.lit(3).cast("long"))))
-    repeat = F.coalesce(F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
+    at, three, none = F.col("_lr_at"), F.lit(3).cast("long"), F.lit(0).cast("long")
+    steps = F.transform(at, lambda p, i: F.least(three, F.coalesce(F.get(at, i + 1) - p, three)))
+    repeat = F.coalesce(F.aggregate(steps, none, lambda a, x: a + x), none)
 
     def faults(kind):
         return F.size(F.filter(fault, lambda x: x == kind)).cast("long")
 
-    good = F.array_join("_lr_good", "\n")
     base = base.withColumns(
         {
             "n_words": n.cast("long"),
             "word_chars": F.length(F.array_join(words, "")).cast("long"),
-            "n_symbols": F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("long"),
+            "n_symbols": F.when(marked, F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("long")).otherwise(none),
             "n_dup_lines": (F.size("_lr_full") - F.size(F.array_distinct("_lr_full"))).cast("long"),
             "n_repeat_words": repeat,
             "n_lines": F.size("_lr_full").cast("long"),
             "n_navigation": faults(NAVIGATION),
             "n_boilerplate": faults(STOCK_LINE),
             "n_punctuation": faults(PUNCTUATION),
-            "clean_text": good,
-            "_lr_kept_chars": F.length(F.regexp_replace(good, SPACE + "+", "")).cast("long"),
+            "_lr_clean": F.forall(fault, lambda x: x == KEPT),
+            "_lr_good": F.filter(lines, lambda x, i: F.get(fault, i) == KEPT),
         }
     )
-    base = base.withColumn("lost_chars", F.col("word_chars") - F.col("_lr_kept_chars"))
-    base = base.withColumn(
-        "base_failed",
-        (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT),
+    clean = F.col("_lr_clean")
+    kept_chars = F.length(F.regexp_replace(F.array_join("_lr_good", ""), SPACE + "+", "")).cast("long")
+    base = base.withColumns(
+        {
+            "lost_chars": F.when(clean, none).otherwise(F.col("word_chars") - kept_chars),
+            "clean_text": F.when(clean, body).otherwise(F.array_join("_lr_good", "\n")),
+            "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT),
+        }
     )
-    base = base.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost))
+    # The row number (never negative) keeps the optimizer from moving a filter on the verdict below the
+    # columns above, which would then be worked out anew for each element that refers to them.
+    fair = ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost)
+    base = base.withColumn("kept", fair & (F.monotonically_increasing_id() >= 0))
     return base.drop(*[c for c in base.columns if c.startswith("_lr_")])
 
 

@@ -79,15 +79,17 @@ WITH d AS (
 ), lines AS (
   SELECT doc_id, unnest(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS line FROM w
 ), marks AS (
-  SELECT doc_id, line, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n,
-    length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars FROM lines
+  SELECT doc_id, line, length(line) AS n, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+    regexp_matches(line, '(^|[\x20\x09-\x0D])[|>»•·]($|[\x20\x09-\x0D])') AS nav,
+    len(regexp_split_to_array(line, '(^|[\x20\x09-\x0D])[|>»•·]($|[\x20\x09-\x0D])')) - 1 AS navs,
+    regexp_matches(line, '([!?#*$%&<>]{2,}[.,]*|[#*$%&<>])($|[\x20\x09-\x0D])') AS hung,
+    len(regexp_split_to_array(line, '([!?#*$%&<>]{2,}[.,]*|[#*$%&<>])($|[\x20\x09-\x0D])')) - 1 AS hungs
+  FROM lines
 ), faults AS (
   SELECT doc_id, chars, line,
-    CASE WHEN regexp_matches(line, '(^|[\x20\x09-\x0D])[|>»•·]($|[\x20\x09-\x0D])')
-           AND (len(regexp_split_to_array(line, '[|>»•·]')) - 1) * 4 >= n THEN 1
-         WHEN n <= 40 AND regexp_matches(lower(line), '(all rights reserved|licensed under|terms of (use|service)|privacy policy|cookie|enable javascript|click here|sign up|log ?in to|subscribe to|powered by|copyright (©|\(c\)))') THEN 2
-         WHEN (len(regexp_split_to_array(line, '([!?#*$%&<>]{2,}[.,]*|[#*$%&<>])($|[\x20\x09-\x0D])')) - 1) * 4 >= n
-           AND regexp_matches(line, '([!?#*$%&<>]{2,}[.,]*|[#*$%&<>])($|[\x20\x09-\x0D])') THEN 3
+    CASE WHEN nav AND navs * 24 >= n THEN 1
+         WHEN n <= 300 AND regexp_matches(lower(line), '(all rights reserved|licensed under|terms of use|terms of service|privacy policy|cookie|enable javascript|click here|sign up|log in to|login to|subscribe to|powered by|copyright ©|copyright \(c\))') THEN 2
+         WHEN hung AND hungs * 24 >= n THEN 3
          WHEN NOT regexp_matches(line, '[.!?…:;。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') THEN 3
          ELSE 0 END AS fault FROM marks
 ), lost AS (
