@@ -135,18 +135,22 @@ def fit(sample: list[tuple[bytes, int]], share: float, seed: int = 5, epochs: in
 
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Params:
-    """Parameters fitted on the bounded sample; the driver holds at most 2 x `per_class` x `MOST_BYTES` characters."""
+    """Parameters fitted on the bounded sample; the driver holds at most 2 x `per_class` texts of `MOST_BYTES` characters."""
     marks = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_label"))
     marks = marks.where("_id is not null and _label in (0, 1)").where(~held_out(F.col("_id")))
     counts = {r[0]: r[1] for r in marks.groupBy("_label").count().collect()}
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.5
-    texts = docs.select(docs["doc_id"].alias("_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text"))
-    known = texts.where(F.length("_text") <= MOST_BYTES).join(marks, "_id")
-    sample = []
-    for label in (0, 1):
-        own = known.where(F.col("_label") == label).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
-        sample += [(text.encode("utf-8", "surrogatepass"), label) for (text,) in own.select("_text").collect()]
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    # Ids first, so that no text is shuffled; the chosen ids, 2 x `per_class` at most, then fetch their texts.
+    known = docs.select(docs["doc_id"].alias("_id"), F.length(text).alias("_size")).where(F.col("_size") <= MOST_BYTES)
+    known = known.join(marks, "_id").select("_id", "_label")
+    chosen = [r for k in (0, 1) for r in known.where(F.col("_label") == k).orderBy(F.xxhash64("_id"), "_id").limit(per_class).collect()]
+    if not chosen:
+        return fit([], share)
+    ids = docs.sparkSession.createDataFrame(chosen, known.schema)
+    rows = docs.select(docs["doc_id"].alias("_id"), text.alias("_text")).join(F.broadcast(ids), "_id").orderBy("_id", "_label", "_text")
+    sample = [(r["_text"].encode("utf-8", "surrogatepass"), r["_label"]) for r in rows.collect()]
     return fit(sample, share)
 
 
