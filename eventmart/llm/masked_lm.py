@@ -29,15 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.text import keep_columns
+from eventmart.session import stage
 
 TOP, BUCKETS = 3072, 1024
 MEMBERS = 64
 REACH = 2
 HIDDEN = 16
 ROUNDS = 2
-SHARE = 0.15
+SHARE = 0.1
 RATE = 0.1
-BATCH = 2048
+BATCH = 4096
 SLICE = 1 << 14
 WORDS_HELD = 300_000
 FLUSH = 200_000
@@ -71,6 +72,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _log_share(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The log softmax of one column in each row; `x` is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), of]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def _hidden(p: Params, context: np.ndarray) -> np.ndarray:
     z = p["T"][0][context[:, 0]]
     for j in range(1, len(OFFSETS)):
@@ -84,14 +92,13 @@ def log_prob(p: Params, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     for at in range(0, len(target), SLICE):
         h, t = _hidden(p, context[at : at + SLICE]), target[at : at + SLICE]
         kind, member = t // MEMBERS, t % MEMBERS
-        score = _log_softmax(h @ p["U"] + p["a"])[np.arange(len(t)), kind].astype(np.float64)
+        score = _log_share(h @ p["U"] + p["a"], kind).astype(np.float64)
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for k in range(CLASSES):
             rows = order[ends[k] : ends[k + 1]]
             if len(rows):
-                own = _log_softmax(h[rows] @ p["M"][k] + p["c"][k])
-                score[rows] += own[np.arange(len(rows)), member[rows]]
+                score[rows] += _log_share(h[rows] @ p["M"][k] + p["c"][k], member[rows])
         # A hashed id stands for many words; among them a word is as likely as any other.
         out[at : at + SLICE] = score + np.where(t >= TOP, float(p["r"]), 0.0)
     return out
@@ -155,20 +162,24 @@ class Ids:
     """Ids of a text's words; words outside the vocabulary are remembered up to a bound."""
 
     def __init__(self, top: list[str]):
+        from xxhash import xxh64_intdigest
+
+        self.hash = xxh64_intdigest
         self.top = {w: i for i, w in enumerate(top)}
         self.known = dict(self.top)
 
     def learn(self, word: str) -> int:
-        from xxhash import xxh64_intdigest
-
-        self.known[word] = n = TOP + xxh64_intdigest(word) % BUCKETS
+        self.known[word] = n = TOP + self.hash(word) % BUCKETS
         return n
 
     def __call__(self, text: str | None) -> np.ndarray:
         if len(self.known) > WORDS_HELD:
             self.known = dict(self.top)
-        known, learn = self.known, self.learn
-        return np.array([known[w] if w in known else learn(w) for w in (text or "").lower().split()], np.int32)
+        words = (text or "").lower().split()
+        out = list(map(self.known.get, words))
+        if None in out:
+            out = [self.learn(w) if i is None else i for i, w in zip(out, words)]
+        return np.array(out, np.int32)
 
 
 def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -239,7 +250,7 @@ def _spread(weight: np.ndarray, like: np.ndarray) -> np.ndarray:
 def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
     """The vocabulary and trained parameters; both of fixed size."""
     sc = df.sparkSession.sparkContext
-    counted = word_counts(df)
+    counted = stage(word_counts(df))
     best = counted.orderBy(F.col("n").desc(), "word").limit(TOP).toArrow()
     words, counts = best.column(0).to_pylist(), np.zeros(SIZE)
     counts[: len(words)] = best.column(1).to_numpy()
