@@ -149,7 +149,8 @@ def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Pa
     if not chosen:
         return fit([], share)
     ids = docs.sparkSession.createDataFrame(chosen, known.schema)
-    rows = docs.select(docs["doc_id"].alias("_id"), text.alias("_text")).join(F.broadcast(ids), "_id").orderBy("_id", "_label", "_text")
+    rows = docs.where(F.length(text) <= MOST_BYTES).select(docs["doc_id"].alias("_id"), text.alias("_text"))
+    rows = rows.join(F.broadcast(ids.distinct()), "_id").orderBy("_id", "_label", "_text").limit(2 * per_class)
     sample = [(r["_text"].encode("utf-8", "surrogatepass"), r["_label"]) for r in rows.collect()]
     return fit(sample, share)
 
