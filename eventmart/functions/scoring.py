@@ -7,17 +7,23 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.timecols import as_column
 
-# Beyond this a double has no digits left behind the point, so rounding is the identity.
-_ROUNDING_LIMIT = 1e13
+# From 2^52 on a double is a whole number.
+_WHOLE_FROM = float(2**52)
 _EXACT_LIMIT = 1e21
 
 
 def round_half_up(value: Column | str, digits: int = 2) -> Column:
-    """Round the stored binary value: 1.005 (really 1.00499...) gives 1.0, not 1.01."""
+    """Round the stored binary value: 1.005 (really 1.00499...) gives 1.0, not 1.01.
+
+    Halves go away from zero. What is scaled to 2^52 or more is whole as it is; what
+    overflows when scaled is returned unchanged.
+    """
     x = as_column(value).cast("double")
-    factor = float(10**digits)
-    rounded = F.floor(F.abs(x) * factor + 0.5) / F.lit(factor) * F.signum(x)
-    return F.when(F.abs(x) < _ROUNDING_LIMIT, rounded).otherwise(x)
+    scaled = F.abs(x) * float(10**digits)
+    below = F.floor(scaled).cast("double")
+    whole = F.when(scaled >= _WHOLE_FROM, scaled).otherwise(below + F.when(scaled - below >= 0.5, 1.0).otherwise(0.0))
+    rounded = whole / F.lit(float(10**digits)) * F.signum(x)
+    return F.when(scaled == float("inf"), x).otherwise(rounded)
 
 
 def safe_ratio(num: Column | str, den: Column | str, scale: float = 1.0, digits: int = 2) -> Column:
@@ -33,15 +39,16 @@ def guarded_rate(num: Column | str, den: Column | str, digits: int = 2) -> Colum
 
 
 def exact_sum(value: Column | str, scale: int = 6) -> Column:
-    """Sum of doubles that does not depend on the order rows arrive in.
+    """Sum of doubles whose first `scale` decimals do not depend on the order rows arrive in.
 
-    Amounts are added as decimals; the few a decimal cannot hold (huge, infinite
-    or NaN) are added as doubles, so nothing is lost and nothing overflows.
+    Each amount is cut into a decimal, added exactly, and what the decimal leaves over,
+    added as a double: for amounts of `scale` decimals that is nothing. An amount no
+    decimal can hold (huge, infinite or NaN) is left over whole.
     """
     x = as_column(value).cast("double")
-    fits = F.abs(x) < _EXACT_LIMIT
-    exact = F.sum(F.when(fits, x.try_cast(f"decimal(28,{scale})"))).cast("double")
-    rest = F.sum(F.when(~fits, x))
+    part = F.when(F.abs(x) < _EXACT_LIMIT, x.try_cast(f"decimal(28,{scale})"))
+    exact = F.sum(part).cast("double")
+    rest = F.sum(x - F.coalesce(part.cast("double"), F.lit(0.0)))
     return F.coalesce(exact + rest, exact, rest)
 
 

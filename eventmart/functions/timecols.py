@@ -46,10 +46,6 @@ def seconds_interval(seconds: float) -> Column:
     return F.lit(timedelta(microseconds=round(seconds * 1_000_000)))
 
 
-def minutes_interval(minutes: int) -> Column:
-    return F.lit(timedelta(minutes=minutes))
-
-
 def days_interval(days: int) -> Column:
     return F.lit(timedelta(days=days))
 

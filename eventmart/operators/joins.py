@@ -28,7 +28,8 @@ def spread_by_time(
     once and a heavy user spreads over time. With `salts` above one, left rows of a
     bucket spread further over that many shares, each facing a copy of the right rows.
     """
-    width, reach = int(within_seconds * 4_000_000), int(within_seconds * 1_000_000)
+    reach = round(within_seconds * 1_000_000)  # as the interval of the condition is rounded
+    width = max(4 * reach, 1)
     at = micros_since_epoch(right_ts)
     buckets = F.sequence(_bucket(at - F.lit(reach), width), _bucket(at + F.lit(reach), width))
     right = right.withColumn("_r_bucket", F.explode(buckets))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,29 +10,15 @@ from eventmart.session import stage
 # A value held by at least 1/HOT of all rows is joined by broadcast. At most HOT
 # values can be that frequent, which bounds the broadcast whatever the data.
 HOT = 1000
-# Buckets need to be even, not fine: 512 sorts run side by side, while the quantile
-# sketches that every map task sends to the one merging task stay small.
-MOST_BUCKETS = 512
 
 
-def _split_points(values: DataFrame, col: str, buckets: int) -> tuple[int, list[float]]:
-    shares = [i / buckets for i in range(1, buckets)]
-    row = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(col, shares, F.lit(4 * buckets)).alias("cuts"),
-    ).first()
-    cuts = sorted(set(row["cuts"] or []))
-    return row["n"], [float("-inf"), *[c for c in cuts if c not in (float("-inf"), float("inf"))], float("inf")]
-
-
-def _value_ranks(values: DataFrame, col: str, out: str, scale: float, buckets: int) -> tuple[int, DataFrame]:
+def _value_ranks(values: DataFrame, col: str, out: str, scale: float, buckets: int | None) -> tuple[int, DataFrame]:
     """(row count, one row per distinct value with its tie count and percentile)."""
-    n, splits = _split_points(values, col, buckets)
     counts = values.groupBy(col).agg(F.count(F.lit(1)).alias("_ties"))
-    if len(splits) > 2:
-        counts = Bucketizer(splits=splits, inputCol=col, outputCol="_bucket").transform(counts)
-    else:
-        counts = counts.withColumn("_bucket", F.lit(0.0))
+    # A range of values per partition, as many as the distinct values need unless told.
+    ranged = counts.repartitionByRange(buckets, col) if buckets else counts.repartitionByRange(col)
+    counts = stage(ranged.withColumn("_bucket", F.spark_partition_id()))
+    n = counts.agg(F.coalesce(F.sum("_ties"), F.lit(0))).first()[0]
     # One row per bucket: the only unpartitioned window reads at most `buckets` rows.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -57,12 +42,10 @@ def pct_rank_avg(
 
     Ties share the mean of their positions; NULL and NaN get NULL and are not
     counted. Rows are counted per distinct value first, so ties never pile up in a
-    sort. Distinct values are cut at approximate quantiles into buckets: each
-    bucket is ranked on its own and shifted by the rows in the buckets before it.
+    sort. Distinct values are dealt out by range: each range is ranked on its own and
+    shifted by the rows in the ranges before it.
     The input is read several times, so it is staged once.
     """
-    spark = df.sparkSession
-    buckets = buckets or min(MOST_BUCKETS, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     df = stage(df)
     ranked = F.col(col).isNotNull() & ~F.isnan(col)
     values = df.where(ranked)
@@ -70,7 +53,6 @@ def pct_rank_avg(
     unranked = df.where(~ranked).withColumn(out, F.lit(None).cast("double"))
     if n == 0:
         return unranked
-    ranks = stage(ranks)
     hot = F.col("_ties") * HOT >= n
     frequent = F.broadcast(ranks.where(hot).select(col, out))
     rest = ranks.where(~hot).select(col, out)

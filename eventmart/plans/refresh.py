@@ -14,7 +14,7 @@ from eventmart.plans.checks import SUITES
 from eventmart.plans.store import LayerTable
 from eventmart.schemas import FAMILIES
 from eventmart.session import require_utc, staging
-from eventmart.sources.scan import SOURCE
+from eventmart.sources.scan import SOURCE, require_sources
 
 BRONZE = [f.table for f in FAMILIES.values()]
 SILVER = ["silver_device_events", "silver_transactions", "silver_user_activity"]
@@ -35,6 +35,25 @@ _LAYOUT = {
 }
 
 
+# table -> the tables it is built from
+INPUTS = {
+    "silver_device_events": ("bronze_device_events",),
+    "silver_transactions": ("bronze_transaction_events",),
+    "silver_user_activity": ("bronze_device_events", "bronze_session_events"),
+    "gold_platform_events": ("silver_device_events",),
+    "gold_user_conversion": ("silver_user_activity", "silver_transactions"),
+    "gold_user_engagement": ("silver_device_events",),
+}
+
+
+def depends_on(name: str, source: str) -> bool:
+    return name == source or any(depends_on(i, source) for i in INPUTS.get(name, ()))
+
+
+class CheckFailure(ValueError):
+    """A table was built and does not pass its checks."""
+
+
 @dataclass
 class Warehouse:
     """The layer tables under one root folder."""
@@ -116,31 +135,50 @@ class Warehouse:
         return self.table(name).replace(mart)
 
     def check(self, name: str) -> DataFrame:
-        return run_checks(self.read(name), SUITES[name])
+        """The report of a table's suite, evaluated once: a row per check."""
+        report = run_checks(self.read(name), SUITES[name])
+        return self.spark.createDataFrame(report.collect(), report.schema)
 
     def refresh(
         self,
         directory: str | None,
         as_of: datetime | None = None,
         layers: tuple[str, ...] = ("bronze", "silver", "gold"),
+        family: str | None = None,
+        on_failure: str = "report",
     ) -> dict[str, DataFrame]:
         """Build the layers in order and return the check report per checked table.
 
         Every table is one batch job of its own; a run that fails half way is simply
-        repeated, since upserts of the same rows change nothing.
+        repeated, since upserts of the same rows change nothing. With `family` only the
+        tables that depend on it, or were never built, are built, and of those only the
+        ones whose inputs are there. Each checked table is checked right after its build; `on_failure="raise"`
+        then stops the run.
         """
+        if on_failure not in ("report", "raise"):
+            raise ValueError(f"on_failure is report or raise, not {on_failure}")
         as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-        built = []
+        families = [family] if family else list(FAMILIES)
+        reports: dict[str, DataFrame] = {}
+
+        def built(name: str) -> None:
+            if name in SUITES:
+                reports[name] = self.check(name)
+                failed = [f"{r['check']} {r['column']}: {r['failing_rows']}" for r in reports[name].collect() if not r["passed"]]
+                if failed and on_failure == "raise":
+                    raise CheckFailure(f"{name}: {'; '.join(failed)}")
+
         if "bronze" in layers:
-            for family in FAMILIES:
-                self.load_bronze(directory, family, as_of)
-            built += BRONZE
-        if "silver" in layers:
-            for name in SILVER:
-                self.build_silver(name, as_of)
-            built += SILVER
-        if "gold" in layers:
-            for name in GOLD:
-                self.build_gold(name, as_of)
-            built += GOLD
-        return {name: self.check(name) for name in built if name in SUITES}
+            require_sources(self.spark, directory, families)
+            for each in families:
+                self.load_bronze(directory, each, as_of)
+                built(FAMILIES[each].table)
+        for layer, names, build in (("silver", SILVER, self.build_silver), ("gold", GOLD, self.build_gold)):
+            for name in names if layer in layers else []:
+                if family:
+                    due = depends_on(name, FAMILIES[family].table) or not self.table(name).exists()
+                    if not due or not all(self.table(i).exists() for i in INPUTS[name]):
+                        continue
+                build(name, as_of)
+                built(name)
+        return reports

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,7 @@ from eventmart.operators.incremental import Bounds, bounds_from_max, without_key
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = "*"
 _STAMP = "_commit"
+COMMIT_TRIES = 5
 
 
 class ConcurrentCommit(RuntimeError):
@@ -104,18 +106,27 @@ class LayerTable:
         body = json.dumps(
             {"schema": snapshot.schema, "entries": snapshot.entries, "batches": snapshot.batches}
         )
+        # Rival writers have temporary files of their own, and a rename that does not overwrite lets one win.
         final = f"{self.path}/_versions/{snapshot.version:010d}.json"
-        fs, temp = self._fs(f"{self.path}/_versions/.{snapshot.version:010d}.writing")
+        fs, temp = self._fs(f"{self.path}/_versions/.{snapshot.version:010d}-{uuid.uuid4().hex}")
         _, target = self._fs(final)
-        if fs.exists(target):
-            raise ConcurrentCommit(final)
-        stream = fs.create(temp, True)
+        stream = fs.create(temp, False)
         try:
             stream.write(bytearray(body.encode("utf-8")))
         finally:
             stream.close()
-        if not fs.rename(temp, target):
-            raise ConcurrentCommit(final)
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        hadoop = jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(temp.toUri(), self.spark._jsc.hadoopConfiguration())
+        keep = gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        keep[0] = getattr(getattr(hadoop, "Options$Rename"), "NONE")
+        try:
+            context.rename(temp, target, keep)
+        except Py4JJavaError as error:
+            fs.delete(temp, False)
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            raise ConcurrentCommit(final) from None
 
     # ---- reading ----
 
@@ -195,6 +206,18 @@ class LayerTable:
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table becomes `df`."""
+        return self._retried(lambda: self._replace(df))
+
+    def _retried(self, commit):
+        """Run a commit again, from the then newest version, when a rival published first."""
+        for left in reversed(range(COMMIT_TRIES)):
+            try:
+                return commit()
+            except ConcurrentCommit:
+                if not left:
+                    raise
+
+    def _replace(self, df: DataFrame) -> int:
         snapshot = self.snapshot()
         version = snapshot.version + 1 if snapshot else 1
         entries = self._write(df, version)
@@ -215,6 +238,9 @@ class LayerTable:
         `retract` derives further keys to remove from the rows just written. A `writer` that repeats a
         `batch_id` it has already committed changes nothing and gets None.
         """
+        return self._retried(lambda: self._upsert(batch, key, writer, batch_id, retract))
+
+    def _upsert(self, batch, key, writer, batch_id, retract) -> int | None:
         snapshot = self.snapshot()
         if snapshot and writer is not None and snapshot.batches.get(writer, -1) >= batch_id:
             return None

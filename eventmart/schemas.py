@@ -11,7 +11,6 @@ DEVICE_TYPES = ["mobile", "tablet", "laptop", "desktop"]
 PLATFORMS = ["iOS", "Android", "Windows", "MacOS", "Linux"]
 EVENT_TYPES = ["page_view", "click", "scroll", "video_start", "video_complete", "form_submit"]
 BROWSERS = ["Chrome", "Safari", "Firefox", "Edge"]
-NETWORK_TYPES = ["4G", "5G", "WiFi", "3G"]
 REFERRERS = ["organic", "social", "direct", "email", "paid"]
 PRODUCT_CATEGORIES = ["electronics", "clothing", "food", "books", "toys", "sports"]
 ENGAGEMENT_CATEGORIES = ["highly_engaged", "engaged", "moderate", "low"]

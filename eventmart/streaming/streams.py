@@ -7,6 +7,7 @@ session zone is UTC, so nothing shifts.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -110,15 +111,23 @@ def interval_join(
 
 # ---- sinks ------------------------------------------------------------------
 
+_one_writer = threading.Lock()
+
 
 def newest_wins_sink(table: LayerTable, key: str, order_by: list[str], writer: str) -> BatchSink:
-    """Upsert of each micro-batch, reduced to its newest row per key first.
+    """Upsert of each micro-batch's newest row per key where the table has no row as new.
 
     A micro-batch that is replayed after a failure is recognised by its id.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(latest_per_key(batch, key, order_by), key, writer, batch_id)
+        newest = latest_per_key(batch, key, order_by)
+        stored = table.read()
+        if stored is not None:
+            held = stored.select(F.col(key).alias("_key"), F.struct(*order_by).alias("_held"))
+            newest = newest.join(held, F.col(key) == F.col("_key"), "left")
+            newest = newest.where(F.col("_key").isNull() | (F.struct(*order_by) > F.col("_held"))).drop("_key", "_held")
+        table.upsert(newest, key, writer, batch_id)
 
     return write
 
@@ -158,12 +167,16 @@ def lookback_sink(warehouse: Warehouse, as_of: datetime | None = None) -> BatchS
 
 
 def refresh_sink(warehouse: Warehouse, family: str, as_of: datetime | None = None) -> BatchSink:
-    """Bronze upsert of the micro-batch, then silver and gold on top of it."""
+    """Bronze upsert of the micro-batch, then the silver and gold tables that depend on the family.
+
+    A table whose other inputs are not built yet waits for their sinks. Sinks of one process take turns.
+    """
     to_bronze = bronze_sink(warehouse, family, as_of)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        to_bronze(batch, batch_id)
-        warehouse.refresh(None, as_of, layers=("silver", "gold"))
+        with _one_writer:
+            to_bronze(batch, batch_id)
+            warehouse.refresh(None, as_of, layers=("silver", "gold"), family=family)
 
     return write
 

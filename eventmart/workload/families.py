@@ -89,11 +89,11 @@ def raw_session(ev: DataFrame, as_text: bool = False) -> DataFrame:
 
 
 def raw_transaction(ev: DataFrame, as_text: bool = False) -> DataFrame:
-    return ev.where("event_type = 'purchase' AND event_id % 4 = 0").selectExpr(
+    return ev.where("event_type = 'purchase'").selectExpr(
         "concat('txn_', event_id) AS transaction_id",
         _time(as_text),
         _USER,
-        f"{_pick(PLATFORMS, '(user_id + if(event_id % 14 = 0, 1, 0)) % 5')} AS platform",
+        f"{_pick(PLATFORMS, '(user_id + if(user_id % 7 = 0, 1, 0)) % 5')} AS platform",
         "'prod_100' AS product_id",
         f"{_pick(PRODUCT_CATEGORIES, 'k % 6')} AS product_category",
         "cast(1 + k % 5 as bigint) AS quantity",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions.payload import unpack_payload
-from eventmart.functions.scoring import customer_segment, exact_sum, safe_ratio
+from eventmart.functions.scoring import customer_segment, exact_sum, round_half_up, safe_ratio
 from eventmart.functions.timecols import minutes_between, time_literal, whole_days_between, window_start
 from eventmart.operators.aggregates import conditional_sums, count_true, mode_per_key
 from eventmart.operators.dedup import latest_per_key
@@ -99,6 +99,12 @@ def _activity(spark, sf_dir, salts=1):
     )
 
 
+def money_rounded(df: DataFrame) -> DataFrame:
+    """Sums of doubles to six digits, the most that does not hang on the order of adding."""
+    money = [c for c in ("total_revenue", "avg_transaction_value") if c in df.columns]
+    return df.withColumns({c: round_half_up(c, 6) for c in money})
+
+
 def _first_batch(bronze: DataFrame, ts: str) -> DataFrame:
     return bronze.where(F.col(ts) < time_literal(fam.SPLIT_AT))
 
@@ -191,11 +197,22 @@ def source_rows(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES ('device', CAST(0 AS BIGINT)), ('session', CAST(0 AS BIGINT)),
-      ('transaction', CAST(3 AS BIGINT))) t(family, files)"""
+    """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type FROM events)
+    SELECT family, count(DISTINCT week) AS files FROM (
+      SELECT 'device' AS family, date_trunc('week', day) AS week FROM days
+      UNION ALL SELECT 'session', date_trunc('week', day) FROM days WHERE event_type = 'signup'
+      UNION ALL SELECT 'transaction', date_trunc('week', day) FROM days WHERE event_type = 'purchase') GROUP BY family"""
 )
 def source_inventory(spark, sf_dir):
-    return count_sources(spark, _land_transactions(spark, sf_dir))
+    """All families landed, a batch for each week that has rows."""
+    directory = shared_path(spark, "landing")
+    ev = fam.events(spark, sf_dir).withColumn("week", F.date_trunc("week", "ts").cast("date"))
+    for family, kind in (("device", None), ("session", "signup"), ("transaction", "purchase")):
+        own = ev if kind is None else ev.where(F.col("event_type") == kind)
+        for week in sorted(r["week"] for r in own.select("week").distinct().collect()):
+            raw = fam.RAW[family](own.where(F.col("week") == F.lit(week)), as_text=True)
+            land_batch(raw, directory, family, f"{week:%Y%m%d}_000000")
+    return count_sources(spark, directory)
 
 
 @query(
@@ -240,7 +257,7 @@ def line_total(spark, sf_dir):
 
 @query(
     """SELECT 'transaction_events_20240130_000000.parquet' AS source_filename, COUNT(*) AS n_rows,
-      CAST(SUM(CAST(total_amount AS DECIMAL(28, 6))) AS DOUBLE) AS revenue FROM bronze_transaction""",
+      round(sum(total_amount), 6) AS revenue FROM bronze_transaction""",
     ("bronze_transaction",),
     name="land_batch",
 )
@@ -252,7 +269,7 @@ def land_batch_query(spark, sf_dir):
     return (
         scan_events(spark, directory, "transaction")
         .groupBy(SOURCE)
-        .agg(F.count(F.lit(1)).alias("n_rows"), exact_sum("total_amount").alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), round_half_up(exact_sum("total_amount"), 6).alias("revenue"))
     )
 
 
@@ -532,29 +549,60 @@ def interval_join_salted(spark, sf_dir):
     return _interval(spark, sf_dir, salts=4)
 
 
+@query(
+    """SELECT a.event_id, a.ts, b.event_id AS partner_id
+    FROM events a LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
+      ON a.user_id = b.user_id AND abs(date_diff('microsecond', a.ts, b.ts)) <= 600000500"""
+)
+def interval_join_fraction(spark, sf_dir):
+    """A reach that is no whole number of milliseconds."""
+    rows = fam.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    bought = rows.where(F.col("event_type") == "purchase")
+    joined = interval_join(rows.drop("event_type"), bought, ["user_id"], "ts", "ts", 600.0005, {"event_id": "partner_id"})
+    return joined.select("event_id", "ts", "partner_id")
+
+
+@query(
+    """SELECT o_orderkey, round(o_totalprice * 1e7 + 0.126, 2) AS large, round(o_totalprice * 1e10, 2) AS huge,
+      round(-o_totalprice / 7, 3) AS small FROM orders"""
+)
+def round_large(spark, sf_dir):
+    price = F.col("o_totalprice")
+    return fam.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        round_half_up(price * 1e7 + 0.126).alias("large"),
+        round_half_up(price * 1e10).alias("huge"),
+        round_half_up(-price / 7, 3).alias("small"),
+    )
+
+
+@query("SELECT l_returnflag, round(sum(l_quantity * 1e-9), 9) AS total FROM lineitem GROUP BY l_returnflag")
+def sum_small(spark, sf_dir):
+    lines = fam.table(spark, sf_dir, "lineitem").groupBy("l_returnflag")
+    return lines.agg(round_half_up(exact_sum(F.col("l_quantity") * 1e-9), 9).alias("total"))
+
+
 @query("SELECT * FROM conversion", ("conversion",))
 def full_outer_metrics(spark, sf_dir):
-    return gold.conversion_metrics(_activity(spark, sf_dir), _silver_transactions(spark, sf_dir))
+    return money_rounded(gold.conversion_metrics(_activity(spark, sf_dir), _silver_transactions(spark, sf_dir)))
 
 
 @query(
-    """SELECT COALESCE(c.c_nationkey, s.s_nationkey) AS nationkey, c.n_customers, s.n_suppliers,
-      c.c_nationkey IS NOT NULL AS in_left, s.s_nationkey IS NOT NULL AS in_right
-    FROM (SELECT c_nationkey, COUNT(*) AS n_customers FROM customer WHERE c_acctbal > 9000 GROUP BY 1) c
-    FULL OUTER JOIN (SELECT s_nationkey, COUNT(*) AS n_suppliers FROM supplier WHERE s_acctbal > 3000 GROUP BY 1) s
-      ON c.c_nationkey = s.s_nationkey"""
+    """SELECT COALESCE(c.key, s.key) AS nationkey, c.n_customers, s.n_suppliers,
+      c.key IS NOT NULL AS in_left, s.key IS NOT NULL AS in_right
+    FROM (SELECT c_nationkey AS key, COUNT(*) AS n_customers FROM customer GROUP BY 1) c
+    FULL OUTER JOIN (SELECT s_nationkey + 5 AS key, COUNT(*) AS n_suppliers FROM supplier GROUP BY 1) s ON c.key = s.key"""
 )
 def full_outer_nations(spark, sf_dir):
+    """Two whole tables; the suppliers' keys are moved by five, so both sides have keys of their own."""
     customers = (
         fam.table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") > 9000)
         .groupBy(F.col("c_nationkey").alias("nationkey"))
         .agg(F.count(F.lit(1)).alias("n_customers"))
     )
     suppliers = (
         fam.table(spark, sf_dir, "supplier")
-        .where(F.col("s_acctbal") > 3000)
-        .groupBy(F.col("s_nationkey").alias("nationkey"))
+        .groupBy((F.col("s_nationkey") + 5).alias("nationkey"))
         .agg(F.count(F.lit(1)).alias("n_suppliers"))
     )
     return full_outer_merge(customers, suppliers, ["nationkey"])
@@ -620,14 +668,14 @@ def conditional_sums_query(spark, sf_dir):
     )
 
 
-@query("SELECT * FROM activity_metrics", ("activity_metrics",))
+@query("SELECT * REPLACE (CAST(bounce_sessions AS BIGINT) AS bounce_sessions) FROM seen", ("seen",))
 def user_activity_metrics(spark, sf_dir):
     return gold.user_activity_metrics(_activity(spark, sf_dir))
 
 
-@query("SELECT * FROM txn_metrics", ("txn_metrics",))
+@query("SELECT * REPLACE (CAST(first_purchase_count AS BIGINT) AS first_purchase_count) FROM bought", ("bought",))
 def transaction_metrics(spark, sf_dir):
-    return gold.transaction_metrics(_silver_transactions(spark, sf_dir))
+    return money_rounded(gold.transaction_metrics(_silver_transactions(spark, sf_dir)))
 
 
 @query("SELECT * FROM user_day", ("user_day",))
@@ -683,9 +731,10 @@ def engagement_category(spark, sf_dir):
 
 
 @query(
-    """SELECT c_custkey, n_orders, CASE WHEN n_orders IS NULL THEN 'Non-Purchaser' WHEN n_orders = 1 THEN 'One-Time Buyer'
-      WHEN n_orders BETWEEN 2 AND 5 THEN 'Repeat Buyer' ELSE 'Loyal Customer' END AS segment
-    FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
+    """WITH bought AS (SELECT o_custkey AS c_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey),
+    steps(least, most, segment) AS (VALUES (0, 0, 'Non-Purchaser'), (1, 1, 'One-Time Buyer'), (2, 5, 'Repeat Buyer'), (6, NULL, 'Loyal Customer'))
+    SELECT c_custkey, n_orders, segment FROM customer LEFT JOIN bought USING (c_custkey)
+    JOIN steps ON ifnull(n_orders, 0) >= least AND (most IS NULL OR ifnull(n_orders, 0) <= most)""",
     name="customer_segment",
 )
 def customer_segment_query(spark, sf_dir):
@@ -740,7 +789,7 @@ def safe_ratio_query(spark, sf_dir):
     ("conversion",),
 )
 def topk_revenue(spark, sf_dir):
-    both = gold.conversion_metrics(_activity(spark, sf_dir), _silver_transactions(spark, sf_dir))
+    both = money_rounded(gold.conversion_metrics(_activity(spark, sf_dir), _silver_transactions(spark, sf_dir)))
     return (
         both.select("user_id", "platform", "total_revenue", "total_events")
         .orderBy(F.desc("total_revenue"), F.desc("total_events"), "user_id", "platform")
@@ -855,12 +904,15 @@ def silver_user_activity_salted(spark, sf_dir):
 
 
 @query(
-    f"""SELECT *, ROUND(CAST(total_events AS DOUBLE) / NULLIF(total_unique_users, 0), 2) AS avg_events_per_user,
-      ROUND(CAST(total_events AS DOUBLE) / NULLIF(days_active, 0), 2) AS avg_events_per_day,
-      ROUND(CAST(mobile_events AS DOUBLE) / NULLIF(total_events, 0) * 100, 2) AS mobile_event_pct,
-      ROUND(CAST(page_view_events AS DOUBLE) / NULLIF(total_events, 0) * 100, 2) AS page_view_pct,
-      {SQL_AS_OF} AS aggregated_at FROM platform_rollup""",
-    ("platform_rollup",),
+    f"""SELECT {SQL_AS_OF} AS aggregated_at, shares.* EXCLUDE (platform), platform_rollup.*,
+      round(total_events / days_active, 2) AS avg_events_per_day,
+      round(total_events / nullif(total_unique_users, 0), 2) AS avg_events_per_user
+    FROM platform_rollup JOIN (
+      SELECT platform, round(100 * avg(CAST(event_type = 'page_view' AS INTEGER)), 2) AS page_view_pct,
+        round(100 * avg(CAST(device_type = 'mobile' AS INTEGER)), 2) AS mobile_event_pct
+      FROM silver_device GROUP BY platform
+    ) shares USING (platform)""",
+    ("platform_rollup", "silver_device"),
 )
 def gold_platform_events(spark, sf_dir):
     return gold.gold_platform_events(_silver_devices(spark, sf_dir), as_of=fam.AS_OF)
@@ -868,8 +920,8 @@ def gold_platform_events(spark, sf_dir):
 
 @query("SELECT * FROM gold_conversion", ("gold_conversion",))
 def gold_user_conversion(spark, sf_dir):
-    return gold.gold_user_conversion(
-        _activity(spark, sf_dir), _silver_transactions(spark, sf_dir), as_of=fam.AS_OF
+    return money_rounded(
+        gold.gold_user_conversion(_activity(spark, sf_dir), _silver_transactions(spark, sf_dir), as_of=fam.AS_OF)
     )
 
 

@@ -17,7 +17,7 @@ from eventmart.sources.scan import SOURCE
 from eventmart.streaming import streams
 from eventmart.workload import families as fam
 from eventmart.workload.oracle import AS_OF as SQL_AS_OF
-from eventmart.workload.queries import query
+from eventmart.workload.queries import money_rounded, query
 
 _AS_OF = datetime.fromisoformat(fam.AS_OF)
 _LOADED = datetime.fromisoformat(fam.LOADED_AT)
@@ -52,10 +52,10 @@ _CUT = (
     f"""SELECT a.event_id, a.user_id, a.ts, b.event_id AS partner_id
     FROM events a LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
       ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 5 MINUTE AND a.ts + INTERVAL 5 MINUTE
-    WHERE a.ts <= {_CUT}"""
+    WHERE b.event_id IS NOT NULL OR a.ts <= {_CUT}"""
 )
 def stream_interval_join(spark, sf_dir):
-    """Rows old enough to be final; younger unmatched ones are still held in state."""
+    """Every matched row, and the unmatched ones old enough to be final; younger ones are still held in state."""
     work = shared_path(spark, "stream")
     ev = _event_stream(spark, sf_dir)
     joined = streams.interval_join(
@@ -71,18 +71,19 @@ def stream_interval_join(spark, sf_dir):
     newest = fam.table(spark, sf_dir, "events").agg(
         F.max("ts").alias("a"), F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("b")
     ).select((F.least("a", "b") - F.expr("INTERVAL 30 MINUTES")).alias("cut")).first()
-    return out.where(F.col("ts") <= time_literal(newest["cut"]))
+    return out.where(F.col("partner_id").isNotNull() | (F.col("ts") <= time_literal(newest["cut"])))
 
 
 @query("SELECT event_id, user_id, event_type, event_timestamp FROM device_latest", ("device_latest",))
 def stream_dedup_upsert(spark, sf_dir):
-    """Two drains of one stream; the second brings reloaded rows, which replace the first."""
+    """Three drains of one stream: the second brings reloaded rows, which replace the first, the third older copies, which do not."""
     work = shared_path(spark, "stream")
     ev = fam.events(spark, sf_dir)
     table = LayerTable(spark, work, "device", "event_date", "event_window_start")
     warehouse_rows = [
         (ev, "20240131_000000", None),
         (ev.where(F.col("event_id") % 10 == 0), "20240131_010000", F.lit("click")),
+        (ev.where(F.col("event_id") % 4 == 0), "20240130_000000", F.lit("scroll")),
     ]
     for rows, stamp, kind in warehouse_rows:
         raw = fam.raw_device(rows, as_text=True)
@@ -165,4 +166,34 @@ def refresh_layers(spark, sf_dir):
         land_batch(raw(ev, as_text=True), f"{work}/in", family, fam.STAMP)
     warehouse = Warehouse(spark, work)
     warehouse.refresh(f"{work}/in", _AS_OF)
-    return warehouse.read("gold_user_conversion")
+    return money_rounded(warehouse.read("gold_user_conversion"))
+
+
+@query("SELECT * FROM gold_conversion", ("gold_conversion",))
+def refresh_stream(spark, sf_dir):
+    """A sink for each family, transactions first: each builds what its inputs allow."""
+    work = shared_path(spark, "refresh")
+    ev = fam.events(spark, sf_dir)
+    warehouse = Warehouse(spark, work)
+    for family in ("transaction", "session", "device"):
+        land_batch(fam.RAW[family](ev, as_text=True), f"{work}/in", family, fam.STAMP)
+        sink = streams.refresh_sink(warehouse, family, _AS_OF)
+        streams.drain(streams.read_family(spark, f"{work}/in", family), sink, f"{work}/checkpoint-{family}")
+    return money_rounded(warehouse.read("gold_user_conversion"))
+
+
+@query(
+    """SELECT 'unique' AS "check", 'event_id' AS "column", count(*) AS failing_rows FROM events WHERE event_id % 10 = 0
+    UNION ALL SELECT 'accepted_values', 'event_type', count(*) FROM events WHERE event_id % 10 = 0"""
+)
+def refresh_reports(spark, sf_dir):
+    """The failed checks of a bronze build from batches with repeated keys and unknown event types."""
+    work = shared_path(spark, "refresh")
+    ev = fam.events(spark, sf_dir)
+    for family, raw in fam.RAW.items():
+        land_batch(raw(ev, as_text=True), f"{work}/in", family, fam.STAMP)
+    odd = fam.raw_device(ev.where(F.col("event_id") % 10 == 0), as_text=True).withColumn("event_type", F.lit("hover"))
+    land_batch(odd, f"{work}/in", "device", "20240131_010000")
+    reports = Warehouse(spark, work).refresh(f"{work}/in", _AS_OF, layers=("bronze",))
+    failed = reports["bronze_device_events"].where(~F.col("passed"))
+    return failed.select("check", "column", "failing_rows")
