@@ -56,12 +56,19 @@ class CheckFailure(ValueError):
 
 @dataclass
 class Warehouse:
-    """The layer tables under one root folder."""
+    """The layer tables under one root folder.
+
+    `salts` spreads a heavy user of the activity join further. With `keep_versions` each build is
+    followed by upkeep: days in many files are folded and versions beyond the newest so many expire,
+    which readers of older ones must be able to bear.
+    """
 
     spark: SparkSession
     root: str
     lookback_minutes: int = LOOKBACK_MINUTES
     retract_unmatched: bool = False
+    salts: int = 1
+    keep_versions: int | None = None
 
     def __post_init__(self) -> None:
         require_utc(self.spark)
@@ -116,7 +123,7 @@ class Warehouse:
             batch = silver.silver_transactions(self.read("bronze_transaction_events"), **options)
         else:
             batch = silver.silver_user_activity(
-                self.read("bronze_device_events"), self.read("bronze_session_events"), **options
+                self.read("bronze_device_events"), self.read("bronze_session_events"), salts=self.salts, **options
             )
         return table.upsert(batch, _LAYOUT[name][0], retract=retract)
 
@@ -162,6 +169,9 @@ class Warehouse:
         reports: dict[str, DataFrame] = {}
 
         def built(name: str) -> None:
+            if self.keep_versions:
+                self.table(name).compact()
+                self.table(name).expire(self.keep_versions)
             if name in SUITES:
                 reports[name] = self.check(name)
                 failed = [f"{r['check']} {r['column']}: {r['failing_rows']}" for r in reports[name].collect() if not r["passed"]]

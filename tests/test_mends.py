@@ -89,3 +89,14 @@ def test_a_build_with_bad_rows_is_reported_or_stopped(spark, sf_dir, tmp_path):
     (tmp_path / "none").mkdir()
     with pytest.raises(ValueError, match="no event files"):
         Warehouse(spark, str(tmp_path / "v")).refresh(str(tmp_path / "none"), datetime.fromisoformat(fam.AS_OF))
+
+
+def test_upkeep_folds_files_and_expires_versions(spark, sf_dir, tmp_path):
+    ev = fam.events(spark, sf_dir).limit(60)
+    warehouse = Warehouse(spark, str(tmp_path / "w"), keep_versions=2, salts=2)
+    for k in range(3):
+        for family, raw in fam.RAW.items():
+            land_batch(raw(ev.where(F.col("event_id") % 3 == k), as_text=True), str(tmp_path / "in"), family, f"2024013{k}_000000")
+        warehouse.refresh(str(tmp_path / "in"), datetime.fromisoformat(fam.AS_OF), layers=("bronze", "silver"))
+    table = warehouse.table("bronze_device_events")
+    assert len(table.versions()) <= 2 and table.read().count() == 60
