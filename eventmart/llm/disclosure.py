@@ -27,6 +27,7 @@ passed on; other columns are kept by `sanitised` and not read; empty tables give
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -101,6 +102,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+class Taken:
+    """Which stretches of a text spans cover, asked in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, _, b in spans:
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def __call__(self, begin: int, end: int) -> bool:
+        i = bisect_right(self.ends, begin)
+        return i < len(self.starts) and self.starts[i] < end
+
+
 def _entity(text: str, start: int, kind: int, end: int) -> str:
     value = text[start:end]
     return f"{KINDS[kind]}:{NOT_DIGIT.sub('', value) if kind > 1 else value.lower()}"
@@ -134,12 +153,13 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text)]
             begins = [w[0] for w in words]
             near: dict[str, set[str]] = {}
+            taken = Taken(spans)
             for start, kind, end in spans:
-                first = max(0, int(np.searchsorted(begins, start, "right")) - 1)
-                last = int(np.searchsorted(begins, end, "left"))
+                first = max(0, bisect_right(begins, start) - 1)
+                last = bisect_left(begins, end)
                 held = near.setdefault(_entity(text, start, kind, end), set())
                 for w in words[max(0, first - REACH) : first] + words[last : last + REACH]:
-                    if not any(a < w[1] and w[0] < b for a, _, b in spans) and (t := term_of(w[2])):
+                    if not taken(w[0], w[1]) and (t := term_of(w[2])):
                         held.add(t)
             h = _signed(_hash(text))
             for e, found in near.items():
@@ -230,11 +250,12 @@ def _all_spans(shared, id_kind):
                 spans.append([{"start": a, "kind": k, "end": b} for a, k, b in base])
                 found = []
                 if test and (terms := set(test(list(set(text.split()))))):
+                    taken = Taken(base)
                     for m in TOKEN.finditer(text):
                         core = m[0].strip(OUTER)
                         if core.lower() in terms:
                             a = m.start() + m[0].index(core)
-                            if not any(s < a + len(core) and a < e for s, _, e in base):
+                            if not taken(a, a + len(core)):
                                 found.append({"term": core.lower(), "start": a, "end": a + len(core)})
                 hits.append(found)
             yield pa.record_batch([batch.column(0), pa.array(spans, kinds), pa.array(hits, hits_type)], ["id", "base", "hits"])
