@@ -5,6 +5,7 @@ from __future__ import annotations
 from eventmart.operators.quality import accepted_range, accepted_values, not_null, unique
 from eventmart.schemas import DEVICE_TYPES, ENGAGEMENT_CATEGORIES, EVENT_TYPES
 
+# Which columns each table is checked on, and against what.
 BRONZE_DEVICE = [
     not_null("event_id"),
     unique("event_id"),

@@ -16,6 +16,7 @@ PRODUCT_CATEGORIES = ["electronics", "clothing", "food", "books", "toys", "sport
 ENGAGEMENT_CATEGORIES = ["highly_engaged", "engaged", "moderate", "low"]
 NO_SESSION = "no_session"
 
+# Names and types of the raw files.
 PAYLOAD = T.StructType(
     [
         T.StructField("screen_resolution", T.StringType()),
@@ -54,6 +55,7 @@ PAYLOAD = T.StructType(
     ]
 )
 
+# Fixed values, as above.
 DEVICE_RAW = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -67,6 +69,7 @@ DEVICE_RAW = T.StructType(
     ]
 )
 
+# Fixed values, as above.
 SESSION_RAW = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
@@ -83,6 +86,7 @@ SESSION_RAW = T.StructType(
     ]
 )
 
+# Fixed values, as above.
 TRANSACTION_RAW = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -102,6 +106,7 @@ TRANSACTION_RAW = T.StructType(
 )
 
 # Leaf path in the payload -> (silver column, silver type).
+# Fixed values, as above.
 PAYLOAD_LEAVES = {
     "screen_resolution": ("screen_resolution", "string"),
     "browser": ("browser", "string"),
