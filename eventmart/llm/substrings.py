@@ -131,6 +131,16 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names)
 
 
+def _filtered(shared):
+    """Anchors whose gram the filter lets through."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(shared.value, batch.column(2).to_numpy().view(np.uint64))))
+
+    return run
+
+
 def _contexts(shared):
     """Of anchors whose gram the filter lets through: the context's bytes and how many stand before the anchor."""
 
@@ -344,11 +354,15 @@ def repeated_spans(df: DataFrame) -> DataFrame:
     """
     texts = df.select(row_key(df).alias("uid"), text_or_empty(df).alias("text"))
     anchors = stage(texts.mapInArrow(_anchors, "uid bigint, pos bigint, gram bigint, context bigint"))
-    kinds = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
-    unlike = stage(
-        kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).where("n > 1")
+    grams = anchors.groupBy("gram").agg(
+        F.count("*").alias("n"), (F.min("context") < F.max("context")).alias("unlike")
     )
-    shared, n = build_filter(unlike.where("kinds > 1").select(F.col("gram").alias("h")))
+    grams = stage(grams.where("n > 1").select("gram", "unlike"))
+    # Most grams are met once; their anchors go before anything else is shuffled.
+    again, n = build_filter(grams.select(F.col("gram").alias("h")))
+    anchors = anchors.mapInArrow(_filtered(again), anchors.schema)
+    kinds = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
+    shared, n = build_filter(grams.where("unlike").select(F.col("gram").alias("h")))
     side = LENGTH - GRAM
     equal = kinds.where("n > 1").select(
         "gram", "context", F.array(F.lit(-side)).alias("begins"), F.array(F.lit(LENGTH)).alias("ends")
@@ -358,9 +372,9 @@ def repeated_spans(df: DataFrame) -> DataFrame:
         schema = "gram bigint, context bigint, before int, raw binary"
         fetched = texts.select("text").mapInArrow(_contexts(shared), schema)
         fetched = fetched.groupBy("gram", "context").agg(F.min(F.struct("before", "raw")).alias("c"))
-        fetched = stage(
-            fetched.join(unlike.where("kinds > 1").select("gram", "kinds"), "gram").select("gram", "context", "c.*", "kinds")
-        )
+        fetched = stage(fetched.select("gram", "context", "c.*"))
+        sizes = fetched.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        fetched = fetched.join(sizes, "gram")
         usual = fetched.where(F.col("kinds") <= GROUP_MOST).drop("kinds")
         tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         usual = usual.repartition(tasks, "gram").sortWithinPartitions("gram", "context")
