@@ -24,5 +24,5 @@ def count_words(text: Column) -> Column:
 
 
 def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Only these columns, found by exact position so that other columns may repeat a name's case."""
+    """Only these columns; the others never reach a task. Names that differ in case alone are ambiguous, as in Spark itself."""
     return df.select(*[df[name] for name in names])
