@@ -8,10 +8,11 @@ Network: h = tanh(sum over the 2 x `REACH` neighbours of T_j[id] + b); then
 log P(id) = log softmax(h U + a)[class] + log softmax(h M_class + c_class)[member], normalised exactly over
 all ids, and evenly over the distinct words of a hashed id. A document's score is the sum over its tokens; outside its ends stands a padding id.
 
-Training covers every document of the corpus: in each round each partition predicts a masked `SHARE` of the
-positions of each of its texts with Adagrad from the same parameters, and the partitions' changes are averaged,
-row by row of the tables weighed by how often a partition touched the row, in a tree of shuffled sums. What
-reaches the driver is one set of parameters; what is gathered for it grows with the input.
+Training covers every position of every document: a hash of the text and the position deals each of them to one of
+the rounds. In a round each partition predicts its share of positions with Adagrad from the same parameters, and
+the partitions' changes are averaged, row by row of the tables weighed by how often a partition touched the
+row, in a tree of shuffled sums. What reaches the driver is one set of parameters; what is gathered for it
+grows with the input. Texts are turned into ids once and stored for the rounds.
 
 Edge cases: null and empty texts have 0 tokens, sum 0.0 and a null mean; a text of any length is scored whole in
 slices; repeated rows are scored (and trained on) each; a null id is passed on; other columns are not read; an empty
@@ -36,7 +37,6 @@ MEMBERS = 64
 REACH = 2
 HIDDEN = 16
 ROUNDS = 2
-SHARE = 0.1
 RATE = 0.1
 BATCH = 4096
 SLICE = 1 << 14
@@ -67,73 +67,112 @@ def start(counts: np.ndarray, rare_words: int = 0, seed: int = 11) -> Params:
     }
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exps(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logarithms of the row sums of exp(x), and the sums by which the overwritten `x` is still to be divided."""
+    shift = 0.0
+    # Subtracting the row maximum takes longer than the rest; it is needed for extreme numbers only.
+    if len(x) and not (x.max() < 60 and x.min() > -60):
+        shift = x.max(axis=1)
+        x -= shift[:, None]
+    sums = np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype)
+    return np.log(sums) + shift, sums
 
 
-def _log_share(x: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """The log softmax of one column in each row; `x` is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), of]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+def _with_bias(p: Params, table: str, bias: str) -> np.ndarray:
+    return np.concatenate((p[table], p[bias][..., None, :]), axis=-2)
+
+
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts targets by class, and where the classes begin in it."""
+    kind = (target // MEMBERS).astype(np.uint8)
+    return np.argsort(kind, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(kind, minlength=CLASSES))))
+
+
+def _member_scores(h: np.ndarray, tables: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out = np.empty((len(h), MEMBERS), h.dtype)
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        np.matmul(h[ends[k] : ends[k + 1]], tables[k], out=out[ends[k] : ends[k + 1]])
+    return out
 
 
 def _hidden(p: Params, context: np.ndarray) -> np.ndarray:
     z = p["T"][0][context[:, 0]]
     for j in range(1, len(OFFSETS)):
         z += p["T"][j][context[:, j]]
-    return np.tanh(z + p["b"])
+    z += p["b"]
+    return np.tanh(z, out=z)
+
+
+def _hidden_one(p: Params, context: np.ndarray) -> np.ndarray:
+    """The hidden layer and a column of ones, which stands for the biases."""
+    h = _hidden(p, context)
+    return np.concatenate((h, np.ones((len(h), 1), h.dtype)), axis=1)
 
 
 def log_prob(p: Params, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log P(target | context) of each row, a slice at a time."""
     out = np.empty(len(target), np.float64)
+    classes, members = _with_bias(p, "U", "a"), _with_bias(p, "M", "c")
     for at in range(0, len(target), SLICE):
-        h, t = _hidden(p, context[at : at + SLICE]), target[at : at + SLICE]
-        kind, member = t // MEMBERS, t % MEMBERS
-        score = _log_share(h @ p["U"] + p["a"], kind).astype(np.float64)
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            rows = order[ends[k] : ends[k + 1]]
-            if len(rows):
-                score[rows] += _log_share(h[rows] @ p["M"][k] + p["c"][k], member[rows])
+        order, ends = _by_class(target[at : at + SLICE])
+        t = target[at : at + SLICE][order]
+        h, own = _hidden_one(p, context[at : at + SLICE][order]), np.arange(len(t))
+        x = h @ classes
+        score = x[own, t // MEMBERS].astype(np.float64)
+        score -= _exps(x)[0]
+        x = _member_scores(h, members, ends)
+        score += x[own, t % MEMBERS]
+        score -= _exps(x)[0]
         # A hashed id stands for many words; among them a word is as likely as any other.
-        out[at : at + SLICE] = score + np.where(t >= TOP, float(p["r"]), 0.0)
+        out[at + order] = score + np.where(t >= TOP, float(p["r"]), 0.0)
     return out
 
 
+def _dense_gradients(p: Params, context: np.ndarray, target: np.ndarray) -> tuple[float, Params]:
+    """Mean loss and gradients of all parameters."""
+    order, ends = _by_class(target)
+    context, target = context[order], target[order]
+    n, own, kind, member = len(target), np.arange(len(target)), target // MEMBERS, target % MEMBERS
+    classes, members = _with_bias(p, "U", "a"), _with_bias(p, "M", "c")
+    h = _hidden_one(p, context)
+    d = h @ classes
+    loss = -float(d[own, kind].sum())
+    logs, sums = _exps(d)
+    loss += float(logs.sum())
+    d /= sums[:, None]
+    d[own, kind] -= 1
+    grad_u = h.T @ d
+    dh = d @ classes.T
+    d = _member_scores(h, members, ends)
+    loss -= float(d[own, member].sum())
+    logs, sums = _exps(d)
+    loss += float(logs.sum())
+    d /= sums[:, None]
+    d[own, member] -= 1
+    grad_m = np.zeros_like(members)
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        a, b = ends[k], ends[k + 1]
+        np.matmul(h[a:b].T, d[a:b], out=grad_m[k])
+        dh[a:b] += d[a:b] @ members[k].T
+    grad_m /= n
+    h, dz = h[:, :-1], dh[:, :-1]
+    dz = dz * (1 - h * h) / n
+    grad = {"b": dz.sum(axis=0), "U": grad_u[:-1] / n, "a": grad_u[-1] / n, "M": grad_m[:, :-1], "c": grad_m[:, -1]}
+    cells, flat = np.arange(HIDDEN), dz.ravel()
+    grad["T"] = np.stack(
+        [
+            np.bincount((c[:, None] * HIDDEN + cells).ravel(), flat, (SIZE + 1) * HIDDEN).reshape(SIZE + 1, HIDDEN).astype(dz.dtype)
+            for c in context.T
+        ]
+    )
+    return loss / n, grad
+
+
 def gradients(p: Params, context: np.ndarray, target: np.ndarray) -> tuple[float, Params, list[tuple[np.ndarray, np.ndarray]]]:
     """Mean loss, dense gradients, and of each table the rows touched and their gradients."""
-    n = len(target)
-    h, kind, member = _hidden(p, context), target // MEMBERS, target % MEMBERS
-    own = np.arange(n)
-    lp = _log_softmax(h @ p["U"] + p["a"])
-    loss = -float(lp[own, kind].sum())
-    d = np.exp(lp)
-    d[own, kind] -= 1
-    grad = {"U": h.T @ d, "a": d.sum(axis=0), "M": np.zeros_like(p["M"]), "c": np.zeros_like(p["c"])}
-    dh = d @ p["U"].T
-    order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for k in np.flatnonzero(np.diff(ends)):
-        rows = order[ends[k] : ends[k + 1]]
-        lp = _log_softmax(h[rows] @ p["M"][k] + p["c"][k])
-        at = np.arange(len(rows))
-        loss -= float(lp[at, member[rows]].sum())
-        d = np.exp(lp)
-        d[at, member[rows]] -= 1
-        grad["M"][k], grad["c"][k] = h[rows].T @ d, d.sum(axis=0)
-        dh[rows] += d @ p["M"][k].T
-    dz = dh * (1 - h * h)
-    grad["b"] = dz.sum(axis=0)
-    sparse = []
-    for j in range(len(OFFSETS)):
-        order = np.argsort(context[:, j], kind="stable")
-        ids, first = np.unique(context[order, j], return_index=True)
-        sparse.append((ids, np.add.reduceat(dz[order], first, axis=0)))
-    return loss / n, {k: g / n for k, g in grad.items()}, [(i, g / n) for i, g in sparse]
+    loss, grad = _dense_gradients(p, context, target)
+    table = grad.pop("T")
+    return loss, grad, [(ids := np.unique(context[:, j]), table[j][ids]) for j in range(len(OFFSETS))]
 
 
 def train(p: Params, examples: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[Params, Params, int]:
@@ -143,16 +182,14 @@ def train(p: Params, examples: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple
     touched = {k: np.zeros(v.shape[:1] if k in ("M", "c") else v.shape[:2] if k == "T" else (), np.float32) for k, v in p.items()}
     n = 0
     for context, target in examples:
-        _, grad, sparse = gradients(p, context, target)
+        _, grad = _dense_gradients(p, context, target)
         n += len(target)
         seen = np.bincount(target // MEMBERS, minlength=CLASSES)
         for k, g in grad.items():
             past[k] += g * g
             p[k] -= RATE * g / np.sqrt(past[k])
-            touched[k] += seen if k in ("M", "c") else len(target)
-        for j, (ids, g) in enumerate(sparse):
-            past["T"][j][ids] += g * g
-            p["T"][j][ids] -= RATE * g / np.sqrt(past["T"][j][ids])
+            if k != "T":
+                touched[k] += seen if k in ("M", "c") else len(target)
         for j in range(len(OFFSETS)):
             touched["T"][j] += np.bincount(context[:, j], minlength=SIZE + 1)
     return p, touched, n
@@ -188,11 +225,15 @@ def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + REACH + o] for o in OFFSETS], axis=1)
 
 
-def masked(ids: np.ndarray, round_no: int) -> np.ndarray:
-    """The positions that a round predicts: a share of each text, another in each round."""
-    n = len(ids)
-    mixed = (np.arange(n, dtype=np.uint64) + np.uint64(n + 1)) * np.uint64(0x9E3779B97F4A7C15 + 2 * round_no)
-    return np.flatnonzero((mixed >> np.uint64(40)) < np.uint64(int(SHARE * (1 << 24))))
+def masked(ids: np.ndarray, round_no: int, rounds: int = ROUNDS) -> np.ndarray:
+    """The positions that a round predicts; over all rounds every position of a text comes up once."""
+    from xxhash import xxh64_intdigest
+
+    # A finished 64-bit mixer over text and position: every bit of the result hangs on all bits of both.
+    x = np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(xxh64_intdigest(ids.tobytes()))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return np.flatnonzero((x ^ (x >> np.uint64(31))) % np.uint64(rounds) == np.uint64(round_no))
 
 
 def word_counts(df: DataFrame) -> DataFrame:
@@ -216,13 +257,32 @@ def word_counts(df: DataFrame) -> DataFrame:
     return keep_columns(df, ["text"]).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _pieces(batches, to_ids: Ids, round_no: int):
+def encoded(df: DataFrame, words: list[str]) -> DataFrame:
+    """`row, doc_id, ids` of every row, stored: the ids of its words as 16-bit numbers."""
+    shared = df.sparkSession.sparkContext.broadcast(words)  # vocabulary: of fixed size
+
+    def run(batches):
+        to_ids = Ids(shared.value)
+        for batch in batches:
+            ids = [to_ids(text.as_py()).astype("<u2").tobytes() for text in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    kind = df.schema["doc_id"].dataType.simpleString()
+    out = keep_columns(df, ["doc_id", "text"]).mapInArrow(run, f"doc_id {kind}, ids binary")
+    return stage(out.withColumn("row", F.monotonically_increasing_id()))
+
+
+def _ids_of(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_py(), "<u2").astype(np.int32)
+
+
+def _pieces(batches, round_no: int, rounds: int):
     """Minibatches of (contexts, targets) from a partition's texts."""
     held_c, held_t, n = [], [], 0
     for batch in batches:
-        for text in batch.column(0):
-            ids = to_ids(text.as_py())
-            at = masked(ids, round_no)
+        for value in batch.column(0):
+            ids = _ids_of(value)
+            at = masked(ids, round_no, rounds)
             if not len(at):
                 continue
             held_c.append(contexts(ids, at))
@@ -247,9 +307,8 @@ def _spread(weight: np.ndarray, like: np.ndarray) -> np.ndarray:
     return weight.reshape(weight.shape + (1,) * (like.ndim - weight.ndim))
 
 
-def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
-    """The vocabulary and trained parameters; both of fixed size."""
-    sc = df.sparkSession.sparkContext
+def vocabulary(df: DataFrame) -> tuple[list[str], Params]:
+    """The words with ids of their own, and first parameters."""
     counted = stage(word_counts(df))
     best = counted.orderBy(F.col("n").desc(), "word").limit(TOP).toArrow()
     words, counts = best.column(0).to_pylist(), np.zeros(SIZE)
@@ -257,14 +316,19 @@ def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
     # Words without an id of their own: their frequency spread over the hashed ids.
     total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     counts[TOP:] = (total - counts.sum()) / BUCKETS
-    p = start(counts, max(0, distinct - TOP))
-    vocabulary = sc.broadcast(words)
+    return words, start(counts, max(0, distinct - TOP))
+
+
+def trained(encoded_rows: DataFrame, p: Params, rounds: int = ROUNDS) -> Params:
+    """Parameters after `rounds` passes over encoded rows, each over its own share of their positions."""
+    p = dict(p)
+    sc = encoded_rows.sparkSession.sparkContext
     for round_no in range(rounds):
         shared = sc.broadcast(p)  # parameters: of fixed size, 1.3 MB
 
         def run(batches, shared=shared, round_no=round_no):
             old = shared.value
-            new, touched, n = train(old, _pieces(batches, Ids(vocabulary.value), round_no))
+            new, touched, n = train(old, _pieces(batches, round_no, rounds))
             if n:
                 change = [((new[k] - old[k]) * _spread(touched[k], old[k])).tobytes() for k in NAMES]
                 weight = [touched[k].tobytes() for k in NAMES]
@@ -273,7 +337,7 @@ def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
         def plus(x, y):
             return x[0] + y[0], x[1] + y[1]
 
-        changes = keep_columns(df, ["text"]).mapInArrow(run, "change binary, weight binary").rdd.map(
+        changes = encoded_rows.select("ids").mapInArrow(run, "change binary, weight binary").rdd.map(
             lambda r: (np.frombuffer(r[0], np.float32), np.frombuffer(r[1], np.float32))
         )
         empty = (np.zeros(1, np.float32), np.zeros(1, np.float32))
@@ -288,16 +352,33 @@ def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
             p[k] = p[k] + change[at : at + size].reshape(p[k].shape) / np.maximum(touched, 1)
             at, w = at + size, w + rows
         shared.unpersist()
-    return words, p
+    return p
+
+
+def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
+    """The vocabulary and trained parameters; both of fixed size."""
+    words, p = vocabulary(df)
+    return words, trained(encoded(df, words), p, rounds)
 
 
 def scored(df: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
     """`doc_id, n_tokens, pseudo_log_likelihood, mean_log_prob` of every document."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # vocabulary and parameters: of fixed size
+    return scored_rows(encoded(df, model[0]), model)
+
+
+def fit_scored(df: DataFrame) -> DataFrame:
+    """`scored` of every document under the network trained on all of them; ids are made once."""
+    words, p = vocabulary(df)
+    rows = encoded(df, words)
+    return scored_rows(rows, (words, trained(rows, p)))
+
+
+def scored_rows(rows: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
+    """`scored` of encoded rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(model[1])  # parameters: of fixed size
 
     def run(batches):
-        words, p = shared.value
-        to_ids = Ids(words)
+        p = shared.value
         for batch in batches:
             sums, sizes = [], []
             held, ends, n = [], [0], 0
@@ -311,8 +392,8 @@ def scored(df: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
                 sums.extend((total[ends[1:]] - total[ends[:-1]]).tolist())
                 sizes.extend(np.diff(ends).tolist())
 
-            for text in batch.column(1):
-                ids = to_ids(text.as_py())
+            for value in batch.column(1):
+                ids = _ids_of(value)
                 held.append((contexts(ids, np.arange(len(ids))), ids))
                 n += len(ids)
                 ends.append(n)
@@ -326,7 +407,7 @@ def scored(df: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
                 ["doc_id", "n_tokens", "pseudo_log_likelihood", "mean_log_prob"],
             )
 
-    kind = df.schema["doc_id"].dataType.simpleString()
-    return keep_columns(df, ["doc_id", "text"]).mapInArrow(
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "ids").mapInArrow(
         run, f"doc_id {kind}, n_tokens bigint, pseudo_log_likelihood double, mean_log_prob double"
     )

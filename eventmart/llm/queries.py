@@ -169,8 +169,7 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under the network trained on all of them."""
-    docs = table(spark, sf_dir, "documents")
-    return masked_lm.scored(docs, masked_lm.fit(docs))
+    return masked_lm.fit_scored(table(spark, sf_dir, "documents"))
 
 
 @query()

@@ -67,6 +67,26 @@ def test_lm_scores(spark):
     assert masked_lm.scored(empty, masked_lm.fit(empty)).count() == 0
 
 
+def test_rounds_share_out_every_position():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 5, 9, 40, 3000, 100_000):
+        ids = rng.integers(0, masked_lm.SIZE, n).astype(np.int32)
+        dealt = [masked_lm.masked(ids, r) for r in range(masked_lm.ROUNDS)]
+        assert np.concatenate(dealt).size == n and set(np.concatenate(dealt).tolist()) == set(range(n))
+        if n > 1000:
+            assert all(abs(len(d) / n - 1 / masked_lm.ROUNDS) < 0.05 for d in dealt)
+    # Texts of one length learn different places.
+    a, b = (masked_lm.masked(rng.integers(0, masked_lm.SIZE, 200).astype(np.int32), 0) for _ in range(2))
+    assert a.tolist() != b.tolist()
+
+
+def test_extreme_numbers_do_not_overflow():
+    p, context, target = small(2)
+    p["c"][:] *= 400
+    want = masked_lm.log_prob({k: np.asarray(v, np.float64) for k, v in p.items()}, context, target)
+    assert np.allclose(masked_lm.log_prob(p, context, target), want, rtol=1e-4) and np.isfinite(want).all()
+
+
 def test_cnn_gradients_match_differences():
     rng = np.random.default_rng(2)
     p = {
