@@ -6,7 +6,10 @@ frequency order.
 
 Network: h = tanh(sum over the 2 x `REACH` neighbours of T_j[id] + b); then
 log P(id) = log softmax(h U + a)[class] + log softmax(h M_class + c_class)[member], normalised exactly over
-all ids, and evenly over the distinct words of a hashed id. A document's score is the sum over its tokens; outside its ends stands a padding id.
+all ids. A hashed id's probability is split by corpus counts: a word that was counted n times has n / (N + 1) of it, N
+being the counts of all words of the id, and a word that was never counted the 1 / (N + 1) left over. These counts
+grow with the corpus; they stay in a stored table and are joined to the rare words of each document. A document's
+score is the sum over its tokens; outside its ends stands a padding id.
 
 Training covers every position of every document: a hash of the text and the position deals each of them to one of
 the rounds. In a round each partition predicts its share of positions with Adagrad from the same parameters, and
@@ -42,6 +45,7 @@ BATCH = 4096
 SLICE = 1 << 14
 WORDS_HELD = 300_000
 FLUSH = 200_000
+UNITS = 1 << 24
 
 SIZE = TOP + BUCKETS
 CLASSES = SIZE // MEMBERS
@@ -51,7 +55,7 @@ OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 Params = dict[str, np.ndarray]
 
 
-def start(counts: np.ndarray, rare_words: int = 0, seed: int = 11) -> Params:
+def start(counts: np.ndarray, seed: int = 11) -> Params:
     """First parameters: small random tables; the biases say the corpus frequencies of classes and members."""
     rng = np.random.default_rng(seed)
     freq = (counts + 1.0).reshape(CLASSES, MEMBERS)
@@ -63,7 +67,6 @@ def start(counts: np.ndarray, rare_words: int = 0, seed: int = 11) -> Params:
         "a": np.log(total[:, 0] / total.sum()).astype(np.float32),
         "M": rng.normal(0, 0.1, (CLASSES, HIDDEN, MEMBERS)).astype(np.float32),
         "c": np.log(freq / total).astype(np.float32),
-        "r": np.float32(-np.log(max(1.0, rare_words / BUCKETS))),
     }
 
 
@@ -123,8 +126,7 @@ def log_prob(p: Params, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         x = _member_scores(h, members, ends)
         score += x[own, t % MEMBERS]
         score -= _exps(x)[0]
-        # A hashed id stands for many words; among them a word is as likely as any other.
-        out[at + order] = score + np.where(t >= TOP, float(p["r"]), 0.0)
+        out[at + order] = score
     return out
 
 
@@ -206,7 +208,8 @@ class Ids:
         self.known = dict(self.top)
 
     def learn(self, word: str) -> int:
-        self.known[word] = n = TOP + self.hash(word) % BUCKETS
+        # The hash that Spark's xxhash64 gives, so that plans can tell a word's hashed id too.
+        self.known[word] = n = TOP + self.hash(word, 42) % BUCKETS
         return n
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -258,17 +261,27 @@ def word_counts(df: DataFrame) -> DataFrame:
 
 
 def encoded(df: DataFrame, words: list[str]) -> DataFrame:
-    """`row, doc_id, ids` of every row, stored: the ids of its words as 16-bit numbers."""
+    """`row, doc_id, ids, rare` of every row, stored: the ids of its words as 16-bit numbers, and its words of hashed ids with their counts."""
     shared = df.sparkSession.sparkContext.broadcast(words)  # vocabulary: of fixed size
 
     def run(batches):
         to_ids = Ids(shared.value)
         for batch in batches:
-            ids = [to_ids(text.as_py()).astype("<u2").tobytes() for text in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids, words, counts, ends = [], [], [], [0]
+            for text in batch.column(1):
+                own = to_ids(text.as_py())
+                ids.append(own.astype("<u2").tobytes())
+                said = (text.as_py() or "").lower().split()
+                rare = Counter([said[i] for i in np.flatnonzero(own >= TOP).tolist()])
+                words.extend(rare)
+                counts.extend(rare.values())
+                ends.append(len(words))
+            pairs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), rare], ["doc_id", "ids", "rare"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    out = keep_columns(df, ["doc_id", "text"]).mapInArrow(run, f"doc_id {kind}, ids binary")
+    out = keep_columns(df, ["doc_id", "text"]).mapInArrow(run, f"doc_id {kind}, ids binary, rare array<struct<word:string,n:bigint>>")
     return stage(out.withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -307,16 +320,22 @@ def _spread(weight: np.ndarray, like: np.ndarray) -> np.ndarray:
     return weight.reshape(weight.shape + (1,) * (like.ndim - weight.ndim))
 
 
-def vocabulary(df: DataFrame) -> tuple[list[str], Params]:
-    """The words with ids of their own, and first parameters."""
+def vocabulary(df: DataFrame) -> tuple[list[str], Params, DataFrame, np.ndarray]:
+    """The words with ids of their own, first parameters, the stored counts of all words, and each hashed id's count."""
+    from xxhash import xxh64_intdigest
+
     counted = stage(word_counts(df))
     best = counted.orderBy(F.col("n").desc(), "word").limit(TOP).toArrow()
     words, counts = best.column(0).to_pylist(), np.zeros(SIZE)
     counts[: len(words)] = best.column(1).to_numpy()
-    # Words without an id of their own: their frequency spread over the hashed ids.
-    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    counts[TOP:] = (total - counts.sum()) / BUCKETS
-    return words, start(counts, max(0, distinct - TOP))
+    # A hashed id has the counts of its words but those with an id of their own.
+    bucket = F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1))
+    totals = counted.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).toArrow()  # a row per hashed id
+    hashed = np.zeros(BUCKETS)
+    hashed[totals.column(0).to_numpy()] = totals.column(1).to_numpy()
+    np.subtract.at(hashed, [xxh64_intdigest(w, 42) % BUCKETS for w in words], counts[: len(words)])
+    counts[TOP:] = hashed
+    return words, start(counts), counted, hashed
 
 
 def trained(encoded_rows: DataFrame, p: Params, rounds: int = ROUNDS) -> Params:
@@ -355,37 +374,53 @@ def trained(encoded_rows: DataFrame, p: Params, rounds: int = ROUNDS) -> Params:
     return p
 
 
-def fit(df: DataFrame, rounds: int = ROUNDS) -> tuple[list[str], Params]:
-    """The vocabulary and trained parameters; both of fixed size."""
-    words, p = vocabulary(df)
-    return words, trained(encoded(df, words), p, rounds)
+Model = tuple[list[str], Params, DataFrame, np.ndarray]
+
+
+def fit(df: DataFrame, rounds: int = ROUNDS) -> Model:
+    """The vocabulary and trained parameters, of fixed size, and word counts, of which the stored table grows with the corpus."""
+    words, p, counted, hashed = vocabulary(df)
+    return words, trained(encoded(df, words), p, rounds), counted, hashed
 
 
-def scored(df: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
+def scored(df: DataFrame, model: Model) -> DataFrame:
     """`doc_id, n_tokens, pseudo_log_likelihood, mean_log_prob` of every document."""
     return scored_rows(encoded(df, model[0]), model)
 
 
 def fit_scored(df: DataFrame) -> DataFrame:
     """`scored` of every document under the network trained on all of them; ids are made once."""
-    words, p = vocabulary(df)
+    words, p, counted, hashed = vocabulary(df)
     rows = encoded(df, words)
-    return scored_rows(rows, (words, trained(rows, p)))
+    return scored_rows(rows, (words, trained(rows, p), counted, hashed))
 
 
-def scored_rows(rows: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
+def rare_sums(rows: DataFrame, counted: DataFrame) -> DataFrame:
+    """`row, own`: the sum of log n over the tokens of hashed ids, n being a word's count in the corpus.
+
+    Words met once or never add 0. Summed in whole units, so that the order of rows does not show.
+    """
+    units = F.round(F.log("n_all") * F.lit(float(UNITS))).cast("long")
+    known = counted.where("n > 1").select("word", F.col("n").alias("n_all"))
+    rare = rows.select("row", F.inline("rare")).join(known, "word")
+    return rare.groupBy("row").agg((F.sum(F.col("n") * units) / F.lit(float(UNITS))).alias("own"))
+
+
+def scored_rows(rows: DataFrame, model: Model) -> DataFrame:
     """`scored` of encoded rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(model[1])  # parameters: of fixed size
+    # Parameters and the hashed ids' shares: of fixed size.
+    shared = rows.sparkSession.sparkContext.broadcast((model[1], np.concatenate((np.zeros(TOP), np.log(model[3] + 1)))))
 
     def run(batches):
-        p = shared.value
+        p, spread = shared.value
         for batch in batches:
             sums, sizes = [], []
             held, ends, n = [], [0], 0
 
             def close():
                 if n:
-                    logs = log_prob(p, np.concatenate([c for c, _ in held]), np.concatenate([t for _, t in held]))
+                    targets = np.concatenate([t for _, t in held])
+                    logs = log_prob(p, np.concatenate([c for c, _ in held]), targets) - spread[targets]
                     total = np.concatenate(([0.0], np.cumsum(logs)))
                 else:
                     total = np.zeros(1)
@@ -401,13 +436,14 @@ def scored_rows(rows: DataFrame, model: tuple[list[str], Params]) -> DataFrame:
                     close()
                     held, ends, n = [], [0], 0
             close()
-            means = [s / k if k else None for s, k in zip(sums, sizes)]
             yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-                ["doc_id", "n_tokens", "pseudo_log_likelihood", "mean_log_prob"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
+                ["row", "doc_id", "n_tokens", "net"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, pseudo_log_likelihood double, mean_log_prob double"
-    )
+    net = rows.select("row", "ids", "doc_id").mapInArrow(run, f"row bigint, doc_id {kind}, n_tokens bigint, net double")
+    out = net.join(rare_sums(rows, model[2]), "row", "left")
+    total = F.col("net") + F.coalesce("own", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
+    return out.select("doc_id", "n_tokens", total.alias("pseudo_log_likelihood"), mean.alias("mean_log_prob"))

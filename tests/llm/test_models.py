@@ -67,6 +67,26 @@ def test_lm_scores(spark):
     assert masked_lm.scored(empty, masked_lm.fit(empty)).count() == 0
 
 
+def test_rare_words_score_by_their_own_counts(spark):
+    # Words of ids of their own, and then rare ones of two counts, of one hashed id.
+    from xxhash import xxh64_intdigest
+
+    often, once, never = [w for i in range(20_000) if xxh64_intdigest(w := f"rare{i}", 42) % masked_lm.BUCKETS == 7][:3]
+    common = " ".join(f"w{i} w{i} w{i} w{i}" for i in range(masked_lm.TOP))
+    rows = [(0, common), (1, common), (2, f"{often} {often} {once}"), (3, often)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = masked_lm.fit(df, rounds=1)
+    test = spark.createDataFrame([(1, often), (2, once), (3, never), (4, f"{often} {often} w1"), (4, f"{never} {often} w1")], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.pseudo_log_likelihood, r.n_tokens) for r in masked_lm.scored(test, model).collect())
+    id_ = np.array([masked_lm.TOP + 7])
+    net = masked_lm.log_prob(model[1], np.full((1, 4), masked_lm.PAD), id_)[0]
+    assert model[3][7] == 4
+    for (_, score, _), share in zip(got[:3], (3 / 5, 1 / 5, 1 / 5)):
+        assert score == pytest.approx(net + np.log(share), abs=1e-5)
+    assert len(got) == 5 and got[4][1] - got[3][1] == pytest.approx(np.log(3), abs=1e-5)
+    assert masked_lm.scored(df, model).count() == len(rows)
+
+
 def test_rounds_share_out_every_position():
     rng = np.random.default_rng(5)
     for n in (0, 1, 2, 5, 9, 40, 3000, 100_000):
