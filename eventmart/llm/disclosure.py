@@ -7,9 +7,15 @@ entity. Over the whole corpus, with documents as the unit of counting,
     P(entity | term) = documents with the term beside the entity / documents with the term
     disclosure       = log2(P(entity | term) / P(entity))
 
-A term met beside one entity in at least `SUPPORT` different texts discloses it when
-P(entity | term) >= `GENERALISE` and disclosure >= `LEAST_BITS`: it is then generalised wherever it
-stands, beside the entity or not, and removed when P(entity | term) >= `REMOVE`.
+A term discloses an entity when P(entity | term) >= `GENERALISE` and disclosure >= `LEAST_BITS`: it is then
+generalised wherever it stands, beside the entity or not, and removed when P(entity | term) >= `REMOVE`.
+
+A pair met in fewer than `SUPPORT` different texts has little evidence, so its P(entity | term) is shrunk towards
+P(entity): with s texts, d documents of them and the plain share q it is (s + w P(entity)) / (s / q + w). The prior
+weight w is `PRIOR` documents for each document of a text, d / s, as words of a text that stands many times
+are rather its own than a person's. So a term met once, in one text, beside an entity is generalised (2/3), one met
+twice and once of it beside the entity is not (2/5), and two of two are removed (4/5). Variants of an
+entity count as one: case, separators, leading zeros of addresses, and what follows a plus sign in a mailbox.
 
 Three scans: entities and the terms beside them; document counts of those terms; spans. Terms
 reach the tasks as a filter of bounded size and are matched exactly in joins, so neither
@@ -42,6 +48,8 @@ from eventmart.session import stage
 
 REACH = 5
 SUPPORT = 3
+#: Weight of P(entity), in documents, where a pair has fewer texts.
+PRIOR = 0.5
 GENERALISE = 0.5
 REMOVE = 0.8
 LEAST_BITS = 5.0
@@ -122,7 +130,14 @@ class Taken:
 
 def _entity(text: str, start: int, kind: int, end: int) -> str:
     value = text[start:end]
-    return f"{KINDS[kind]}:{NOT_DIGIT.sub('', value) if kind > 1 else value.lower()}"
+    if kind > 1:
+        value = NOT_DIGIT.sub("", value)
+    elif kind == 1:
+        value = ".".join(p.lstrip("0") or "0" for p in value.split("."))
+    else:
+        box, _, host = value.lower().partition("@")
+        value = f"{box.partition('+')[0] or box}@{host}"
+    return f"{KINDS[kind]}:{value}"
 
 
 def term_of(word: str) -> str | None:
@@ -222,13 +237,16 @@ def disclosing_terms(df: DataFrame) -> DataFrame:
     # Copies count once for support: first by text, then over texts.
     by_text = rows.groupBy("entity", "term", "text").agg(F.count("*").alias("n"))
     both = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support"))
-    both = stage(both.where(F.col("support") >= SUPPORT).join(entities, "entity"))
+    both = stage(both.join(entities, "entity"))
     shared, n = build_filter(both.select(F.xxhash64("term").alias("h")))
     if not n:
         return both.select("term", F.lit(0.0).alias("share"), F.lit(0.0).alias("bits"), F.lit(False).alias("removed")).limit(0)
     counted = texts.mapInArrow(_count_terms(shared), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
     total = df.count()
-    share = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
+    plain = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
+    weight = F.lit(PRIOR) * F.col("n_both") / F.col("support")
+    shrunk = (F.col("support") + weight * F.col("n_entity") / F.lit(float(total))) / (F.col("support") / plain + weight)
+    share = F.when(F.col("support") >= SUPPORT, plain).otherwise(shrunk)
     scored = both.join(counted, "term").select(
         "term", share.alias("share"), F.log2(share * F.lit(float(total)) / F.col("n_entity")).alias("bits")
     )

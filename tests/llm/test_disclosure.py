@@ -71,3 +71,19 @@ def test_sanitised_text(spark):
     assert "orblax" not in by_id[1100] and "z.orb" not in by_id[1003] and "[EMAIL]" in by_id[1003]
     assert by_id[5] == rows[5][1]
     assert disclosure.sanitised(df.limit(0)).count() == 0
+
+
+def test_terms_of_rare_entities(spark):
+    rows = [(i, f"some plain words of text number{i} go on.") for i in range(200)]
+    rows += [
+        (300, "ask Qworple at q.w@example.com for it"), (301, "ask Vandrix at v+home@example.com soon"), (302, "or Vandrix at V+work@example.com now"),
+        (303, "Mumblex 10.0.0.9 is up"), (304, "and Mumblex is down"), (305, "Mumblex again"),
+        (306, "then (Vandrix) left"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    terms = {r.term: r for r in disclosure.disclosing_terms(df).collect()}
+    assert not terms["qworple"].removed and abs(terms["qworple"].share - (1 + 0.5 / 207) / 1.5) < 1e-9
+    assert abs(terms["vandrix"].share - (2 + 0.5 * 2 / 207) / 3.5) < 1e-9  # two variants of one mailbox, three documents
+    assert "mumblex" not in terms
+    out = {r.doc_id: r.text for r in disclosure.sanitised(df).collect()}
+    assert "[TERM]" in out[300] and "Qworple" not in out[300] and out[306] == "then ([TERM]) left" and "Mumblex" in out[304] and out[5] == rows[5][1]
