@@ -10,7 +10,10 @@ An item leaks into a document if counted windows cover 80 % of its tokens or mor
 Items are never broadcast: a filter of bounded size, built from their windows, lets a document's task
 drop the windows that no item has; the rest are joined exactly, by hash and by the window itself.
 
-A name is a capitalised word inside a sentence, neighbouring ones being one name. Items of fewer than five tokens
+A name is a capitalised word inside a sentence, neighbouring ones being one name. Line breaks are no tokens. A text
+is read with breaks as blanks, so that other line widths change nothing; where a line begins with a
+capital it is read a second time with breaks as sentence starts, for lists of capitalised lines. An item is found if one of
+its readings is. Items of fewer than five tokens
 are matched by one window of their own length, down to `LEAST_TOKENS`; shorter ones cannot
 be told apart from chance and never match.
 
@@ -77,7 +80,7 @@ class Canonical:
     def learn(self, word: str) -> int:
         core = word.strip(OUTER)
         low = core.lower()
-        if not core:
+        if not core or core == BREAK:
             kind = DROPPED
         elif NUMBER.fullmatch(core) or low in NUMBERS:
             kind = NUM
@@ -92,19 +95,28 @@ class Canonical:
         if n == len(self.kinds):
             self.kinds, self.ends, self.hashes = (np.concatenate((a, np.zeros_like(a))) for a in (self.kinds, self.ends, self.hashes))
         self.kinds[n] = kind
-        self.ends[n] = word == BREAK or word.rstrip("\"'”’»)]")[-1:] in tuple(".?!:;…。！？")
+        self.ends[n] = word.rstrip("\"'”’»)]")[-1:] in tuple(".?!:;…。！？")
         self.hashes[n] = self.hash(low) if kind else 0
         return n
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Kinds, hashes and word numbers of the tokens that stay."""
+    def __call__(self, text: str) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Kinds, hashes and word numbers of the tokens that stay: with breaks as blanks, and as sentence starts if that differs."""
         if len(self.cores) > MEMORY:
             self.reset()
         words = text.replace(BREAK, " ").replace("\n", f" {BREAK} ").split()
         known, learn = self.ids, self.learn
         ids = np.array([known[w] if w in known else learn(w) for w in words], np.int64)
-        kinds, ends, hashes = self.kinds[ids], self.ends[ids], self.hashes[ids]
+        at = np.flatnonzero(ids != known.get(BREAK, -1))
+        ids, broken = ids[at], np.concatenate(([False], np.diff(at) > 1)) if len(at) else np.zeros(0, bool)
+        kinds, ends = self.kinds[ids], self.ends[ids]
         first = np.concatenate(([True], ends[:-1])) if len(ids) else ends
+        out = [self.template(ids, kinds, first)]
+        if ((kinds == NAME) & broken & ~first).any():
+            out.append(self.template(ids, kinds, first | broken))
+        return out
+
+    def template(self, ids: np.ndarray, kinds: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes = self.hashes[ids]
         kinds = np.where((kinds == NAME) & first, WORD, kinds)
         stays = np.flatnonzero(kinds != DROPPED)
         kinds, hashes, ids = kinds[stays], hashes[stays], ids[stays]
@@ -122,7 +134,7 @@ def window_hashes(tokens: np.ndarray, length: int) -> np.ndarray:
 
 
 def _windows(lengths, bits, with_size: bool):
-    """A mapper from (id, text) to rows (h, window, id, pos, slots[, size]); `lengths` None: one length, the text's own up to `WINDOW`."""
+    """A mapper from (id, text) to rows (h, window, id, reading, pos, slots[, size]); `lengths` None: one length, the text's own up to `WINDOW`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = Canonical()
@@ -130,22 +142,22 @@ def _windows(lengths, bits, with_size: bool):
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                kinds, tokens, ids = canonical(text.as_py() or "")
-                for length in lengths or ([min(WINDOW, len(tokens))] if len(tokens) >= LEAST_TOKENS else []):
-                    h = window_hashes(tokens, length)
-                    hits = np.arange(len(h)) if held is None else np.flatnonzero(may_hold(held, h))
-                    for at in hits.tolist():
-                        row = kinds[at : at + length].tolist()
-                        if min(row) > WORD:
-                            continue
-                        words = [canonical.cores[i] for i in ids[at : at + length].tolist()]
-                        window = " ".join(PLACEHOLDER.get(k, w) for k, w in zip(row, words))
-                        slots = [w for k, w in zip(row, words) if k > WORD]
-                        out.append((int(h[at].astype(np.int64)), window, doc, at, slots, len(tokens)))
-            kinds_ = (pa.int64(), pa.string(), batch.column(0).type, pa.int32(), pa.list_(pa.string()), pa.int32())
-            columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 6, kinds_)]
-            names = ["h", "window", "id", "pos", "slots", "size"]
-            keep = 6 if with_size else 5
+                for reading, (kinds, tokens, ids) in enumerate(canonical(text.as_py() or "")):
+                    for length in lengths or ([min(WINDOW, len(tokens))] if len(tokens) >= LEAST_TOKENS else []):
+                        h = window_hashes(tokens, length)
+                        hits = np.arange(len(h)) if held is None else np.flatnonzero(may_hold(held, h))
+                        for at in hits.tolist():
+                            row = kinds[at : at + length].tolist()
+                            if min(row) > WORD:
+                                continue
+                            words = [canonical.cores[i] for i in ids[at : at + length].tolist()]
+                            window = " ".join(PLACEHOLDER.get(k, w) for k, w in zip(row, words))
+                            slots = [w for k, w in zip(row, words) if k > WORD]
+                            out.append((int(h[at].astype(np.int64)), window, doc, reading, at, slots, len(tokens)))
+            kinds_ = (pa.int64(), pa.string(), batch.column(0).type, pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32())
+            columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 7, kinds_)]
+            names = ["h", "window", "id", "reading", "pos", "slots", "size"]
+            keep = 7 if with_size else 6
             yield pa.record_batch(columns[:keep], names[:keep])
 
     return run
@@ -155,41 +167,39 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """`doc_id, item_id, covered, item_tokens, similarity, exact`, a row for each item found in a document."""
     item_type = items.schema["item_id"].dataType.simpleString()
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = "h bigint, window string, id {}, pos int, slots array<string>"
+    schema = "h bigint, window string, id {}, reading int, pos int, slots array<string>"
     own = keep_columns(items, ["item_id", "text"]).mapInArrow(_windows(None, None, True), schema.format(item_type) + ", size int")
-    own = own.dropDuplicates(["h", "window", "id", "pos"])
+    own = own.dropDuplicates(["h", "window", "id", "reading", "pos"])
     bits, _ = build_filter(own)
     lengths = sorted(r[0] for r in own.select(F.least("size", F.lit(WINDOW))).distinct().collect())  # WINDOW values at most
     if not lengths:
         lengths = [WINDOW]
     found = keep_columns(docs, ["doc_id", "text"]).mapInArrow(_windows(lengths, bits, False), schema.format(doc_type))
-    found = found.select("h", "window", F.col("id").alias("doc_id"), "pos", "slots")
-    own = own.select("h", "window", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "size")
+    found = found.select("h", "window", F.col("id").alias("doc_id"), F.col("reading").alias("doc_reading"), "pos", "slots")
+    own = own.select("h", "window", F.col("id").alias("item_id"), "reading", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "size")
     met = found.join(own, ["h", "window"]).where(F.size(F.split("window", " ")) == F.least("size", F.lit(WINDOW)))
     met = met.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     # A diagonal has a window of an item once, so a group is never longer than the item.
-    lined = met.groupBy("doc_id", "item_id", "size", "diagonal").agg(
+    lined = met.groupBy("doc_id", "item_id", "reading", "doc_reading", "size", "diagonal").agg(
         F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
     lined = lined.where(values >= F.lit(CONSISTENT) * F.size("pairs"))
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
     tokens = F.explode(F.transform("at", lambda a: F.sequence(a, a + F.least("size", F.lit(WINDOW)) - 1)))
-    covered = lined.select("doc_id", "item_id", "size", same.alias("same"), tokens.alias("run"))
-    covered = covered.select("doc_id", "item_id", "size", "same", F.explode("run").alias("token"))
-    covered = covered.groupBy("doc_id", "item_id", "size", "token").agg(F.bool_or("same").alias("same"))
-    out = covered.groupBy("doc_id", "item_id", "size").agg(
+    covered = lined.select("doc_id", "item_id", "reading", "size", same.alias("same"), tokens.alias("run"))
+    covered = covered.select("doc_id", "item_id", "reading", "size", "same", F.explode("run").alias("token"))
+    covered = covered.groupBy("doc_id", "item_id", "reading", "size", "token").agg(F.bool_or("same").alias("same"))
+    out = covered.groupBy("doc_id", "item_id", "reading", "size").agg(
         F.count("*").alias("covered"), F.count_if("same").alias("as_is")
     )
     similarity = F.col("covered") / F.col("size")
-    return out.where(similarity >= COVERED).select(
-        "doc_id",
-        "item_id",
-        "covered",
-        F.col("size").cast("long").alias("item_tokens"),
-        similarity.alias("similarity"),
-        (F.col("as_is") == F.col("covered")).alias("exact"),
+    exact = F.col("as_is") == F.col("covered")
+    # The reading that is covered best stands for the item.
+    best = F.max(F.struct(similarity.alias("similarity"), exact.alias("exact"), "size", "covered")).alias("best")
+    return out.where(similarity >= COVERED).groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.covered", F.col("best.size").cast("long").alias("item_tokens"), "best.similarity", "best.exact"
     )
 
 

@@ -46,3 +46,16 @@ def test_inconsistent_slots_are_no_copy(spark):
     docs = spark.createDataFrame([(1, "In all this. " + other), (2, "In all this. " + fair)], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
     assert [r.doc_id for r in templates.leaks(docs, items).collect()] == [2]
+
+
+def test_other_line_breaks_change_nothing(spark):
+    item = "Which of these Paris cafes\nsells tea to Anna Smith\nand to her brother\nA) the Blue Door on the hill\nB) the old red mill"
+    lists = "Paris\nLondon\nRome\nMadrid\nBerlin\nVienna"
+    words = item.split()
+    wraps = {w: "\n".join(" ".join(words[i : i + w]) for i in range(0, len(words), w)) for w in (1, 2, 3, 4, 6, 8, 10, 12, 99)}
+    rows = [(w, f"Here some words come first. {text} Then others follow") for w, text in wraps.items()]
+    rows += [(200, item), (201, "go on and\n" + lists), (202, item.replace("\n", "\n\n")), (203, item.replace("Anna Smith", "Marie Curie").replace("\n", " "))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, item), (2, lists)], "item_id bigint, text string")
+    got = [(r.doc_id, r.item_id) for r in templates.leaks(docs, items).collect()]
+    assert sorted(got) == sorted([(d, 1) for d, _ in rows if d != 201] + [(201, 2)])
