@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import byte_cnn, chat, disclosure, line_rules, masked_lm, mixing, packing, simhash, substrings, templates
+from eventmart.llm import (
+    byte_cnn,
+    chat,
+    disclosure,
+    lexical_search,
+    line_rules,
+    masked_lm,
+    mixing,
+    packing,
+    prefix_trie,
+    simhash,
+    substrings,
+    templates,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -192,3 +205,69 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (
+  SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY r, term
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM d WHERE len(terms) > 0
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, totals GROUP BY term
+), q AS (
+  SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms FROM benchmark
+), s AS (
+  SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) AS BIGINT) AS score
+  FROM (SELECT i, item_id, unnest(terms) AS term FROM q) JOIN w USING (term) JOIN t USING (term), totals GROUP BY i, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query(OP11_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH told AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS turns,
+    list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)) AS crc
+  FROM told GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:xor(o.crc, CAST(4294967295 AS BIGINT)) % 6], o.turns[xor(o.crc, CAST(4294967295 AS BIGINT)) % 6 + 1:]) AS turns
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), path AS (
+  SELECT conv_id, turns[1:d] AS p, d, len(turns) AS n FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT p, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM path GROUP BY p
+), linked AS (
+  SELECT x.*, up.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children
+  FROM node x LEFT JOIN node up ON x.depth > 0 AND up.p = x.p[1:x.depth - 1]
+  LEFT JOIN (SELECT p[1:depth - 1] AS p, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1) k ON k.p = x.p
+), below AS (
+  SELECT p[1:d] AS p, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+    CAST(sum((n_convs - 1) * coalesce(length(p[depth].text), 0)) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM linked) GROUP BY 1
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM linked JOIN below USING (p)
+"""
+
+
+@query(OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, each opening as its group's first one."""
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(prefix_trie.shared_openings(lists))
