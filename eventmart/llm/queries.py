@@ -14,6 +14,7 @@ from eventmart.llm import (
     lexical_search,
     line_rules,
     masked_lm,
+    minhash,
     mixing,
     packing,
     prefix_trie,
@@ -271,3 +272,29 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all conversations, each opening as its group's first one."""
     lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
     return prefix_trie.nodes(prefix_trie.shared_openings(lists))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d
+), t AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s
+), l AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), r AS (
+  SELECT doc_id AS u, doc_id AS v FROM s UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u
+), c AS (
+  SELECT u AS doc_id, min(v) AS component_id FROM r GROUP BY u
+)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
+@query(OP12_SQL)
+def op12_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate component of every document."""
+    return minhash.classes(table(spark, sf_dir, "documents"))

@@ -1,0 +1,110 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from eventmart.llm import minhash
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {" ".join(words[i : i + 3]) for i in range(len(words) - 2)} or ({" ".join(words)} if words else set())
+
+
+def brute(rows):
+    """(size, component) by row; a row is a document, also where ids repeat."""
+    sets = [brute_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return [(len(s), least.get(find(i), d)) for i, (s, (d, _)) in enumerate(zip(sets, rows))]
+
+
+def changed(rng, words, n):
+    own = list(words)
+    for _ in range(n):
+        own[rng.randrange(len(own))] = f"n{rng.random()}"
+    return " ".join(own)
+
+
+def texts(rng):
+    out = [None, "", " \t\n", "one", "ONE", "one two", "a\x0bb\x0cc d", "É é e", "É é E", "x" * 30_000]
+    for size in (9, 30, 200):
+        for _ in range(6):
+            base = [f"w{rng.randrange(400)}" for _ in range(size)]
+            out += [changed(rng, base, rng.randint(0, 1 + size // 25)) for _ in range(rng.randint(1, 12))]
+    base = [f"v{i}" for i in range(150)]
+    out += [changed(rng, base, rng.randint(0, 9)) for _ in range(70)]
+    now = list(base)
+    for _ in range(25):  # a chain: its ends are not alike
+        for _ in range(3):
+            now[rng.randrange(150)] = f"c{rng.random()}"
+        out.append(" ".join(now))
+    return out + out[3:9] + [out[40].upper()]
+
+
+@pytest.mark.parametrize("block, shingles", [(2048, 4 << 20), (12, 4 << 20), (40, 1500)])
+def test_classes_match_brute_force(spark, monkeypatch, block, shingles):
+    monkeypatch.setattr(minhash, "BLOCK", block)  # dense regions, tiles and families of several blocks
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(block)
+    told = list(enumerate(texts(rng)))
+    rng.shuffle(told)
+    df = spark.createDataFrame([(i, t, "s", i) for i, t in told], "doc_id bigint, text string, mark string, NODE int").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.classes(df).collect()}
+    assert got == {d: x for (d, _), x in zip(told, brute(told))}
+
+
+def test_repeated_and_null_ids_and_empty_tables(spark):
+    base = [f"w{i}" for i in range(120)]
+    near = " ".join(["z", *base[1:]])
+    rows = [(5, " ".join(base)), (5, " ".join(base)), (5, "quite another text here"), (3, near), (None, near), (None, None), (None, "alone it stands here"), (9, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in minhash.classes(df).collect()), key=str)
+    want = [(d, n, c, d == c) for (d, _), (n, c) in zip(rows, brute(rows))]
+    assert got == sorted(want, key=str)
+    assert minhash.classes(df.limit(0)).collect() == []
+
+
+def test_sets_are_exact_and_signatures_estimate_similarity():
+    rng = random.Random(3)
+    shingles = minhash.Shingles()
+    same = []
+    for _ in range(150):
+        base = [f"w{rng.randrange(300)}" for _ in range(rng.randint(3, 400))]
+        a, b = " ".join(base), changed(rng, base, len(base) // 40)
+        (n, x), (m, y) = shingles(a), shingles(b)
+        assert (n, m) == (len(brute_set(a)), len(brute_set(b))) == (len(x), len(y))
+        p, q = brute_set(a), brute_set(b)
+        assert len(np.intersect1d(x, y)) == len(p & q)
+        assert minhash.linked(x, y) == minhash.linked(y, x) == (100 * len(p & q) >= 85 * len(p | q))
+        same.append((minhash.signature(x) == minhash.signature(y)).mean() - len(p & q) / len(p | q))
+    assert abs(np.mean(same)) < 0.02
+    assert np.std(same) < 0.08
+
+
+def test_groups_are_whole_whatever_the_batches():
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    keys = sorted((rng.randrange(6), rng.randrange(3)) for _ in range(200))
+    table = pa.table({"a": [k[0] for k in keys], "b": [k[1] for k in keys], "c": list(range(200))})
+    for size in (1, 7, 64, 500):
+        found = [t.column("c").to_pylist() for t in minhash.grouped(iter(table.to_batches(max_chunksize=size)), 2)]
+        assert sum(found, []) == list(range(200)) and len(found) == len(set(keys))
