@@ -8,22 +8,26 @@ Network: h = tanh(sum over the 2 x `REACH` neighbours of T_j[id] + b); then
 log P(id) = log softmax(h U + a)[class] + log softmax(h M_class + c_class)[member], normalised exactly over
 all ids. A hashed id's probability is split by corpus counts: a word that was counted n times has n / (N + 1) of it, N
 being the counts of all words of the id, and a word that was never counted the 1 / (N + 1) left over. These counts
-grow with the corpus; they stay in a stored table and are joined to the rare words of each document. A document's
+grow with the corpus; they stay in a stored table and are joined to the rare words of each document. The `NEAR` most frequent of them
+travel with the vocabulary, which spares most of that join. A document's
 score is the sum over its tokens; outside its ends stands a padding id.
 
-Training covers every position of every document: a hash of the text and the position deals each of them to one of
-the rounds. In a round each partition predicts its share of positions with Adagrad from the same parameters, and
-the partitions' changes are averaged, row by row of the tables weighed by how often a partition touched the
-row, in a tree of shuffled sums. What reaches the driver is one set of parameters; what is gathered for it
+Training covers every position of every document once: a hash of id and text deals each document to a share of about
+`SHARE` tokens, and every share to one of the rounds. In a round each share is learnt with Adagrad, in an order that hangs on the
+hashes alone, from the same parameters; the shares' changes are averaged, row by row of the tables weighed by how often a
+share touched the row, in a tree of shuffled sums. Shares hang on the data and not on its partitions, so neither do the scores,
+but for the order of float sums. What reaches the driver is one set of parameters; what is gathered for it
 grows with the input. Texts are turned into ids once and stored for the rounds.
 
 Edge cases: null and empty texts have 0 tokens, sum 0.0 and a null mean; a text of any length is scored whole in
 slices; repeated rows are scored (and trained on) each; a null id is passed on; other columns are not read; an empty
-table gives no rows. Same input and partitions: same scores.
+table gives no rows. Rows that repeat both id and text are learnt in one share.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,9 +43,11 @@ TOP, BUCKETS = 3072, 1024
 MEMBERS = 64
 REACH = 2
 HIDDEN = 16
-ROUNDS = 2
+ROUNDS = 4
 RATE = 0.1
-BATCH = 4096
+BATCH = 8192
+SHARE = 1 << 20
+NEAR = 1 << 17
 SLICE = 1 << 14
 WORDS_HELD = 300_000
 FLUSH = 200_000
@@ -99,9 +105,10 @@ def _member_scores(h: np.ndarray, tables: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def _hidden(p: Params, context: np.ndarray) -> np.ndarray:
-    z = p["T"][0][context[:, 0]]
+    columns = np.ascontiguousarray(context.T)
+    z = np.take(p["T"][0], columns[0], axis=0)
     for j in range(1, len(OFFSETS)):
-        z += p["T"][j][context[:, j]]
+        z += np.take(p["T"][j], columns[j], axis=0)
     z += p["b"]
     return np.tanh(z, out=z)
 
@@ -141,10 +148,10 @@ def _dense_gradients(p: Params, context: np.ndarray, target: np.ndarray) -> tupl
     loss = -float(d[own, kind].sum())
     logs, sums = _exps(d)
     loss += float(logs.sum())
-    d /= sums[:, None]
-    d[own, kind] -= 1
-    grad_u = h.T @ d
+    # Rows come by class: the division and the target's 1 go into the narrow sides of the products.
+    grad_u = (h / sums[:, None]).T @ d
     dh = d @ classes.T
+    dh /= sums[:, None]
     d = _member_scores(h, members, ends)
     loss -= float(d[own, member].sum())
     logs, sums = _exps(d)
@@ -155,7 +162,8 @@ def _dense_gradients(p: Params, context: np.ndarray, target: np.ndarray) -> tupl
     for k in np.flatnonzero(np.diff(ends)).tolist():
         a, b = ends[k], ends[k + 1]
         np.matmul(h[a:b].T, d[a:b], out=grad_m[k])
-        dh[a:b] += d[a:b] @ members[k].T
+        dh[a:b] += d[a:b] @ members[k].T - classes[:, k]
+        grad_u[:, k] -= h[a:b].sum(axis=0)
     grad_m /= n
     h, dz = h[:, :-1], dh[:, :-1]
     dz = dz * (1 - h * h) / n
@@ -198,45 +206,51 @@ def train(p: Params, examples: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple
 
 
 class Ids:
-    """Ids of a text's words; words outside the vocabulary are remembered up to a bound."""
+    """Numbers of a text's words and their ids; words outside the vocabulary are remembered up to a bound.
+
+    `words` are those with ids of their own and then those whose counts are at hand.
+    """
 
-    def __init__(self, top: list[str]):
+    def __init__(self, words: list[str]):
         from xxhash import xxh64_intdigest
 
         self.hash = xxh64_intdigest
-        self.top = {w: i for i, w in enumerate(top)}
-        self.known = dict(self.top)
+        self.words = words
+        self.reset()
 
-    def learn(self, word: str) -> int:
+    def reset(self) -> None:
+        self.known = {w: i for i, w in enumerate(self.words)}
         # The hash that Spark's xxhash64 gives, so that plans can tell a word's hashed id too.
-        self.known[word] = n = TOP + self.hash(word, 42) % BUCKETS
+        near = [TOP + self.hash(w, 42) % BUCKETS for w in self.words[TOP:]]
+        self.ids = np.zeros(max(1, 2 * (len(self.words) + WORDS_HELD)), np.uint16)
+        own = min(TOP, len(self.words))
+        self.ids[:own] = np.arange(own)
+        self.ids[own : len(self.words)] = near
+
+    def learn(self, word: str) -> int:
+        self.known[word] = n = len(self.known)
+        if n == len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[n] = TOP + self.hash(word, 42) % BUCKETS
         return n
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        if len(self.known) > WORDS_HELD:
-            self.known = dict(self.top)
-        words = (text or "").lower().split()
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > len(self.words) + WORDS_HELD:
+            self.reset()
         out = list(map(self.known.get, words))
         if None in out:
-            out = [self.learn(w) if i is None else i for i, w in zip(out, words)]
+            known, learn = self.known, self.learn
+            out = [(known[w] if w in known else learn(w)) if i is None else i for i, w in zip(out, words)]
         return np.array(out, np.int32)
 
-
-def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The neighbours of the positions `at` in one text."""
-    padded = np.concatenate((np.full(REACH, PAD, np.int32), ids, np.full(REACH, PAD, np.int32)))
-    return np.stack([padded[at + REACH + o] for o in OFFSETS], axis=1)
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self.ids[self.numbers((text or "").lower().split())].astype(np.int32)
 
 
-def masked(ids: np.ndarray, round_no: int, rounds: int = ROUNDS) -> np.ndarray:
-    """The positions that a round predicts; over all rounds every position of a text comes up once."""
-    from xxhash import xxh64_intdigest
-
-    # A finished 64-bit mixer over text and position: every bit of the result hangs on all bits of both.
-    x = np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(xxh64_intdigest(ids.tobytes()))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return np.flatnonzero((x ^ (x >> np.uint64(31))) % np.uint64(rounds) == np.uint64(round_no))
+def contexts(ids: np.ndarray) -> np.ndarray:
+    """The neighbours of every position of one text."""
+    padded = np.concatenate((np.full(REACH, PAD, np.int32), ids, np.full(REACH, PAD, np.int32)))
+    return np.stack([padded[REACH + o : REACH + o + len(ids)] for o in OFFSETS], axis=1)
 
 
 def word_counts(df: DataFrame) -> DataFrame:
@@ -260,59 +274,74 @@ def word_counts(df: DataFrame) -> DataFrame:
     return keep_columns(df, ["text"]).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encoded(df: DataFrame, words: list[str]) -> DataFrame:
-    """`row, doc_id, ids, rare` of every row, stored: the ids of its words as 16-bit numbers, and its words of hashed ids with their counts."""
-    shared = df.sparkSession.sparkContext.broadcast(words)  # vocabulary: of fixed size
+def encoded(df: DataFrame, words: list[str], counts: np.ndarray) -> DataFrame:
+    """`row, doc_id, ids, near, rare` of every row, stored.
+
+    `ids` are the ids of its words as 16-bit numbers, `near` the sum of `log_units` over its words of hashed ids whose counts are at hand, `rare` its
+    other words of hashed ids with how often it has them.
+    """
+    shared = df.sparkSession.sparkContext.broadcast((words, log_units(counts)))  # at most TOP + NEAR words
 
     def run(batches):
-        to_ids = Ids(shared.value)
+        words, units = shared.value
+        to_ids, at_hand = Ids(words), len(words)
+        units = np.concatenate((np.where(np.arange(at_hand) < TOP, 0, units), [0]))
         for batch in batches:
-            ids, words, counts, ends = [], [], [], [0]
+            ids, near, found, counts, ends = [], [], [], [], [0]
             for text in batch.column(1):
-                own = to_ids(text.as_py())
-                ids.append(own.astype("<u2").tobytes())
                 said = (text.as_py() or "").lower().split()
-                rare = Counter([said[i] for i in np.flatnonzero(own >= TOP).tolist()])
-                words.extend(rare)
+                own = to_ids.numbers(said)
+                ids.append(to_ids.ids[own].astype("<u2").tobytes())
+                near.append(int(units[np.minimum(own, at_hand)].sum()))
+                rare = Counter([said[i] for i in np.flatnonzero(own >= max(TOP, at_hand)).tolist()])
+                found.extend(rare)
                 counts.extend(rare.values())
-                ends.append(len(words))
-            pairs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+                ends.append(len(found))
+            pairs = pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
             rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), rare], ["doc_id", "ids", "rare"])
+            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), pa.array(near, pa.int64()), rare], ["doc_id", "ids", "near", "rare"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    out = keep_columns(df, ["doc_id", "text"]).mapInArrow(run, f"doc_id {kind}, ids binary, rare array<struct<word:string,n:bigint>>")
+    schema = f"doc_id {kind}, ids binary, near bigint, rare array<struct<word:string,n:bigint>>"
+    out = keep_columns(df, ["doc_id", "text"]).mapInArrow(run, schema)
     return stage(out.withColumn("row", F.monotonically_increasing_id()))
 
 
+def log_units(counts: np.ndarray) -> np.ndarray:
+    """Logarithms in whole units, so that the order of sums does not show."""
+    return np.round(np.log(np.maximum(counts, 1)) * UNITS).astype(np.int64)
+
+
 def _ids_of(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_py(), "<u2").astype(np.int32)
 
 
-def _pieces(batches, round_no: int, rounds: int):
-    """Minibatches of (contexts, targets) from a partition's texts."""
+def _minibatches(texts: Iterator[np.ndarray]):
+    """Minibatches of (contexts, targets) over all positions of encoded texts."""
     held_c, held_t, n = [], [], 0
-    for batch in batches:
-        for value in batch.column(0):
-            ids = _ids_of(value)
-            at = masked(ids, round_no, rounds)
-            if not len(at):
-                continue
-            held_c.append(contexts(ids, at))
-            held_t.append(ids[at])
-            n += len(at)
-            if n >= 8 * BATCH:
-                c, t = np.concatenate(held_c), np.concatenate(held_t)
-                full = n - n % BATCH
-                for a in range(0, full, BATCH):
-                    yield c[a : a + BATCH], t[a : a + BATCH]
-                held_c, held_t, n = [c[full:]], [t[full:]], n - full
+    for ids in texts:
+        held_c.append(contexts(ids))
+        held_t.append(ids)
+        n += len(ids)
+        if n >= 8 * BATCH:
+            c, t = np.concatenate(held_c), np.concatenate(held_t)
+            full = n - n % BATCH
+            for a in range(0, full, BATCH):
+                yield c[a : a + BATCH], t[a : a + BATCH]
+            held_c, held_t, n = [c[full:]], [t[full:]], n - full
     if n:
         c, t = np.concatenate(held_c), np.concatenate(held_t)
         for a in range(0, n, BATCH):
             yield c[a : a + BATCH], t[a : a + BATCH]
 
 
+def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """Each share of a partition sorted by share, with its texts; a share is to be used up before the next."""
+    rows = ((s, v) for b in batches for s, v in zip(b.column(0).to_pylist(), b.column(1)))
+    for share, own in itertools.groupby(rows, key=lambda x: x[0]):
+        yield share, (_ids_of(v) for _, v in own)
+
+
 NAMES = ("T", "b", "U", "a", "M", "c")
 
 
@@ -320,49 +349,82 @@ def _spread(weight: np.ndarray, like: np.ndarray) -> np.ndarray:
     return weight.reshape(weight.shape + (1,) * (like.ndim - weight.ndim))
 
 
-def vocabulary(df: DataFrame) -> tuple[list[str], Params, DataFrame, np.ndarray]:
-    """The words with ids of their own, first parameters, the stored counts of all words, and each hashed id's count."""
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, `most` at most: all that reach a threshold.
+
+    The threshold comes from a histogram, of a row per count up to 1,024 and 64 a power of two beyond.
+    """
+    step = F.when(F.col("n") <= 1024, F.col("n").cast("double")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n") * 64) / 64))
+    bins = sorted(counted.groupBy(step.alias("at")).agg(F.count("*").alias("words")).collect(), reverse=True)
+    total, least = 0, None
+    for at, words in bins:
+        if total + words > most:
+            break
+        total, least = total + words, at
+    return counted.where(step >= F.lit(least)) if least is not None else counted.limit(0)
+
+
+def vocabulary(df: DataFrame) -> tuple[list[str], Params, DataFrame, np.ndarray, np.ndarray]:
+    """Words with ids of their own and then more whose counts are at hand, first parameters, the stored counts of all words, each hashed id's count, the words' counts."""
     from xxhash import xxh64_intdigest
 
     counted = stage(word_counts(df))
-    best = counted.orderBy(F.col("n").desc(), "word").limit(TOP).toArrow()
-    words, counts = best.column(0).to_pylist(), np.zeros(SIZE)
-    counts[: len(words)] = best.column(1).to_numpy()
+    best = [tuple(r) for r in frequent(counted, TOP + NEAR).select("word", "n").collect()]
+    if len(best) < TOP:
+        # The next count has too many words: the first of them by name.
+        below = counted.where(F.col("n") < min((n for _, n in best), default=1 << 62))
+        best += [tuple(r) for r in below.orderBy(F.col("n").desc(), "word").limit(TOP - len(best)).select("word", "n").collect()]
+    best.sort(key=lambda x: (-x[1], x[0]))
+    words, known = [w for w, _ in best], np.array([n for _, n in best], np.float64)
+    own = words[:TOP]
+    counts = np.zeros(SIZE)
+    counts[: len(own)] = known[:TOP]
     # A hashed id has the counts of its words but those with an id of their own.
     bucket = F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1))
     totals = counted.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).toArrow()  # a row per hashed id
     hashed = np.zeros(BUCKETS)
     hashed[totals.column(0).to_numpy()] = totals.column(1).to_numpy()
-    np.subtract.at(hashed, [xxh64_intdigest(w, 42) % BUCKETS for w in words], counts[: len(words)])
+    np.subtract.at(hashed, [xxh64_intdigest(w, 42) % BUCKETS for w in own], counts[: len(own)])
     counts[TOP:] = hashed
-    return words, start(counts), counted, hashed
+    return words, start(counts), counted, hashed, known
+
+
+def dealt(encoded_rows: DataFrame, rounds: int) -> tuple[DataFrame, int]:
+    """`ids, doc_id, order, share`, each row in one share, and the number of shares a round; share s is of round s % rounds."""
+    tokens = encoded_rows.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
+    a_round = max(1, math.ceil(tokens / rounds / SHARE))
+    order = F.xxhash64("doc_id", "ids")
+    return encoded_rows.select("ids", "doc_id", order.alias("order"), F.pmod(order, F.lit(rounds * a_round)).alias("share")), a_round
 
 
 def trained(encoded_rows: DataFrame, p: Params, rounds: int = ROUNDS) -> Params:
-    """Parameters after `rounds` passes over encoded rows, each over its own share of their positions."""
+    """Parameters after `rounds` passes over encoded rows, each over its own shares of them."""
     p = dict(p)
     sc = encoded_rows.sparkSession.sparkContext
+    shares, a_round = dealt(encoded_rows, rounds)
     for round_no in range(rounds):
         shared = sc.broadcast(p)  # parameters: of fixed size, 1.3 MB
+        own = shares.where(F.pmod("share", F.lit(rounds)) == round_no).repartition(a_round, "share").sortWithinPartitions("share", "order", "doc_id")
 
-        def run(batches, shared=shared, round_no=round_no):
+        def run(batches, shared=shared):
             old = shared.value
-            new, touched, n = train(old, _pieces(batches, round_no, rounds))
-            if n:
-                change = [((new[k] - old[k]) * _spread(touched[k], old[k])).tobytes() for k in NAMES]
-                weight = [touched[k].tobytes() for k in NAMES]
-                yield pa.record_batch([pa.array([b"".join(change)]), pa.array([b"".join(weight)])], ["change", "weight"])
+            for _, texts in _shares(batches):
+                new, touched, n = train(old, _minibatches(texts))
+                if n:
+                    change = [((new[k] - old[k]) * _spread(touched[k], old[k])).tobytes() for k in NAMES]
+                    weight = [touched[k].tobytes() for k in NAMES]
+                    yield pa.record_batch([pa.array([b"".join(change)]), pa.array([b"".join(weight)])], ["change", "weight"])
 
         def plus(x, y):
             return x[0] + y[0], x[1] + y[1]
 
-        changes = encoded_rows.select("ids").mapInArrow(run, "change binary, weight binary").rdd.map(
+        changes = own.select("share", "ids").mapInArrow(run, "change binary, weight binary").rdd.map(
             lambda r: (np.frombuffer(r[0], np.float32), np.frombuffer(r[1], np.float32))
         )
         empty = (np.zeros(1, np.float32), np.zeros(1, np.float32))
         change, weight = changes.treeAggregate(empty, plus, plus, depth=3)
         if len(change) == 1:
-            break
+            continue
         at = w = 0
         for k in NAMES:
             shape = p[k].shape[:2] if k == "T" else p[k].shape[:1] if k in ("M", "c") else ()
@@ -374,36 +436,36 @@ def trained(encoded_rows: DataFrame, p: Params, rounds: int = ROUNDS) -> Params:
     return p
 
 
-Model = tuple[list[str], Params, DataFrame, np.ndarray]
+Model = tuple[list[str], Params, DataFrame, np.ndarray, np.ndarray]
 
 
 def fit(df: DataFrame, rounds: int = ROUNDS) -> Model:
     """The vocabulary and trained parameters, of fixed size, and word counts, of which the stored table grows with the corpus."""
-    words, p, counted, hashed = vocabulary(df)
-    return words, trained(encoded(df, words), p, rounds), counted, hashed
+    words, p, counted, hashed, known = vocabulary(df)
+    return words, trained(encoded(df, words, known), p, rounds), counted, hashed, known
 
 
 def scored(df: DataFrame, model: Model) -> DataFrame:
     """`doc_id, n_tokens, pseudo_log_likelihood, mean_log_prob` of every document."""
-    return scored_rows(encoded(df, model[0]), model)
+    return scored_rows(encoded(df, model[0], model[4]), model)
 
 
 def fit_scored(df: DataFrame) -> DataFrame:
     """`scored` of every document under the network trained on all of them; ids are made once."""
-    words, p, counted, hashed = vocabulary(df)
-    rows = encoded(df, words)
-    return scored_rows(rows, (words, trained(rows, p), counted, hashed))
+    words, p, counted, hashed, known = vocabulary(df)
+    rows = encoded(df, words, known)
+    return scored_rows(rows, (words, trained(rows, p), counted, hashed, known))
 
 
 def rare_sums(rows: DataFrame, counted: DataFrame) -> DataFrame:
-    """`row, own`: the sum of log n over the tokens of hashed ids, n being a word's count in the corpus.
+    """`row, own`: the sum of log n in whole units over the tokens of `rare`, n being a word's count in the corpus.
 
-    Words met once or never add 0. Summed in whole units, so that the order of rows does not show.
+    Words met once or never add 0.
     """
     units = F.round(F.log("n_all") * F.lit(float(UNITS))).cast("long")
     known = counted.where("n > 1").select("word", F.col("n").alias("n_all"))
     rare = rows.select("row", F.inline("rare")).join(known, "word")
-    return rare.groupBy("row").agg((F.sum(F.col("n") * units) / F.lit(float(UNITS))).alias("own"))
+    return rare.groupBy("row").agg(F.sum(F.col("n") * units).alias("own"))
 
 
 def scored_rows(rows: DataFrame, model: Model) -> DataFrame:
@@ -429,7 +491,7 @@ def scored_rows(rows: DataFrame, model: Model) -> DataFrame:
 
             for value in batch.column(1):
                 ids = _ids_of(value)
-                held.append((contexts(ids, np.arange(len(ids))), ids))
+                held.append((contexts(ids), ids))
                 n += len(ids)
                 ends.append(n)
                 if n >= 4 * SLICE:
@@ -437,13 +499,13 @@ def scored_rows(rows: DataFrame, model: Model) -> DataFrame:
                     held, ends, n = [], [0], 0
             close()
             yield pa.record_batch(
-                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
-                ["row", "doc_id", "n_tokens", "net"],
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
+                ["row", "doc_id", "near", "n_tokens", "net"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    net = rows.select("row", "ids", "doc_id").mapInArrow(run, f"row bigint, doc_id {kind}, n_tokens bigint, net double")
+    net = rows.select("row", "ids", "doc_id", "near").mapInArrow(run, f"row bigint, doc_id {kind}, near bigint, n_tokens bigint, net double")
     out = net.join(rare_sums(rows, model[2]), "row", "left")
-    total = F.col("net") + F.coalesce("own", F.lit(0.0))
+    total = F.col("net") + (F.col("near") + F.coalesce("own", F.lit(0))) / F.lit(float(UNITS))
     mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
     return out.select("doc_id", "n_tokens", total.alias("pseudo_log_likelihood"), mean.alias("mean_log_prob"))

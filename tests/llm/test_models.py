@@ -87,17 +87,46 @@ def test_rare_words_score_by_their_own_counts(spark):
     assert masked_lm.scored(df, model).count() == len(rows)
 
 
-def test_rounds_share_out_every_position():
-    rng = np.random.default_rng(5)
-    for n in (0, 1, 2, 5, 9, 40, 3000, 100_000):
-        ids = rng.integers(0, masked_lm.SIZE, n).astype(np.int32)
-        dealt = [masked_lm.masked(ids, r) for r in range(masked_lm.ROUNDS)]
-        assert np.concatenate(dealt).size == n and set(np.concatenate(dealt).tolist()) == set(range(n))
-        if n > 1000:
-            assert all(abs(len(d) / n - 1 / masked_lm.ROUNDS) < 0.05 for d in dealt)
-    # Texts of one length learn different places.
-    a, b = (masked_lm.masked(rng.integers(0, masked_lm.SIZE, 200).astype(np.int32), 0) for _ in range(2))
-    assert a.tolist() != b.tolist()
+def test_every_position_is_learnt_once(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "SHARE", 300)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (0, 1, 2, 5, 9, 40, 3000, *([60] * 40))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    words, _, _, _, known = masked_lm.vocabulary(df)
+    shares, a_round = masked_lm.dealt(masked_lm.encoded(df, words, known), 3)
+    rows = shares.collect()
+    assert a_round == -(-sum(len(x.split()) for x in texts) // 900) and len(rows) == len(texts)
+    assert {r.share % 3 for r in rows} == {0, 1, 2} and all(0 <= r.share < 3 * a_round for r in rows)
+    # Every position of every row is a target, with its own neighbours.
+    ids = [np.frombuffer(r.ids, "<u2").astype(np.int32) for r in rows]
+    context, target = (np.concatenate(x) for x in zip(*masked_lm._minibatches(iter(ids))))
+    assert target.tolist() == np.concatenate(ids).tolist()
+    padded = [np.concatenate(([masked_lm.PAD] * 2, x, [masked_lm.PAD] * 2)) for x in ids]
+    assert context.tolist() == [[p[i], p[i + 1], p[i + 3], p[i + 4]] for x, p in zip(ids, padded) for i in range(len(x))]
+
+
+def test_scores_do_not_hang_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "SHARE", 3000)
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        at, said = rng.randrange(12), []
+        for _ in range(60):
+            at = (at * 5 + 3) % 12 if rng.random() < 0.9 else rng.randrange(12)
+            said.append(f"w{at}")
+        rows.append((i, " ".join(said)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [{r.doc_id: r.mean_log_prob for r in masked_lm.fit_scored(df.repartition(n)).collect()} for n in (1, 64)]
+    assert max(abs(got[0][i] - got[1][i]) for i in got[0]) < 1e-3
+    assert np.mean(list(got[0].values())) > -2.3  # it has learnt something: a word by itself has -2.5
+
+
+def test_frequent_words_come_by_a_threshold(spark):
+    rows = [(f"a{i}", 5000 + i) for i in range(50)] + [(f"b{i}", 7) for i in range(300)] + [(f"c{i}", 1) for i in range(1000)]
+    counted = spark.createDataFrame(rows, "word string, n bigint")
+    for most, want in ((10, None), (49, None), (60, 50), (349, 50), (350, 350), (1349, 350), (1350, 1350)):
+        n = masked_lm.frequent(counted, most).count()
+        assert n <= most and (want is None or n == want)
 
 
 def test_extreme_numbers_do_not_overflow():
