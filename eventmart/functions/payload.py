@@ -41,6 +41,26 @@ def _leaf(root: Column, path: str) -> Column:
     return root
 
 
+def _texts(schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [T.StructField(f.name, _texts(f.dataType) if isinstance(f.dataType, T.StructType) else T.StringType()) for f in schema.fields]
+    )
+
+
+def struct_of_text(text: Column, schema: T.StructType) -> Column:
+    """JSON text as a struct; a leaf that is missing or does not convert gives NULL and spoils no other."""
+
+    def build(node: Column, want: T.StructType) -> Column:
+        return F.struct(
+            *[
+                (build(node.getField(f.name), f.dataType) if isinstance(f.dataType, T.StructType) else node.getField(f.name).try_cast(f.dataType)).alias(f.name)
+                for f in want.fields
+            ]
+        )
+
+    return F.when(text.isNotNull(), build(F.from_json(text, _texts(schema)), schema))
+
+
 def unpack_payload(
     df: DataFrame,
     col: str = "payload",

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.functions.timecols import event_time, time_literal, window_start
 from eventmart.operators.incremental import high_water
 from eventmart.schemas import FAMILIES
-from eventmart.sources.scan import SOURCE, only_new_files, scan_events
+from eventmart.sources.drift import declared, scan_by_schema
+from eventmart.sources.scan import SOURCE
 
 
 def parse_raw(
@@ -39,12 +42,17 @@ def load(
 ) -> DataFrame:
     """Bronze rows of the batches named after everything the target has loaded.
 
-    Pass `mark` when the high-water mark is already known; otherwise it is read
+    Files may differ in schema: each is read with its own and fitted to the family's declared
+    columns, a payload that is text like one that is a struct. Pass `mark` when the high-water mark is already known; otherwise it is read
     from the target.
     """
     if mark is None:
         mark = high_water(target)
-    return parse_raw(only_new_files(scan_events(spark, directory, family), mark), family, as_of)
+    found = scan_by_schema(spark, directory, family, mark)
+    if not found:
+        none = spark.createDataFrame([], T.StructType([*FAMILIES[family].raw.fields, T.StructField(SOURCE, T.StringType())]))
+        return parse_raw(none, family, as_of)
+    return reduce(DataFrame.unionByName, [parse_raw(declared(rows, family), family, as_of) for rows in found])
 
 
 def bronze_device_events(spark: SparkSession, directory: str, **options) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.schemas import FAMILIES, Family
+from eventmart.sources.footers import footer_schemas
 
 SOURCE = "source_filename"
 
@@ -61,7 +60,7 @@ def family_files(spark: SparkSession, directory: str, family: str) -> DataFrame:
         .load(directory)
     )
     name = F.regexp_extract("path", rf"({fam.name}_events_[^/]*\.parquet)", 1)
-    return listing.select(F.lit(family).alias("family"), name.alias(SOURCE), F.col("path").alias("file")).where(
+    return listing.select(F.lit(family).alias("family"), name.alias(SOURCE), F.col("_metadata.file_path").alias("file")).where(
         F.col(SOURCE) != ""
     )
 
@@ -143,31 +142,20 @@ def _conform(col: Column, have: T.DataType, want: T.DataType) -> Column:
     return col.cast(want)
 
 
-def _mergeable_groups(spark: SparkSession, files: list[str]) -> list[tuple[list[str], T.StructType]]:
-    """Files cut into groups whose schemas Spark merges by itself, with the merged schema.
-
-    Batches are named by time and a type changes at some point in time, so halving
-    the sorted list finds the few change points without opening file by file here.
-    """
-    try:
-        return [(files, spark.read.option("mergeSchema", "true").parquet(*files).schema)]
-    except (Py4JJavaError, PySparkException) as error:
-        if len(files) == 1 or "CANNOT_MERGE" not in str(error):
-            raise
-    half = len(files) // 2
-    return _mergeable_groups(spark, files[:half]) + _mergeable_groups(spark, files[half:])
-
-
 def schema_union(spark: SparkSession, files: list[str]) -> DataFrame:
     """Union of Parquet files by column name.
 
     A column some files lack is NULL there, and a column stored under several
-    types takes their common type.
+    types takes their common type. Footers are read once, by tasks; each schema is one scan.
     """
+    signed = footer_schemas(spark, spark.createDataFrame([(f,) for f in files], "file string"))
+    by_signature: dict[str, list[str]] = {}
+    for row in signed.collect():
+        by_signature.setdefault(row["signature"], []).append(row["file"])
     groups: dict[str, tuple[list[str], T.StructType]] = {}
-    for paths, schema in _mergeable_groups(spark, sorted(files)):
-        known = groups.setdefault(schema.simpleString(), ([], schema))
-        known[0].extend(paths)
+    for paths in by_signature.values():
+        schema = spark.read.parquet(paths[0]).schema
+        groups.setdefault(schema.simpleString(), ([], schema))[0].extend(paths)
     wanted = reduce(_common_struct, [schema for _, schema in groups.values()])
     parts = []
     for paths, schema in groups.values():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.payload import unpack_payload
 from eventmart.functions.scoring import customer_segment, exact_sum, round_half_up, safe_ratio
-from eventmart.functions.timecols import minutes_between, time_literal, whole_days_between, window_start
+from eventmart.functions.timecols import minutes_between, parse_timestamp, time_literal, whole_days_between, window_start
 from eventmart.operators.aggregates import conditional_sums, count_true, mode_per_key
 from eventmart.operators.dedup import latest_per_key
 from eventmart.operators.incremental import (
@@ -281,19 +281,53 @@ _LEAVES = (
 )
 
 
-@query("SELECT * FROM bronze_device", ("bronze_device",))
+def _land_drifted(spark, sf_dir, family, drift) -> str:
+    """A family as three batches by event id; `drift` changes what the second and the third hold."""
+    directory = shared_path(spark, "landing")
+    ev = fam.events(spark, sf_dir)
+    for i, change in enumerate((lambda df: df, *drift)):
+        part = ev.where(F.pmod(F.floor(F.col("event_id") / 4), F.lit(3)) == i)
+        land_batch(change(fam.RAW[family](part, as_text=True)), directory, family, f"20240131_0000{i}0")
+    return directory
+
+
+def _drifted_sql(family: str, key: str, absent: str) -> str:
+    """The bronze table where the third batch lacks a column."""
+    batch = f"CAST(floor(CAST({key} AS BIGINT) / 4) AS BIGINT) % 3"
+    return f"""SELECT * REPLACE (CASE WHEN {batch} = 2 THEN NULL ELSE {absent} END AS {absent},
+      '{family}_events_20240131_0000' || ({batch}) || '0.parquet' AS source_filename) FROM bronze_{family}"""
+
+
+@query(_drifted_sql("device", "event_id", "device_type"), ("bronze_device",))
 def bronze_device_events(spark, sf_dir):
-    return unpack_payload(fam.bronze(fam.events(spark, sf_dir), "device", as_text=True))
+    """Payload as struct, as JSON text, and with a leaf of another type where a column is absent."""
+    slower = F.col("payload").withField("performance.page_load_time_ms", F.col("payload.performance.page_load_time_ms").cast("double"))
+    drift = (
+        lambda df: df.withColumn("payload", F.to_json("payload")),
+        lambda df: df.withColumn("payload", slower).drop("device_type"),
+    )
+    directory = _land_drifted(spark, sf_dir, "device", drift)
+    return unpack_payload(bronze.load(spark, directory, "device", as_of=fam.LOADED_AT))
 
 
-@query("SELECT * FROM bronze_session", ("bronze_session",))
+@query(_drifted_sql("session", "substr(session_id, 6)", "referrer"), ("bronze_session",))
 def bronze_session_events(spark, sf_dir):
-    return fam.bronze(fam.events(spark, sf_dir), "session", as_text=True)
+    """Whole numbers as doubles, then a boolean as text where a column is absent."""
+    drift = (
+        lambda df: df.withColumns({c: F.col(c).cast("double") for c in ("pages_viewed", "interactions")}),
+        lambda df: df.withColumn("is_bounce", F.col("is_bounce").cast("string")).drop("referrer"),
+    )
+    return bronze.load(spark, _land_drifted(spark, sf_dir, "session", drift), "session", as_of=fam.LOADED_AT)
 
 
-@query("SELECT * FROM bronze_transaction", ("bronze_transaction",))
+@query(_drifted_sql("transaction", "substr(transaction_id, 5)", "product_category"), ("bronze_transaction",))
 def bronze_transaction_events(spark, sf_dir):
-    return fam.bronze(fam.events(spark, sf_dir), "transaction", as_text=True)
+    """Quantity as double, then as int, with event time already a timestamp, where a column is absent."""
+    drift = (
+        lambda df: df.withColumn("quantity", F.col("quantity").cast("double")),
+        lambda df: df.withColumns({"quantity": F.col("quantity").cast("int"), "timestamp": parse_timestamp("timestamp")}).drop("product_category"),
+    )
+    return bronze.load(spark, _land_drifted(spark, sf_dir, "transaction", drift), "transaction", as_of=fam.LOADED_AT)
 
 
 @query(
