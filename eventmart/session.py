@@ -63,6 +63,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/eventmart/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 _staged: list[str] = []
 
 

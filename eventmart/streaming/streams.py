@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from eventmart.plans.bronze import parse_raw
 from eventmart.plans.refresh import Warehouse
 from eventmart.plans.store import LayerTable
 from eventmart.schemas import FAMILIES
+from eventmart.session import path_exists
 from eventmart.sources.scan import batch_name, SOURCE
 
 CADENCE = "10 seconds"
@@ -181,6 +182,38 @@ def refresh_sink(warehouse: Warehouse, family: str, as_of: datetime | None = Non
     return write
 
 
+# ---- the end of a stream ------------------------------------------------------
+
+
+def with_heartbeat(df: DataFrame, path: str) -> DataFrame:
+    """A stream that also takes heartbeat rows from `path`.
+
+    Windows and unmatched rows wait for later events. Where none will come, `beat` lands a row
+    that is later than all, in a batch of its own, and the watermark passes what is held.
+    """
+    spark = df.sparkSession
+    if not path_exists(spark, path):
+        spark.createDataFrame([], df.schema).write.parquet(path)
+    return df.unionByName(spark.readStream.schema(df.schema).parquet(path))
+
+
+def beat(spark: SparkSession, path: str, schema: T.StructType, ts: str, at: datetime, values: dict | None = None) -> None:
+    """Land one heartbeat row: `ts` is `at`, the columns in `values` are set, all others are NULL.
+
+    It must pass the filters before the watermark, join keys that may not be NULL among them. Nothing comes out for
+    it: its own window, and it as an unmatched row, stay ahead of the watermark it makes. Heartbeats
+    of two joined inputs lie further apart than the join reaches.
+    """
+    row = {ts: at, **(values or {})}
+    columns = [F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(path)
+
+
+def beat_after(newest: datetime, reach_seconds: float = 0, late_minutes: int = LOOKBACK_MINUTES) -> datetime:
+    """A heartbeat time that lets everything up to `newest` be final: past its window or reach, plus the lateness."""
+    return newest + timedelta(seconds=2 * reach_seconds, minutes=2 * late_minutes + 60)
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -196,7 +229,11 @@ def drain(df: DataFrame, sink: BatchSink, checkpoint: str) -> None:
 
 
 def drain_to_files(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run an append-mode stream over what is there into Parquet files and read them back."""
+    """Run an append-mode stream over what is there into Parquet files and read them back.
+
+    Of several inputs the slowest sets the watermark, so that none loses rows to another.
+    """
+    df.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     (
         df.writeStream.format("parquet")
         .option("path", path)

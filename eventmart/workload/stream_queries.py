@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,49 +29,55 @@ def _event_stream(spark, sf_dir) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def _closed(spark, sf_dir, build, work, beats) -> DataFrame:
+    """Drain a stream over `events`, land heartbeats later than all of them, and drain what they close.
+
+    `build` makes the stream from the inputs, one for each heartbeat: its column values.
+    """
+    events = fam.table(spark, sf_dir, "events")
+    paths = [f"{work}/heartbeat{i}" for i in range(len(beats))]
+
+    def drained() -> DataFrame:
+        inputs = [streams.with_heartbeat(_event_stream(spark, sf_dir), path) for path in paths]
+        return streams.drain_to_files(build(*inputs), f"{work}/out", f"{work}/checkpoint")
+
+    out = drained()
+    newest = events.agg(F.max("ts").cast("timestamp_ntz")).first()[0]
+    if newest is None:
+        return out
+    for i, (path, values) in enumerate(zip(paths, beats)):
+        # Hours apart, so that no heartbeat is a partner of another.
+        streams.beat(spark, path, events.schema, "ts", streams.beat_after(newest) + timedelta(hours=i), values)
+    return drained()
+
+
 @query(
     """SELECT window_start, event_type, COUNT(*) AS n_events FROM (
-      SELECT event_type, ts, date_trunc('minute', ts) - to_minutes(CAST(EXTRACT(minute FROM ts) AS BIGINT) % 10) AS window_start FROM events)
-    WHERE window_start + INTERVAL 10 MINUTE <= (SELECT MAX(ts) - INTERVAL 20 MINUTE FROM events)
+      SELECT event_type, date_trunc('minute', ts) - to_minutes(CAST(EXTRACT(minute FROM ts) AS BIGINT) % 10) AS window_start FROM events)
     GROUP BY ALL"""
 )
 def stream_tumbling(spark, sf_dir):
-    """Closed windows only: the last ones wait for the watermark."""
+    """Every window; the heartbeat closes the last ones."""
     work = shared_path(spark, "stream")
-    counts = streams.tumbling_counts(_event_stream(spark, sf_dir), "ts", ["event_type"])
-    return streams.drain_to_files(counts, f"{work}/out", f"{work}/checkpoint")
-
-
-_CUT = (
-    "(SELECT LEAST((SELECT MAX(ts) FROM events), (SELECT MAX(ts) FROM events WHERE event_type = 'purchase')) "
-    "- INTERVAL 30 MINUTE)"
-)
+    return _closed(spark, sf_dir, lambda rows: streams.tumbling_counts(rows, "ts", ["event_type"]), work, [{}])
 
 
 @query(
-    f"""SELECT a.event_id, a.user_id, a.ts, b.event_id AS partner_id
+    """SELECT a.event_id, a.user_id, a.ts, b.event_id AS partner_id
     FROM events a LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
-      ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 5 MINUTE AND a.ts + INTERVAL 5 MINUTE
-    WHERE b.event_id IS NOT NULL OR a.ts <= {_CUT}"""
+      ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 5 MINUTE AND a.ts + INTERVAL 5 MINUTE"""
 )
 def stream_interval_join(spark, sf_dir):
-    """Every matched row, and the unmatched ones old enough to be final; younger ones are still held in state."""
+    """Every matched and every unmatched row; heartbeats of both inputs make the last unmatched ones final."""
     work = shared_path(spark, "stream")
-    ev = _event_stream(spark, sf_dir)
-    joined = streams.interval_join(
-        ev.select("event_id", "user_id", "ts"),
-        _event_stream(spark, sf_dir).where(F.col("event_type") == "purchase"),
-        ["user_id"],
-        "ts",
-        "ts",
-        300,
-        {"event_id": "partner_id"},
-    )
-    out = streams.drain_to_files(joined, f"{work}/out", f"{work}/checkpoint")
-    newest = fam.table(spark, sf_dir, "events").agg(
-        F.max("ts").alias("a"), F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("b")
-    ).select((F.least("a", "b") - F.expr("INTERVAL 30 MINUTES")).alias("cut")).first()
-    return out.where(F.col("partner_id").isNotNull() | (F.col("ts") <= time_literal(newest["cut"])))
+
+    def build(rows, others):
+        bought = others.where(F.col("event_type") == "purchase")
+        return streams.interval_join(
+            rows.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", 300, {"event_id": "partner_id"}
+        )
+
+    return _closed(spark, sf_dir, build, work, [{"user_id": 0}, {"user_id": 0, "event_type": "purchase"}])
 
 
 @query("SELECT event_id, user_id, event_type, event_timestamp FROM device_latest", ("device_latest",))

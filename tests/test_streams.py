@@ -114,3 +114,31 @@ def test_drain_with_refresh(spark, sf_dir, tmp_path):
     )
     assert w.read("gold_platform_events").agg(F.sum("total_events")).first()[0] == w.read("silver_device_events").count()
     assert w.read("gold_user_conversion").count() > 0
+
+
+def test_a_heartbeat_closes_windows_and_unmatched_rows(spark, tmp_path):
+    base = datetime(2024, 1, 29, 10)
+    schema = "k string, ts timestamp_ntz, v int"
+    late = base + timedelta(minutes=50)
+    rows = [("a", base, 1), ("a", base + timedelta(minutes=3), 2), ("b", late, 3), ("a", late, 4), ("c", late, 0)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    source = lambda i: streams.with_heartbeat(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/beat{i}")
+    counted = lambda: streams.drain_to_files(streams.tumbling_counts(source(0), "ts", ["k"]), f"{tmp_path}/o1", f"{tmp_path}/c1")
+    join = lambda: streams.interval_join(source(1), source(2).where("v > 1"), ["k"], "ts", "ts", 60, {"v": "w"})
+    joined = lambda: streams.drain_to_files(join(), f"{tmp_path}/o2", f"{tmp_path}/c2")
+    assert counted().count() == 1 and joined().count() == 4
+
+    def land_beats(hours):
+        for i in range(3):
+            at = streams.beat_after(late, 60) + timedelta(hours=hours + i)
+            streams.beat(spark, f"{tmp_path}/beat{i}", source(i).schema, "ts", at, {"k": "a", "v": 9})
+
+    land_beats(0)
+    want = [("a", 1), ("a", 2), ("b", 1), ("c", 1)]
+    assert sorted((r["k"], r["n_events"]) for r in counted().collect()) == want
+    pairs = [(0, None), (1, None), (2, 2), (3, 3), (4, 4)]
+    assert sorted(((r["v"], r["w"]) for r in joined().collect()), key=str) == sorted(pairs, key=str)
+    # Landing more heartbeats brings out no row of the input twice.
+    land_beats(9)
+    assert sorted((r["k"], r["n_events"]) for r in counted().collect() if r["window_start"] <= late) == want
+    assert sorted(((r["v"], r["w"]) for r in joined().where("v < 9").collect()), key=str) == sorted(pairs, key=str)
