@@ -14,7 +14,8 @@ returns a spanning forest of what is left, so its pairs never leave it, and star
 
 Confirmation: the full set of a family's node travels once, to its family or, where that is large, to one of its blocks. A
 block decides all its pairs on the full sets but those that already hang together. If a family has several blocks,
-candidates of unlike blocks that do not hang together yet are confirmed one by one in a second step, so no link is lost to the cut.
+candidates of unlike blocks that do not hang together yet are confirmed pair by pair, first the likeliest of any two parts
+and then all that are left, so no link is lost to the cut.
 
 Sets are compared as XXH64-mixed 64-bit hashes of their shingles; sizes are counted on word numbers, exactly.
 
@@ -40,8 +41,9 @@ LEAST = 85
 SHINGLE = 3
 SIZE = 64
 AGREE = 36
-#: Nodes of a region or block that are compared at once, and shingles of a block.
+#: Nodes of a region that are compared at once; nodes of a family that are, and their shingles.
 BLOCK = 2048
+FAMILY = 8192
 BLOCK_SHINGLES = 4 << 20
 #: Shingles whose minimum hashes are computed at a time.
 STRIDE = 1 << 11
@@ -189,7 +191,7 @@ def _edges(left: list, right: list) -> pa.RecordBatch:
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that span the candidates of each tile (region, tile, node, size, bytes)."""
+    """Edges that span the candidates of each tile (region, tile, node, size, bytes): from a part's smallest node to the others."""
     left: list[int] = []
     right: list[int] = []
     for table in grouped(batches, 2):
@@ -199,33 +201,48 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = np.arange(len(node))
         for i in range(len(node) - 1):
             hits = i + 1 + np.flatnonzero(may_link(sizes, marks, i))
-            hits = hits[label[hits] != label[i]]
-            if not len(hits):
-                continue
-            # One edge for each part that hangs on.
-            parts, first = np.unique(label[hits], return_index=True)
-            left += [int(node[i])] * len(parts)
-            right += node[hits[first]].tolist()
-            label[np.isin(label, parts)] = label[i]
+            parts = np.unique(label[hits])
+            if len(parts) and (parts != label[i]).any():
+                label[np.isin(label, parts) | (label == label[i])] = min(parts[0], label[i])
+        far = np.flatnonzero(label != np.arange(len(node)))
+        left += node[label[far]].tolist()
+        right += node[far].tolist()
         if len(left) >= 1 << 15:
             yield _edges(left, right)
             left, right = [], []
     yield _edges(left, right)
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates (region, tile, node, size, bytes, family, block, root) of one family in unlike blocks that do not hang together."""
-    for table in grouped(batches, 2):
-        if table.num_rows < 2:
-            continue
-        node, sizes, marks = _columns(table, 2)
-        family, block, root = (table.column(i).to_numpy() for i in (5, 6, 7))
-        for i in range(len(node) - 1):
-            hits = i + 1 + np.flatnonzero(may_link(sizes, marks, i))
-            hits = hits[(family[hits] == family[i]) & (block[hits] != block[i]) & (root[hits] != root[i])]
-            if len(hits):
-                pair = np.sort(np.stack((np.full(len(hits), node[i]), node[hits])), axis=0)
-                yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], ["u", "v"])
+def _cross_pairs(one_a_part: bool):
+    """Candidates (region, tile, node, size, bytes, family, block, root) of one family in unlike blocks that do not hang together.
+
+    With `one_a_part` only the likeliest of each two parts that meet in a tile.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, 2):
+            if table.num_rows < 2:
+                continue
+            node, sizes, marks = _columns(table, 2)
+            family, block, root = (table.column(i).to_numpy() for i in (5, 6, 7))
+            best: dict[tuple[int, int], tuple[int, int, int]] = {}
+            for i in range(len(node) - 1):
+                hits = i + 1 + np.flatnonzero(may_link(sizes, marks, i))
+                hits = hits[(family[hits] == family[i]) & (block[hits] != block[i]) & (root[hits] != root[i])]
+                if not len(hits):
+                    continue
+                if not one_a_part:
+                    yield _edges(np.minimum(node[i], node[hits]), np.maximum(node[i], node[hits]))
+                    continue
+                equal = (marks[hits] == marks[i]).sum(axis=1)
+                for j in np.argsort(-equal, kind="stable").tolist():
+                    parts = (min(root[i], root[hits[j]]), max(root[i], root[hits[j]]))
+                    if parts not in best or best[parts][0] < equal[j]:
+                        best[parts] = (int(equal[j]), min(node[i], node[hits[j]]), max(node[i], node[hits[j]]))
+            if best:
+                yield _edges([x[1] for x in best.values()], [x[2] for x in best.values()])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,15 +341,25 @@ def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns, pa.array([x.tobytes() for x in low], pa.binary())], [*batch.schema.names, "bytes"])
 
 
+def thinned(edges: DataFrame) -> DataFrame:
+    """Fewer edges `u < v` with the same components.
+
+    A node hangs on the smallest of its u, and so do its other u; these coincide for most nodes of a cluster. A node has as
+    many u as tiles, so the sets are small.
+    """
+    met = edges.groupBy("v").agg(F.min("u").alias("low"), F.collect_set("u").alias("us"))
+    other = met.select(F.col("low").alias("u"), F.explode("us").alias("v")).where("u != v").distinct()
+    return met.select(F.col("low").alias("u"), "v").unionByName(other)
+
+
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Confirmed edges `u, v` that span the links among `nodes` (node, id, n_shingles, mark, signature, bytes)."""
     tiles = stage(candidate_tiles(nodes))
-    spans = tiled(tiles).mapInArrow(_forests, "u bigint, v bigint").distinct()
-    family = components(spans)
+    family = components(thinned(tiled(tiles).mapInArrow(_forests, "u bigint, v bigint")))
     family = stage(family.select("node", F.col("root").alias("family")).unionByName(family.select("root", "root").distinct().toDF("node", "family")))
     own = family.join(nodes, "node")
     size = own.groupBy("family").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK)), F.ceil(F.col("shingles") / F.lit(BLOCK_SHINGLES)))
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(FAMILY)), F.ceil(F.col("shingles") / F.lit(BLOCK_SHINGLES)))
     own = own.join(size.select("family", blocks.alias("blocks")), "family")
     own = stage(own.select("family", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).alias("block"), "blocks", "node", "id", "n_shingles", "bytes", "mark"))
     texts = docs.select(docs["doc_id"].alias("id"), docs["text"].cast("string").alias("text"))
@@ -346,14 +373,16 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = stage(sets)
     edges = sets.repartition("family", "block").sortWithinPartitions("family", "block", "node")
     edges = stage(edges.mapInArrow(_confirmed, "u bigint, v bigint"))
-    # What the cut into blocks keeps apart: candidates of unlike blocks and parts, confirmed pair by pair.
-    part = components(edges)
-    place = apart.select("node", "family", "block").join(part, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    pairs = tiled(tiles.join(place, "node").select(*tiles.columns, "family", "block", "root"))
-    pairs = pairs.mapInArrow(_cross_pairs, "u bigint, v bigint").distinct()
-    full = sets.select("node", "held").dropDuplicates(["node"])
-    both = pairs.join(full.toDF("u", "a"), "u").join(full.toDF("v", "b"), "v").select("u", "v", "a", "b")
-    return edges.unionByName(both.mapInArrow(_confirmed_pairs, "u bigint, v bigint"))
+    # What the cut into blocks keeps apart: candidates of unlike blocks and parts, confirmed pair by pair. The likeliest pair of any
+    # two parts goes first, so that a large group of copies hangs together before the rest is looked at.
+    full = stage(sets.select("node", "held").dropDuplicates(["node"]))
+    for one_a_part in (True, False):
+        place = apart.select("node", "family", "block").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pairs = tiled(tiles.join(place, "node").select(*tiles.columns, "family", "block", "root"))
+        pairs = pairs.mapInArrow(_cross_pairs(one_a_part), "u bigint, v bigint").distinct()
+        both = pairs.join(full.toDF("u", "a"), "u").join(full.toDF("v", "b"), "v").select("u", "v", "a", "b")
+        edges = stage(edges.unionByName(both.mapInArrow(_confirmed_pairs, "u bigint, v bigint")))
+    return edges
 
 
 def classes(df: DataFrame) -> DataFrame:

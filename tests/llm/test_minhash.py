@@ -62,6 +62,7 @@ def texts(rng):
 @pytest.mark.parametrize("block, shingles", [(2048, 4 << 20), (12, 4 << 20), (40, 1500)])
 def test_classes_match_brute_force(spark, monkeypatch, block, shingles):
     monkeypatch.setattr(minhash, "BLOCK", block)  # dense regions, tiles and families of several blocks
+    monkeypatch.setattr(minhash, "FAMILY", block)
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     rng = random.Random(block)
     told = list(enumerate(texts(rng)))
