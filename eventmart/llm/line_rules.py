@@ -16,8 +16,9 @@ Edge cases: null text counts as empty (no words, so rejected); a text without
 line breaks is one line; blank lines are kept and never counted; repeated rows
 are judged each; a null id is passed on; other columns never enter.
 
-Windows are compared by XXH64 cut to the bits that their position leaves free
-(44 of 64 in a text of a million words).
+Windows are sorted by their XXH64 and then by their words, so equal hashes of unlike
+windows do not count as a repeat. A line over `LONG_LINE` characters that lacks a sentence end at its last
+character breaks the rule only if less than half of it lies in finished sentences.
 """
 
 from __future__ import annotations
@@ -38,7 +39,12 @@ SYMBOLS = "#*$%&|<>"
 #: Any character that the counts of symbols, the navigation or the hung-mark rule look for.
 MARKS = r"[|>»•·!?#*$%&<]"
 SEPARATOR = r"(^|[\x20\x09-\x0D])[|>»•·]($|[\x20\x09-\x0D])"
-SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+#: Marks that end a sentence, of several scripts.
+ENDS = "[.!?…:;。！？।॥؟۔]"
+SENTENCE_END = ENDS + r"[\"'”’»)\]]*[\x20\x09-\x0D]*$"
+#: All that a line holds up to the end of its last finished sentence.
+FINISHED = r"(?s)^.*" + ENDS + r"[\"'”’»)\]]*[\x20\x09-\x0D]"
+LONG_LINE = 300
 #: A word that ends in two or more marks, or in a symbol.
 HUNG_WORD = r"([!?#*$%&<>]{2,}[.,]*|[#*$%&<>])($|[\x20\x09-\x0D])"
 #: Phrases of stock lines, matched in lower case.
@@ -74,8 +80,9 @@ def line_fault(line: Column, marked: Column, stock: Column) -> Column:
         .when(marked & _dense(line, SEPARATOR), F.lit(NAVIGATION))
         .when(stock & (F.length(line) <= BOILERPLATE_CHARS) & has_stock(line), F.lit(STOCK_LINE))
         .when(marked & _dense(line, HUNG_WORD), F.lit(PUNCTUATION))
-        .when(~line.rlike(SENTENCE_END), F.lit(PUNCTUATION))
-        .otherwise(F.lit(KEPT))
+        .when(line.rlike(SENTENCE_END), F.lit(KEPT))
+        .when((F.length(line) > LONG_LINE) & (2 * F.length(F.regexp_extract(line, FINISHED, 0)) >= F.length(line)), F.lit(KEPT))
+        .otherwise(F.lit(PUNCTUATION))
     )
 
 
@@ -85,14 +92,20 @@ def window_hashes(words: Column, n: Column) -> Column:
     return F.transform(first, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
 
-def placed(hashes: Column, bits: Column) -> Column:
-    """Each hash above its position in one long, sorted: equal windows come together."""
+def placed(hashes: Column, words: Column) -> Column:
+    """Each window with its hash and place, sorted: equal windows come together."""
 
-    def pack(h, i):
-        high = F.call_function("shiftleft", F.call_function("shiftright", h, bits), bits)
-        return high.bitwiseOR(i.cast("long"))
+    def one(h, i):
+        return F.struct(h.alias("h"), F.get(words, i).alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"), i.cast("long").alias("i"))
 
-    return F.sort_array(F.transform(hashes, pack))
+    return F.sort_array(F.transform(hashes, one))
+
+
+def same_window(x: Column, y: Column) -> Column:
+    equal = x["h"] == y["h"]
+    for part in "abc":
+        equal = equal & (x[part] == y[part])
+    return F.coalesce(equal, F.lit(False))
 
 
 def judged(df: DataFrame, text: str = "text", max_lost: int = MAX_LOST_PERCENT) -> DataFrame:
@@ -125,19 +138,11 @@ def judged(df: DataFrame, text: str = "text", max_lost: int = MAX_LOST_PERCENT)
     n, fault, hashes = F.col("_lr_n"), F.col("_lr_fault"), F.col("_lr_hash")
     # Most texts repeat no window; only the others are sorted.
     repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
-    base = base.withColumns(
-        {"_lr_bits": F.ceil(F.log2(n + F.lit(1))).cast("int"), "_lr_hash": F.when(repeats, hashes)}
-    )
-    bits = F.col("_lr_bits")
-    base = base.withColumn("_lr_win", F.when(hashes.isNotNull(), placed(hashes, bits)))
+    base = base.withColumn("_lr_hash", F.when(repeats, hashes))
+    base = base.withColumn("_lr_win", F.when(hashes.isNotNull(), placed(hashes, words)))
     win = F.col("_lr_win")
-    base = base.withColumn("_lr_key", F.transform(win, lambda x: F.call_function("shiftright", x, bits)))
-    key = F.col("_lr_key")
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    twice = F.filter(
-        win, lambda x, i: (F.get(key, i) == F.get(key, i + 1)) | ((i > 0) & (F.get(key, i) == F.get(key, i - 1)))
-    )
-    base = base.withColumn("_lr_at", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask))))
+    twice = F.filter(win, lambda x, i: same_window(x, F.get(win, i + 1)) | ((i > 0) & same_window(x, F.get(win, i - 1))))
+    base = base.withColumn("_lr_at", F.sort_array(F.transform(twice, lambda x: x["i"])))
     at, three, none = F.col("_lr_at"), F.lit(3).cast("long"), F.lit(0).cast("long")
     steps = F.transform(at, lambda p, i: F.least(three, F.coalesce(F.get(at, i + 1) - p, three)))
     repeat = F.coalesce(F.aggregate(steps, none, lambda a, x: a + x), none)
@@ -178,8 +183,11 @@ def judged(df: DataFrame, text: str = "text", max_lost: int = MAX_LOST_PERCENT)
 
 def cleaned(df: DataFrame, max_lost: int = MAX_LOST_PERCENT) -> DataFrame:
     """The kept documents, their failing lines removed and `n_chars` set anew where there is one."""
-    names = df.columns
-    out = judged(df, max_lost=max_lost).where("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
-    return out.select(*names)
+    # The input travels as one column, so none of its names can meet one of the counts.
+    held = df.select(F.struct(*[df[c] for c in df.columns]).alias("held"), df["text"])
+    out = judged(held, max_lost=max_lost).where("kept")
+    own = {c: F.col("held").getField(c) for c in df.columns}
+    own["text"] = F.col("clean_text").cast(df.schema["text"].dataType)
+    if "n_chars" in own:
+        own["n_chars"] = F.length("clean_text").cast(df.schema["n_chars"].dataType)
+    return out.select(*[own[c].alias(c) for c in df.columns])

@@ -104,7 +104,8 @@ WITH d AS (
     CASE WHEN nav AND navs * 24 >= n THEN 1
          WHEN n <= 300 AND regexp_matches(lower(line), '(all rights reserved|licensed under|terms of use|terms of service|privacy policy|cookie|enable javascript|click here|sign up|log in to|login to|subscribe to|powered by|copyright ©|copyright \(c\))') THEN 2
          WHEN hung AND hungs * 24 >= n THEN 3
-         WHEN NOT regexp_matches(line, '[.!?…:;。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') THEN 3
+         WHEN NOT regexp_matches(line, '[.!?…:;。！？।॥؟۔]["''”’»)\]]*[\x20\x09-\x0D]*$')
+           AND NOT (n > 300 AND 2 * length(regexp_extract(line, '(?s)^.*[.!?…:;。！？।॥؟۔]["''”’»)\]]*[\x20\x09-\x0D]')) >= n) THEN 3
          ELSE 0 END AS fault FROM marks
 ), lost AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, sum(chars) AS word_chars,

@@ -55,3 +55,41 @@ def test_lines_are_judged_first_and_clean_documents_stay_as_they_are(spark):
     seen = {r.doc_id: r for r in line_rules.judged(df).collect()}
     assert (seen[2].n_navigation, seen[2].n_boilerplate, seen[2].n_punctuation) == (1, 1, 1)
     assert line_rules.cleaned(df.limit(0)).count() == 0 and line_rules.cleaned(df).columns == df.columns
+
+
+def test_equal_hashes_of_unlike_windows_are_no_repeat(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    whole = line_rules.window_hashes
+    monkeypatch.setattr(line_rules, "window_hashes", lambda words, n: F.transform(whole(words, n), lambda h: F.pmod(h, F.lit(3))))
+    all_texts = [t for t in texts() if len(t or "") < 3000]
+    df = spark.createDataFrame(list(enumerate(all_texts)), "doc_id bigint, text string")
+    for r in line_rules.judged(df).collect():
+        assert r.n_repeat_words == brute(all_texts[r.doc_id])[4], r.doc_id
+
+
+def test_long_lines_are_judged_by_their_finished_sentences(spark):
+    told = " ".join(" ".join(f"w{i}x{k}" for k in range(9)) + "." for i in range(30))
+    hindi = " ".join(" ".join(f"क{i}x{k}" for k in range(9)) + "।" for i in range(10))
+    rows = [(1, told + " and one more without an end"), (2, "x. " + told.replace(".", "")), (3, "short line without an end"), (4, hindi)]
+    got = {r.doc_id: r for r in line_rules.judged(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i].n_punctuation for i in (1, 2, 3, 4)] == [0, 1, 1, 0]
+    assert got[1].kept and not got[2].kept and got[4].kept
+
+
+def test_names_of_the_counts_are_free_for_columns(spark):
+    text = "\n".join(" ".join(f"w{i}x{k}" for k in range(9)) + "." for i in range(9))
+    df = spark.createDataFrame([(1, text, -5, "a", "b", "c", 0)], "doc_id bigint, text string, n_words int, KEPT string, _lr_text string, held string, n_chars bigint")
+    row = line_rules.cleaned(df).first()
+    assert tuple(row) == (1, text, -5, "a", "b", "c", len(text)) and line_rules.cleaned(df).columns == df.columns
+    from eventmart.llm import disclosure, mixing
+
+    odd = df.select("doc_id", "text", F_lit("s").alias("source"), F_lit(7).alias("uid"), F_lit(8).alias("copies"), F_lit(9).alias("new"), F_lit(1).alias("no"))
+    assert {tuple(r)[3:] for r in mixing.mixed_documents(odd).collect()} == {(7, 8, 9, 1)}
+    assert tuple(disclosure.sanitised(odd).first()) == (1, text, "s", 7, 8, 9, 1)
+
+
+def F_lit(x):
+    from pyspark.sql import functions as F
+
+    return F.lit(x)
