@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.bits import build_filter, may_hold
-from eventmart.llm.text import keep_columns
+from eventmart.llm.text import free_name, keep_columns
 from eventmart.session import stage
 
 REACH = 5
@@ -63,7 +63,8 @@ CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: Words lie between blanks of any kind, as `str.split` cuts them.
+TOKEN = re.compile(r"\S+")
 OUTER = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…¿¡。！？、·•–—€£"
 MASK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "gone": ""}
 TERMS_HELD = 200_000
@@ -319,14 +320,16 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     parts += [text[done:a], MASK[kind]]
                 done = max(done, b)
             out.append("".join(parts) + text[done:])
-        yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], ["_pii_uid", "_pii_text"])
+        yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], ["uid", "new"])
 
 
 def sanitised(df: DataFrame) -> DataFrame:
     """`df` with entities masked, weaker disclosing terms generalised and stronger ones removed."""
-    rows = stage(keep_columns(df, df.columns).withColumn("_pii_uid", F.monotonically_increasing_id()))
-    spans = spans_of(rows, "_pii_uid").where((F.size("base") > 0) | (F.size("terms") > 0)).drop("row")
-    touched = rows.select("_pii_uid", "text").join(spans, "_pii_uid").select("_pii_uid", "text", "base", "terms")
-    new = touched.mapInArrow(_rewrite, "_pii_uid bigint, _pii_text string")
-    out = rows.join(new, "_pii_uid", "left").withColumn("text", F.coalesce("_pii_text", "text"))
+    uid, new = free_name(df, "uid"), free_name(df, "new")
+    rows = stage(keep_columns(df, df.columns).withColumn(uid, F.monotonically_increasing_id()))
+    texts = rows.select(F.col(uid).alias("uid"), F.col("text"))
+    spans = spans_of(texts, "uid").where((F.size("base") > 0) | (F.size("terms") > 0)).drop("row")
+    touched = texts.join(spans, "uid").select("uid", "text", "base", "terms")
+    changed = touched.mapInArrow(_rewrite, "uid bigint, new string").toDF(uid, new)
+    out = rows.join(changed, uid, "left").withColumn("text", F.coalesce(new, "text"))
     return out.select(*df.columns)

@@ -23,6 +23,14 @@ def count_words(text: Column) -> Column:
     return F.size(split_words(text)).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Only these columns; the others never reach a task. Names that differ in case alone are ambiguous, as in Spark itself."""
     return df.select(*[df[name] for name in names])

@@ -87,3 +87,57 @@ def test_terms_of_rare_entities(spark):
     assert "mumblex" not in terms
     out = {r.doc_id: r.text for r in disclosure.sanitised(df).collect()}
     assert "[TERM]" in out[300] and "Qworple" not in out[300] and out[306] == "then ([TERM]) left" and "Mumblex" in out[304] and out[5] == rows[5][1]
+
+
+def test_terms_are_found_between_blanks_of_any_kind(spark):
+    blanks = [" ", "\u00a0", "\u3000", "\u0085", "\u001c", "\n", "\u2003"]
+    rows = [(i, f"text {i} says{b}Zorblax{b}zor@mail.example{b}here {'word' + str(i)} again") for i, b in enumerate(blanks)]
+    rows += [(100 + i, f"much later{b}Zorblax{b}alone {i}") for i, b in enumerate(blanks)]
+    rows += [(1000 + i, f"says here again later alone much text {i} {i * 7}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in disclosure.spans_of(df).collect()}
+    for doc, text in rows:
+        spans = [text[s["start"] : s["end"]] for s in got[doc].terms]
+        assert ("Zorblax" in spans) == ("Zorblax" in text), text
+    hidden = {r.doc_id: r.text for r in disclosure.sanitised(df).collect()}
+    assert not any("Zorblax" in t or "zor@" in t for t in hidden.values())
+
+
+def test_shares_match_brute_force(spark):
+    """P(entity | term) and disclosure of every disclosing term, recomputed pair by pair."""
+    import math
+    import random
+
+    rng = random.Random(8)
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    boxes = [f"box{i}@mail.example" for i in range(12)]
+    texts = []
+    for i in range(300):
+        own = rng.sample(words, 12)
+        if i % 4 == 0:
+            own.insert(rng.randrange(13), rng.choice(boxes))
+        texts.append(rng.choice([" ", "\u00a0", "\u3000"]).join(own))
+    texts += texts[:20]
+    tokens = [t.split() for t in texts]
+    beside, n_entity, n_term = {}, {}, {}
+    for text, own in zip(texts, tokens):
+        for t in {w for w in own if "@" not in w}:
+            n_term[t] = n_term.get(t, 0) + 1
+        for at, w in enumerate(own):
+            if "@" in w:
+                n_entity[w] = n_entity.get(w, 0) + 1
+                for t in set(own[max(0, at - disclosure.REACH) : at] + own[at + 1 : at + 1 + disclosure.REACH]):
+                    beside.setdefault((w, t), []).append(text)
+    want = {}
+    for (e, t), found in beside.items():
+        d, s, prior = len(found), len(set(found)), n_entity[e] / len(texts)
+        share = plain = min(1.0, d / n_term[t])
+        if s < disclosure.SUPPORT:
+            w = disclosure.PRIOR * d / s
+            share = (s + w * prior) / (s / plain + w)
+        bits = math.log2(share / prior)
+        if share >= disclosure.GENERALISE and bits >= disclosure.LEAST_BITS:
+            want[t] = (max(share, want.get(t, (0, 0))[0]), max(bits, want.get(t, (0, 0))[1]))
+    got = {r.term: (r.share, r.bits) for r in disclosure.disclosing_terms(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert set(got) == set(want)
+    assert all(abs(got[t][k] - want[t][k]) < 1e-9 for t in got for k in (0, 1))
