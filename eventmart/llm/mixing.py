@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventmart.llm.text import count_words, keep_columns, text_or_empty
+from eventmart.llm.text import count_words, free_name, keep_columns, text_or_empty
 from eventmart.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -50,8 +50,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     inside = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
     # One row per partition: the rows that come before it.
     parts = laid.groupBy("part").agg(F.count("*").alias("held"))
-    before = parts.alias("a").join(parts.alias("b"), F.col("b.part") < F.col("a.part"), "left")
-    before = before.groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.held"), F.lit(0)).alias("before"))
+    before = parts.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("before"))
     ranked = laid.join(before, "part").withColumn("rank", F.col("before") + inside - 1)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("rank", F.lit(len(weights))) + 1).cast("int"))
     ranked = stage(
@@ -203,10 +202,11 @@ def decisions(df: DataFrame, seed: int = 7) -> DataFrame:
 
 def mixed_documents(df: DataFrame, seed: int = 7) -> DataFrame:
     """The documents of the mix: a row for each copy, with the columns of `df`."""
-    rows = stage(keep_columns(df, df.columns).withColumn("_mix_uid", F.monotonically_increasing_id()))
+    uid, copies, no = (free_name(df, c) for c in ("uid", "copies", "no"))
+    rows = stage(keep_columns(df, df.columns).withColumn(uid, F.monotonically_increasing_id()))
     size = count_words(text_or_empty(rows)).alias("size")
-    sizes = rows.select(F.col("_mix_uid").alias("uid"), "doc_id", "source", size)
+    sizes = rows.select(F.col(uid).alias("uid"), "doc_id", "source", size)
     sizes = stage(sizes.withColumn("ident", F.xxhash64("doc_id", "size")))
-    taken = mix(sizes, seed).where("copies > 0").select(F.col("uid").alias("_mix_uid"), F.col("copies").cast("int").alias("_mix_copies"))
-    out = rows.join(taken, "_mix_uid")
-    return out.withColumn("_mix_no", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*df.columns)
+    taken = mix(sizes, seed).where("copies > 0").select(F.col("uid").alias(uid), F.col("copies").cast("int").alias(copies))
+    out = rows.join(taken, uid)
+    return out.withColumn(no, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*df.columns)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.text import keep_columns
+from eventmart.llm.text import free_name, keep_columns
 from eventmart.session import stage
 
 RADIUS = 3
@@ -41,6 +41,8 @@ SHINGLE = 3
 SEED = 42
 BANDS = (13, 13, 13, 13, 12)
 BLOCK = 2048
+#: Comparisons for a task.
+TASK_PAIRS = 1 << 23
 #: Shingles turned into bits at a time.
 STRIDE = 1 << 15
 
@@ -72,6 +74,12 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
 
 
+def _marked_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = [fingerprint(x.as_py()) for x in batch.column(1)]
+        yield pa.record_batch([batch.column(0), batch.column(2), pa.array(prints, pa.int64())], ["doc_id", "mark", "fp"])
+
+
 def fingerprints(df: DataFrame) -> DataFrame:
     """`doc_id` and `fp`, one row per document."""
     id_type = df.schema["doc_id"].dataType.simpleString()
@@ -178,7 +186,11 @@ def link_edges(nodes: DataFrame) -> DataFrame:
     keys = F.array(*[F.shiftleft(bands[i], BANDS[j]).bitwiseOR(bands[j]) for i, j in pairs])
     rows = nodes.select("fp", "node", F.posexplode(keys).alias("pair", "key"))
     # Buckets of one fingerprint have nothing to compare; large ones are cut into tiles.
-    counted = rows.groupBy("pair", "key").agg(F.count("*").alias("n")).where("n > 1")
+    counted = stage(rows.groupBy("pair", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    # Tasks by the comparisons to make, which grow faster than the rows that Spark would go by.
+    n = F.col("n").cast("double")
+    work = counted.agg(F.sum(n * n)).first()[0] or 0
+    tasks = int(work // TASK_PAIRS) + 1
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     met = rows.join(counted.withColumn("blocks", blocks), ["pair", "key"])
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -191,7 +203,7 @@ def link_edges(nodes: DataFrame) -> DataFrame:
         )
     )
     met = met.select("pair", "key", F.explode(tiles).alias("tile"), "fp", "node")
-    met = met.repartition("pair", "key", "tile").sortWithinPartitions("pair", "key", "tile")
+    met = met.repartition(tasks, "pair", "key", "tile").sortWithinPartitions("pair", "key", "tile")
     kind = nodes.schema["node"].dataType.simpleString()
     return met.mapInArrow(_tile_edges, f"u {kind}, v {kind}").distinct()
 
@@ -234,10 +246,21 @@ def classes(df: DataFrame) -> DataFrame:
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """One document of each class, that whose id names it; of rows that repeat an id, one.
+    """One row of each class: of the smallest id, and of rows that repeat it that of the smallest hash over all columns.
 
-    Rows without an id cannot be named, so they all stay.
+    Rows that repeat an id with unlike texts are documents of their own, each in the class of its text, and so
+    are equal rows, of which one stays. Rows without an id cannot be named, so they all stay and link nothing.
+    Nothing hangs on the order of rows; an empty table gives none.
     """
-    named = classes(df).where("doc_id = component_id").select("doc_id").distinct()
-    kept = df.where(df["doc_id"].isNotNull()).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    mark = free_name(df, "mark")
+    rows = df.withColumn(mark, F.xxhash64(*[df[c] for c in df.columns]))
+    kind = df.schema["doc_id"].dataType.simpleString()
+    named = rows.where(rows["doc_id"].isNotNull()).select(rows["doc_id"], rows["text"], rows[mark].alias("mark"))
+    prints = stage(named.mapInArrow(_marked_prints, f"doc_id {kind}, mark bigint, fp bigint"))
+    nodes = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("least"))
+    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()))
+    roots = components(link_edges(nodes.select("fp", "node")))
+    parts = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("part")).agg(F.min("least").alias("least"))
+    chosen = parts.select("least.doc_id", F.col("least.mark").alias(mark))
+    kept = rows.join(chosen, ["doc_id", mark], "left_semi").dropDuplicates(["doc_id", mark])
     return kept.select(*df.columns).unionByName(df.where(df["doc_id"].isNull()))

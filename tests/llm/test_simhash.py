@@ -103,3 +103,15 @@ def test_a_chain_becomes_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 99), (99, 98), (5, 5)], "u bigint, v bigint")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 99: 98, 100: 98}
+
+
+def test_rows_that_repeat_an_id_stay_by_their_text(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    rows = [(1, one, "x"), (1, two, "y"), (1, one, "z"), (2, two, "x"), (2, two, "x"), (None, one, "n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, mark string")
+    want = None
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        kept = sorted((tuple(r) for r in simhash.keep_one(spark.createDataFrame(order, df.schema).repartition(2)).collect()), key=str)
+        assert len(kept) == 3 and {r[:2] for r in kept} == {(1, one), (1, two), (None, one)}
+        want = want or kept
+        assert kept == want
