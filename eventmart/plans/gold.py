@@ -81,8 +81,13 @@ def platform_rollup(daily: DataFrame) -> DataFrame:
 
 def gold_platform_events(events: DataFrame, as_of: AsOf = None) -> DataFrame:
     """One row per platform, largest first."""
+    return platform_mart(platform_daily(events), as_of)
+
+
+def platform_mart(daily: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """The platform mart from its daily groups, just made or stored."""
     return (
-        platform_rollup(platform_daily(events))
+        platform_rollup(daily)
         .withColumns(
             {
                 "avg_events_per_user": safe_ratio("total_events", "total_unique_users"),

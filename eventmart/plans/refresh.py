@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -11,7 +12,7 @@ from eventmart.operators.incremental import LOOKBACK_MINUTES
 from eventmart.operators.quality import run_checks
 from eventmart.plans import bronze, gold, silver
 from eventmart.plans.checks import SUITES
-from eventmart.plans.store import LayerTable
+from eventmart.plans.store import ConcurrentCommit, LayerTable
 from eventmart.schemas import FAMILIES
 from eventmart.session import require_utc, staging
 from eventmart.sources.scan import SOURCE, require_sources
@@ -20,6 +21,9 @@ BRONZE = [f.table for f in FAMILIES.values()]
 SILVER = ["silver_device_events", "silver_transactions", "silver_user_activity"]
 GOLD = ["gold_platform_events", "gold_user_conversion", "gold_user_engagement"]
 
+#: The platform mart's groups by day, from which it is added up.
+DAILY = "gold_platform_daily"
+
 # table -> (key, partition column, sort column, marked columns)
 _LAYOUT = {
     **{f.table: (f.key, f.date, f.window, (SOURCE,)) for f in FAMILIES.values()},
@@ -32,6 +36,7 @@ _LAYOUT = {
     ),
     "silver_user_activity": ("activity_id", "event_date", "activity_window_start", ("activity_window_start",)),
     **{name: (None, None, None, ()) for name in GOLD},
+    DAILY: (None, "event_date", None, ()),
 }
 
 
@@ -98,7 +103,8 @@ class Warehouse:
         table = self.table(fam.table)
         snapshot = table.snapshot()
         mark = (snapshot.mark(SOURCE) if snapshot else None) or ""
-        return table.upsert(bronze.load(self.spark, directory, family, as_of=as_of, mark=mark), fam.key)
+        with staging(self.spark):
+            return table.upsert(bronze.load(self.spark, directory, family, as_of=as_of, mark=mark), fam.key)
 
     # ---- silver ----
 
@@ -107,39 +113,65 @@ class Warehouse:
         return self.table(name).bounds(window, self.lookback_minutes)
 
     def build_silver(self, name: str, as_of: datetime) -> int | None:
+        """Upsert the rows inside the lookback; those that the table holds already, but for when they were processed, change nothing."""
         table = self.table(name)
-        options = {
-            "target": table.read(),
-            "as_of": as_of,
-            "lookback_minutes": self.lookback_minutes,
-            "bounds": self._bounds(name),
-        }
         retract = None
         if name == "silver_user_activity" and self.retract_unmatched:
             retract = silver.stale_unmatched
-        if name == "silver_device_events":
-            batch = silver.silver_device_events(self.read("bronze_device_events"), **options)
-        elif name == "silver_transactions":
-            batch = silver.silver_transactions(self.read("bronze_transaction_events"), **options)
-        else:
-            batch = silver.silver_user_activity(
+
+        def batch(target: DataFrame | None) -> DataFrame:
+            options = {
+                "target": target,
+                "as_of": as_of,
+                "lookback_minutes": self.lookback_minutes,
+                "bounds": self._bounds(name),
+            }
+            if name == "silver_device_events":
+                return silver.silver_device_events(self.read("bronze_device_events"), **options)
+            if name == "silver_transactions":
+                return silver.silver_transactions(self.read("bronze_transaction_events"), **options)
+            return silver.silver_user_activity(
                 self.read("bronze_device_events"), self.read("bronze_session_events"), salts=self.salts, **options
             )
-        return table.upsert(batch, _LAYOUT[name][0], retract=retract)
+
+        return table.upsert(batch, _LAYOUT[name][0], retract=retract, ignore=("processed_at",))
 
     # ---- gold ----
 
-    def build_gold(self, name: str, as_of: datetime) -> int:
-        if name == "gold_platform_events":
-            mart = gold.gold_platform_events(self.read("silver_device_events"), as_of)
-        elif name == "gold_user_conversion":
-            mart = gold.gold_user_conversion(
-                self.read("silver_user_activity"), self.read("silver_transactions"), as_of
-            )
-        else:
-            with staging(self.spark):
-                return self.table(name).replace(gold.gold_user_engagement(self.read("silver_device_events")))
-        return self.table(name).replace(mart)
+    def _versions(self, names: tuple[str, ...]) -> dict[str, int]:
+        return {n: self.table(n).snapshot().version for n in names}
+
+    def build_gold(self, name: str, as_of: datetime) -> int | None:
+        """Build a mart again if a table that it is made from has changed; None if none has."""
+        table = self.table(name)
+        now = self._versions(INPUTS[name])
+        held = table.snapshot()
+        if held and all(held.batches.get(n) == v for n, v in now.items()):
+            return None
+        with staging(self.spark):
+            if name == "gold_platform_events":
+                self.build_daily()
+                return table.replace(gold.platform_mart(self.read(DAILY), as_of), now)
+            if name == "gold_user_conversion":
+                mart = gold.gold_user_conversion(
+                    self.read("silver_user_activity"), self.read("silver_transactions"), as_of
+                )
+            else:
+                mart = gold.gold_user_engagement(self.read("silver_device_events"))
+            return table.replace(mart, now)
+
+    def build_daily(self) -> list[str] | None:
+        """Bring the daily platform groups up to date: only days whose events have changed are grouped again. The days, or None for all."""
+        source, table = self.table("silver_device_events"), self.table(DAILY)
+        now = self._versions(("silver_device_events",))
+        held = table.snapshot()
+        since = held.batches.get("silver_device_events") if held else None
+        days = source.changed_days(since) if since is not None else None
+        if days is None:
+            table.replace(gold.platform_daily(source.read()), now)
+        elif days:
+            table.replace_days(gold.platform_daily(source.read_days(days)), days, now)
+        return days
 
     def check(self, name: str) -> DataFrame:
         """The report of a table's suite, evaluated once: a row per check."""
@@ -170,8 +202,10 @@ class Warehouse:
 
         def built(name: str) -> None:
             if self.keep_versions:
-                self.table(name).compact()
-                self.table(name).expire(self.keep_versions)
+                # Upkeep can wait where other writers are too busy for it.
+                with suppress(ConcurrentCommit):
+                    self.table(name).compact()
+                    self.table(name).expire(self.keep_versions)
             if name in SUITES:
                 reports[name] = self.check(name)
                 failed = [f"{r['check']} {r['column']}: {r['failing_rows']}" for r in reports[name].collect() if not r["passed"]]

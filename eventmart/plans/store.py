@@ -5,6 +5,11 @@ driver dies half way. So each commit writes new files under a new version and th
 publishes a small pointer file that names, per partition value, the directories
 that are live. Readers follow the newest pointer and keep a consistent view during
 a write; a failed commit leaves only files nobody points to.
+
+An upsert writes what has changed and no more. A side table says on which days a key
+has been stored; it lies in buckets by key hash, so that a batch reads the buckets of its
+keys, and then only the days they name. Batch rows that the table already holds are left
+out, and a batch without any change publishes no version.
 """
 
 from __future__ import annotations
@@ -16,16 +21,31 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.operators.incremental import Bounds, bounds_from_max, without_keys
+from eventmart.session import path_exists, stage, staging
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = "*"
 _STAMP = "_commit"
+_SIDE = "_side"
 COMMIT_TRIES = 5
+#: Folders of the side table that tells where keys are.
+KEY_BUCKETS = 64
+
+
+def key_bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    """Maps cannot be grouped by; their columns are compared as text."""
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType) or isinstance(dtype, T.ArrayType) and _holds_map(dtype.elementType)
 
 
 class ConcurrentCommit(RuntimeError):
@@ -39,7 +59,10 @@ class Snapshot:
     version: int
     schema: str
     entries: list[dict]
+    #: Last batch of each writer, and version of each table that the rows were made from.
     batches: dict[str, int]
+    #: Whether the side table knows the days of all keys.
+    keyed: bool = False
 
     def mark(self, column: str):
         """Largest value of a marked column over all live files; None when there is none."""
@@ -100,11 +123,11 @@ class LayerTable:
         finally:
             stream.close()
         body = json.loads(text)
-        return Snapshot(version, body["schema"], body["entries"], body["batches"])
+        return Snapshot(version, body["schema"], body["entries"], body["batches"], body.get("keyed", False))
 
     def _publish(self, snapshot: Snapshot) -> None:
         body = json.dumps(
-            {"schema": snapshot.schema, "entries": snapshot.entries, "batches": snapshot.batches}
+            {"schema": snapshot.schema, "entries": snapshot.entries, "batches": snapshot.batches, "keyed": snapshot.keyed}
         )
         # Rival writers have temporary files of their own, and a rename that does not overwrite lets one win.
         final = f"{self.path}/_versions/{snapshot.version:010d}.json"
@@ -204,9 +227,32 @@ class LayerTable:
             for r in rows
         ]
 
-    def replace(self, df: DataFrame) -> int:
-        """Full refresh: the table becomes `df`."""
-        return self._retried(lambda: self._replace(df))
+    def replace(self, df: DataFrame, made_from: dict[str, int] | None = None) -> int:
+        """Full refresh: the table becomes `df`. `made_from` notes the versions of the tables it comes from."""
+        return self._retried(lambda: self._replace(df, None, made_from))
+
+    def replace_days(self, df: DataFrame, days: list[str], made_from: dict[str, int] | None = None) -> int:
+        """The table's rows of these days become `df`, the others stay."""
+        return self._retried(lambda: self._replace(df, set(days), made_from))
+
+    def changed_days(self, since: int) -> list[str] | None:
+        """Days whose files differ between a version and the newest; None where the older one has expired."""
+        known = self.versions()
+        if since not in known:
+            return None
+        files = []
+        for version in (since, known[-1]):
+            days: dict[str, set] = {}
+            for e in self.snapshot(version).entries:
+                days.setdefault(e["part"], set()).add(e["write"])
+            files.append(days)
+        return sorted(d for d in {**files[0], **files[1]} if files[0].get(d) != files[1].get(d))
+
+    def read_days(self, days: list[str]) -> DataFrame:
+        """The rows of some days, from their files alone."""
+        snapshot = self.snapshot()
+        entries = [e for e in snapshot.entries if e["part"] in set(days)]
+        return self._read_entries(entries, T.StructType.fromJson(json.loads(snapshot.schema)))
 
     def _retried(self, commit):
         """Run a commit again, from the then newest version, when a rival published first."""
@@ -217,62 +263,141 @@ class LayerTable:
                 if not left:
                     raise
 
-    def _replace(self, df: DataFrame) -> int:
+    def _replace(self, df: DataFrame, days: set[str] | None, made_from: dict[str, int] | None) -> int:
         snapshot = self.snapshot()
         version = snapshot.version + 1 if snapshot else 1
         entries = self._write(df, version)
-        self._publish(Snapshot(version, df.schema.json(), entries, snapshot.batches if snapshot else {}))
+        if days is not None and snapshot:
+            entries = [e for e in snapshot.entries if e["part"] not in days] + entries
+        batches = {**(snapshot.batches if snapshot else {}), **(made_from or {})}
+        self._publish(Snapshot(version, df.schema.json(), entries, batches))
         return version
 
     def upsert(
         self,
-        batch: DataFrame,
+        batch: DataFrame | Callable[[DataFrame | None], DataFrame],
         key: str,
         writer: str | None = None,
         batch_id: int | None = None,
         retract: Callable[[DataFrame], DataFrame] | None = None,
+        ignore: tuple[str, ...] = (),
     ) -> int | None:
         """Keyed upsert: stored rows with a key of the batch go, the batch rows come.
 
-        A day whose stored rows are all kept is not rewritten, it only gains files.
-        `retract` derives further keys to remove from the rows just written. A `writer` that repeats a
-        `batch_id` it has already committed changes nothing and gets None.
+        `batch` may be a function of the table as it is (None before the first commit). It is
+        evaluated against the version that the commit replaces, again if a rival was first, so that a
+        condition on stored rows holds when it is published.
+
+        Only keys whose rows differ from the stored ones are written, as multisets and with NULL equal to
+        NULL; columns in `ignore` do not count. Rows with a NULL key are always added. Days
+        without a changed key are not rewritten, they only gain files. `retract` derives further keys to remove from the rows
+        just written. A `writer` that repeats a `batch_id` it has already committed changes nothing and gets None.
         """
-        return self._retried(lambda: self._upsert(batch, key, writer, batch_id, retract))
+        return self._retried(lambda: self._upsert(batch, key, writer, batch_id, retract, ignore))
 
-    def _upsert(self, batch, key, writer, batch_id, retract) -> int | None:
+    def _upsert(self, batch, key, writer, batch_id, retract, ignore) -> int | None:
         snapshot = self.snapshot()
         if snapshot and writer is not None and snapshot.batches.get(writer, -1) >= batch_id:
             return None
         version = snapshot.version + 1 if snapshot else 1
-        added = self._write(batch, version)
-        if snapshot and not added and writer is None:
-            return snapshot.version
-        schema = batch.schema
-        entries = added
-        if snapshot and snapshot.entries:
-            schema = T.StructType.fromJson(json.loads(snapshot.schema))
-            known = set(schema.names)
-            schema = T.StructType([*schema.fields, *[f for f in batch.schema.fields if f.name not in known]])
-            kept = snapshot.entries
+        stored_schema = T.StructType.fromJson(json.loads(snapshot.schema)) if snapshot else None
+        if callable(batch):
+            batch = batch(self._read_entries(snapshot.entries, stored_schema) if snapshot else None)
+        schema, entries = batch.schema, snapshot.entries if snapshot else []
+        if not entries:
+            added = self._write(batch, version)
+            if snapshot and not added and writer is None:
+                return snapshot.version
+            self._note_keys(added, batch.schema, key)
+            return self._commit(snapshot, version, schema, added, writer, batch_id, self.partition_by is not None)
+        known = set(stored_schema.names)
+        schema = T.StructType([*stored_schema.fields, *[f for f in batch.schema.fields if f.name not in known]])
+        with staging(self.spark):
+            rows = stage(batch)
+            rows = self._changed(snapshot, schema, rows, key, ignore)
+            added = self._write(rows, version)
+            if not added and writer is None:
+                return snapshot.version
             if added:
-                kept = self._without(snapshot, schema, self._batch_keys(added, batch.schema, key, retract), key, version)
-            entries = kept + added
+                written = self._read_entries(added, rows.schema)
+                keys = written.select(key) if retract is None else written.select(key).unionByName(retract(written).select(key))
+                entries = self._without(snapshot, schema, keys, key, version)
+                if snapshot.keyed:
+                    self._note_keys(added, rows.schema, key)
+        return self._commit(snapshot, version, schema, entries + added, writer, batch_id, snapshot.keyed)
+
+    def _commit(self, snapshot, version, schema, entries, writer, batch_id, keyed) -> int:
         batches = dict(snapshot.batches) if snapshot else {}
         if writer is not None:
             batches[writer] = batch_id
-        self._publish(Snapshot(version, schema.json(), entries, batches))
+        self._publish(Snapshot(version, schema.json(), entries, batches, keyed))
         return version
 
-    def _batch_keys(self, added, schema, key, retract) -> DataFrame:
-        """Keys to remove, read back from the files just written rather than recomputed."""
-        rows = self._read_entries(added, schema)
-        keys = rows.select(key)
-        return keys if retract is None else keys.unionByName(retract(rows).select(key))
+    # ---- where keys are ----
+
+    @property
+    def _keys_path(self) -> str:
+        return f"{self.path}/keys"
+
+    def _note_keys(self, added: list[dict], schema: T.StructType, key: str) -> None:
+        """Add (key, day) of rows just written to the side table, before they are published.
+
+        An entry of a commit that fails, or of a row that goes later, names a day in vain and costs a look; none is ever missing.
+        """
+        if self.partition_by is None or not added:
+            return
+        day = F.col(self.partition_by).cast("string")
+        rows = self._read_entries(added, schema).where(F.col(key).isNotNull())
+        rows = rows.select(F.col(key).cast("string").alias("key"), F.coalesce(day, F.lit(_NULL_PARTITION)).alias("day"))
+        bucket = key_bucket(F.col("key"))
+        rows.distinct().withColumn("bucket", bucket).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self._keys_path)
+
+    def key_days(self, keys: DataFrame, key: str) -> DataFrame:
+        """`key, day`: the days on which a key of `keys` has been stored. Only the buckets of the keys are read."""
+        own = keys.select(F.col(key).cast("string").alias("key")).where("key is not null").distinct()
+        own = own.withColumn("bucket", key_bucket(F.col("key")))
+        buckets = [r["bucket"] for r in own.select("bucket").distinct().collect()]  # KEY_BUCKETS at most
+        noted = self.spark.read.schema("key string, day string, bucket int").parquet(self._keys_path)
+        return noted.where(F.col("bucket").isin(buckets)).join(own, ["bucket", "key"]).select("key", "day")
+
+    def _days_of(self, snapshot: Snapshot, keys: DataFrame, key: str) -> list[dict]:
+        """The live entries on days that may hold one of the keys."""
+        if not snapshot.keyed or not path_exists(self.spark, self._keys_path):
+            return snapshot.entries
+        days = {r["day"] for r in self.key_days(keys, key).select("day").distinct().collect()}  # a row per day
+        return [e for e in snapshot.entries if e["part"] in days]
+
+    # ---- what changes ----
+
+    def _changed(self, snapshot, schema, batch: DataFrame, key: str, ignore: tuple[str, ...]) -> DataFrame:
+        """The batch's rows of keys that the table holds otherwise or not at all."""
+        near = self._days_of(snapshot, batch, key)
+        if not near:
+            return batch
+        names = [f.name for f in schema.fields if f.name not in ignore]
+
+        def whole(df: DataFrame) -> DataFrame:
+            """All columns of the schema, in a form that can be grouped by."""
+            out = []
+            for f in schema.fields:
+                if f.name in names:
+                    own = F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+                    out.append((F.to_json(F.struct(own)) if _holds_map(f.dataType) else own).alias(f.name))
+            return df.select(*out)
+
+        stored = whole(self._read_entries(near, schema)).join(batch.select(key).distinct(), key, "left_semi").select(*names)
+        both = whole(batch).withColumn(_SIDE, F.lit(1)).unionByName(stored.withColumn(_SIDE, F.lit(-1)))
+        # Grouping takes NULL for equal to NULL, in nested columns too.
+        other = both.groupBy(*names).agg(F.sum(_SIDE).alias(_SIDE)).where(f"{_SIDE} <> 0").select(key).distinct()
+        changed = batch.where(F.col(key).isNotNull()).join(other, key, "left_semi").select(*batch.columns)
+        return stage(changed.unionByName(batch.where(F.col(key).isNull())))
 
     def _without(self, snapshot, schema, keys: DataFrame, key: str, version: int) -> list[dict]:
         """Live entries after the rows with `keys` are gone; only days with hits are rewritten."""
-        stored = self._read_entries(snapshot.entries, schema)
+        near = self._days_of(snapshot, keys, key)
+        if not near:
+            return snapshot.entries
+        stored = self._read_entries(near, schema)
         part = F.col(self.partition_by).cast("string") if self.partition_by else F.lit(_WHOLE)
         hits = {
             r["_part"] if r["_part"] is not None else _NULL_PARTITION
@@ -291,6 +416,9 @@ class LayerTable:
 
     def compact(self, min_files: int = 8) -> int | None:
         """Rewrite the days that have gathered files of many commits into one each."""
+        return self._retried(lambda: self._compact(min_files))
+
+    def _compact(self, min_files: int) -> int | None:
         snapshot = self.snapshot()
         if snapshot is None:
             return None
@@ -304,7 +432,7 @@ class LayerTable:
         schema = T.StructType.fromJson(json.loads(snapshot.schema))
         rewritten = self._write(self._read_entries(many, schema), version)
         rest = [e for e in snapshot.entries if count[e["part"]] < min_files]
-        self._publish(Snapshot(version, snapshot.schema, rest + rewritten, snapshot.batches))
+        self._publish(Snapshot(version, snapshot.schema, rest + rewritten, snapshot.batches, snapshot.keyed))
         return version
 
     def expire(self, keep: int = 3) -> list[str]:

@@ -122,13 +122,17 @@ def newest_wins_sink(table: LayerTable, key: str, order_by: list[str], writer: s
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, key, order_by)
-        stored = table.read()
-        if stored is not None:
+        rows = latest_per_key(batch, key, order_by)
+
+        def newer(stored: DataFrame | None) -> DataFrame:
+            """What is newer than the version that the commit replaces."""
+            if stored is None:
+                return rows
             held = stored.select(F.col(key).alias("_key"), F.struct(*order_by).alias("_held"))
-            newest = newest.join(held, F.col(key) == F.col("_key"), "left")
-            newest = newest.where(F.col("_key").isNull() | (F.struct(*order_by) > F.col("_held"))).drop("_key", "_held")
-        table.upsert(newest, key, writer, batch_id)
+            met = rows.join(held, F.col(key) == F.col("_key"), "left")
+            return met.where(F.col("_key").isNull() | (F.struct(*order_by) > F.col("_held"))).drop("_key", "_held")
+
+        table.upsert(newer, key, writer, batch_id)
 
     return write
 
@@ -155,13 +159,16 @@ def lookback_sink(warehouse: Warehouse, as_of: datetime | None = None) -> BatchS
 
     def write(batch: DataFrame, batch_id: int) -> None:
         now = as_of or _now()
-        rows = silver.silver_device_events(
-            parse_raw(batch, "device", now),
-            target=table.read(),
-            as_of=now,
-            lookback_minutes=warehouse.lookback_minutes,
-            bounds=table.bounds("event_window_start", warehouse.lookback_minutes),
-        )
+
+        def rows(target: DataFrame | None) -> DataFrame:
+            return silver.silver_device_events(
+                parse_raw(batch, "device", now),
+                target=target,
+                as_of=now,
+                lookback_minutes=warehouse.lookback_minutes,
+                bounds=table.bounds("event_window_start", warehouse.lookback_minutes),
+            )
+
         table.upsert(rows, "event_id", name, batch_id)
 
     return write

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -199,3 +200,115 @@ def test_boundary_window_is_kept_for_devices_and_dropped_for_activity(spark, tmp
     ids = lambda name: sorted(r["event_id"] for r in w.read(name).collect())
     assert ids("silver_device_events") == ["edge", "in", "new"]
     assert ids("silver_user_activity") == ["in", "new"]
+
+
+def files(table):
+    return sorted((e["part"], e["write"]) for e in table.snapshot().entries)
+
+
+def test_rows_that_are_there_already_are_not_written(spark, table):
+    first = rows(spark, *[(f"k{i}", f"2024-01-{1 + i % 9:02d}", i) for i in range(100)], ("n", "2024-01-01", None))
+    table.upsert(first, "id")
+    before = files(table)
+    assert table.upsert(first, "id") == 1 and files(table) == before
+    assert table.upsert(rows(spark, ("k5", "2024-01-06", 5), ("n", "2024-01-01", None)), "id") == 1
+    # One changed row among ninety-nine equal ones: its day is rewritten, the other eight are left.
+    version = table.upsert(first.withColumn("v", F.when(F.col("id") == "k5", -1).otherwise(F.col("v"))), "id")
+    new = [e for e in table.snapshot().entries if int(e["write"][:10]) == version]
+    assert {e["part"] for e in new} == {"2024-01-06"} and sum(e["rows"] for e in new) == 11
+    assert dict(ids(table.read()))["k5"] == -1 and table.read().count() == 101
+    # Twice the same key is not the same as once.
+    table.upsert(rows(spark, ("k5", "2024-01-06", -1), ("k5", "2024-01-06", -1)), "id")
+    assert table.read().where("id = 'k5'").count() == 2
+
+
+def test_ignored_and_nested_columns(spark, tmp_path):
+    table = LayerTable(spark, str(tmp_path), "t")
+    make = lambda at, p, m: spark.createDataFrame([("a", at, p, m)], "id string, at int, p struct<x:int,y:string>, m map<string,int>")
+    table.upsert(make(1, (1, None), {"a": 1}), "id")
+    assert table.upsert(make(2, (1, None), {"a": 1}), "id", ignore=("at",)) == 1
+    assert table.upsert(make(2, (1, None), {"a": 2}), "id", ignore=("at",)) == 2
+    assert table.upsert(make(2, (1, "y"), {"a": 2}), "id", ignore=("at",)) == 3
+    assert table.upsert(make(3, (1, "y"), {"a": 2}), "id") == 4
+    assert table.read().first()["at"] == 3
+
+
+def test_one_row_reads_one_day(spark, table):
+    table.upsert(rows(spark, *[(f"k{i}", f"2024-01-{1 + i % 30:02d}", i) for i in range(3000)]), "id")
+    one = rows(spark, ("k7", "2024-01-08", -7))
+    assert [r["day"] for r in table.key_days(one, "id").collect()] == ["2024-01-08"]
+    near = table._days_of(table.snapshot(), one, "id")
+    assert [e["part"] for e in near] == ["2024-01-08"]
+    # Of the side table one bucket is read, and what is stored is not exchanged.
+    found = table.key_days(one, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+    stored_side = plan[: plan.index("FileScan")].splitlines()[-3:]
+    assert not any("Exchange" in line for line in stored_side)
+    table.upsert(one, "id")
+    assert dict(ids(table.read()))["k7"] == -7 and table.read().count() == 3000
+    # A key that moves to another day is found on its old one.
+    table.upsert(rows(spark, ("k7", "2024-02-01", 1)), "id")
+    assert table.read().where("id = 'k7'").select(F.col("day").cast("string")).collect()[0][0] == "2024-02-01"
+    assert table.read().count() == 3000
+
+
+def test_a_table_without_side_table_finds_its_keys(spark, table):
+    table.replace(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 1)))
+    table.upsert(rows(spark, ("a", "2024-01-05", 2)), "id")
+    assert ids(table.read()) == [("a", 2), ("b", 1)]
+
+
+def test_a_condition_holds_for_the_version_it_replaces(spark, table):
+    table.upsert(rows(spark, ("k", "2024-01-01", 1)), "id")
+    rival = LayerTable(spark, table.path.rsplit("/", 1)[0], "t", "day", "id", ("id",))
+    asked = []
+
+    def older(stored):
+        if not asked:  # a rival publishes a newer row while this batch is being made
+            asked.append(1)
+            rival.upsert(rows(spark, ("k", "2024-01-01", 9)), "id")
+        held = stored.select("id", F.col("v").alias("held"))
+        return rows(spark, ("k", "2024-01-01", 5)).join(held, "id").where("v > held").select("id", "day", "v")
+
+    table.upsert(older, "id")
+    assert ids(table.read()) == [("k", 9)]
+
+
+def test_compact_starts_again_after_a_rival(spark, table, monkeypatch):
+    for i in range(4):
+        table.upsert(rows(spark, (f"k{i}", "2024-01-01", i)), "id")
+    rival = LayerTable(spark, table.path.rsplit("/", 1)[0], "t", "day", "id", ("id",))
+    write, done = table._write, []
+
+    def slow(df, version):
+        if not done:
+            done.append(1)
+            rival.upsert(rows(spark, ("late", "2024-01-02", 1)), "id")
+        return write(df, version)
+
+    monkeypatch.setattr(table, "_write", slow)
+    assert table.compact(min_files=3) is not None
+    assert ids(table.read()) == [(f"k{i}", i) for i in range(4)] + [("late", 1)]
+
+
+def test_a_refresh_without_new_files_publishes_nothing_and_an_hour_changes_a_day(spark, sf_dir, tmp_path):
+    source = str(tmp_path / "in")
+    land(spark, sf_dir, source, "2024-01-01", "2024-01-12 10:00:00", "20240131_000000")
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.refresh(source, AS_OF)
+    names = [*("bronze_device_events", "silver_device_events", "silver_transactions", "silver_user_activity")]
+    names += ["gold_platform_daily", "gold_platform_events", "gold_user_conversion", "gold_user_engagement"]
+    versions = lambda: {n: w.table(n).snapshot().version for n in names}
+    before = versions()
+    w.refresh(source, datetime(2024, 1, 30, 1))
+    assert versions() == before
+    land(spark, sf_dir, source, "2024-01-12 10:00:00", "2024-01-12 11:00:00", "20240131_000010")
+    w.refresh(source, AS_OF)
+    daily = w.table("gold_platform_daily").snapshot()
+    assert {e["part"] for e in daily.entries if int(e["write"][:10]) == daily.version} == {"2024-01-12"}
+    assert len({e["part"] for e in daily.entries}) == 12
+    from eventmart.plans import gold
+
+    whole = gold.gold_platform_events(w.read("silver_device_events"), AS_OF)
+    assert w.read("gold_platform_events").exceptAll(whole).isEmpty() and whole.exceptAll(w.read("gold_platform_events")).isEmpty()
