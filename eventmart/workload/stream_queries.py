@@ -17,7 +17,7 @@ from eventmart.sources.scan import SOURCE
 from eventmart.streaming import streams
 from eventmart.workload import families as fam
 from eventmart.workload.oracle import AS_OF as SQL_AS_OF
-from eventmart.workload.queries import money_rounded, query
+from eventmart.workload.queries import REPEAT, SPLIT, money_rounded, query
 
 _AS_OF = datetime.fromisoformat(fam.AS_OF)
 _LOADED = datetime.fromisoformat(fam.LOADED_AT)
@@ -203,3 +203,23 @@ def refresh_reports(spark, sf_dir):
     reports = Warehouse(spark, work).refresh(f"{work}/in", _AS_OF, layers=("bronze",))
     failed = reports["bronze_device_events"].where(~F.col("passed"))
     return failed.select("check", "column", "failing_rows")
+
+
+@query(
+    f"""SELECT event_id, user_id, event_type, loaded_at FROM bronze_device
+      WHERE event_timestamp < {SPLIT} AND CAST(event_id AS BIGINT) NOT IN (SELECT CAST(event_id AS BIGINT) FROM bronze_device WHERE event_timestamp >= {REPEAT})
+    UNION ALL SELECT event_id, user_id, event_type, loaded_at + INTERVAL 2 HOUR FROM bronze_device WHERE event_timestamp >= {REPEAT}""",
+    ("bronze_device",),
+)
+def upsert_stored(spark, sf_dir):
+    """Two upserts into a stored table, and the second once more, which must publish nothing."""
+    columns = ["event_id", "user_id", "event_type", "loaded_at"]
+    rows = fam.bronze(fam.events(spark, sf_dir), "device").select(*columns, "event_date", "event_timestamp")
+    later = rows.where(F.col("event_timestamp") >= time_literal(fam.REPEAT_FROM))
+    later = later.withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 2 HOURS"))
+    table = LayerTable(spark, shared_path(spark, "store"), "device", "event_date", "event_id")
+    table.upsert(rows.where(F.col("event_timestamp") < time_literal(fam.SPLIT_AT)), "event_id")
+    version = table.upsert(later, "event_id")
+    if table.upsert(later, "event_id") != version:
+        raise AssertionError("an upsert without a change published a version")
+    return table.read().select(*columns)
