@@ -30,16 +30,24 @@ def mode_per_key(df: DataFrame, key: str, modes: dict[str, str]) -> DataFrame:
     Counting first, with map-side combine, leaves one row per distinct value for
     the second step, so no task ever holds one key's rows.
     """
+    return mode_of_counts(value_counts(df, key, list(modes)), key, modes)
+
+
+def value_counts(df: DataFrame, key: str, columns: list[str], by: str | None = None) -> DataFrame:
+    """`key, slot, value, n`: how often a key has a value in the column of that slot; `by` counts within groups of it."""
     known = df.where(F.col(key).isNotNull())
+    keys = [key, *([by] if by else [])]
     slots = F.array(
         *[
             F.struct(F.lit(i).alias("slot"), F.col(c).alias("value"))
-            for i, c in enumerate(modes)
+            for i, c in enumerate(columns)
         ]
     )
-    counted = (
-        known.select(key, F.inline(slots)).groupBy(key, "slot", "value").agg(F.count("value").alias("n"))
-    )
+    return known.select(*keys, F.inline(slots)).groupBy(*keys, "slot", "value").agg(F.count("value").alias("n"))
+
+
+def mode_of_counts(counted: DataFrame, key: str, modes: dict[str, str]) -> DataFrame:
+    """`mode_per_key` from its counts, one row per key, slot and value."""
     # A NULL value has n = 0 and ranks below every real one: it keeps its key alive.
     rank = F.struct(-F.col("n"), F.col("value"))
     return counted.groupBy(key).agg(

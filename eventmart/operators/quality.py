@@ -104,6 +104,11 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return df.where(_row_fails(check))
 
 
+def row_faults(checks: list[Check]) -> list[Column]:
+    """The number of rows that fail each check, one aggregate per row-wise check."""
+    return [F.coalesce(F.sum(F.when(_row_fails(c), F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint") for c in checks]
+
+
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """(check, column, failing_rows, passed), one row per check.
 
@@ -114,12 +119,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     parts = []
     if row_wise:
         totals = df.agg(
-            *[
-                F.coalesce(F.sum(F.when(_row_fails(c), F.lit(1)).otherwise(F.lit(0))), F.lit(0))
-                .cast("bigint")
-                .alias(f"_{i}")
-                for i, c in enumerate(row_wise)
-            ]
+            *[faults.alias(f"_{i}") for i, faults in enumerate(row_faults(row_wise))]
         )
         entries = [
             F.struct(

@@ -19,7 +19,7 @@ from eventmart.functions.scoring import (
     weighted_score,
 )
 from eventmart.functions.timecols import minutes_between, time_literal, whole_days_between
-from eventmart.operators.aggregates import conditional_sums, count_true, mode_per_key
+from eventmart.operators.aggregates import conditional_sums, count_true, mode_of_counts, mode_per_key, value_counts
 from eventmart.operators.joins import full_outer_merge, left_merge
 from eventmart.operators.ranks import pct_rank_avg
 from eventmart.schemas import DEVICE_TYPES, EVENT_TYPES
@@ -52,6 +52,9 @@ ENGAGEMENT_INPUT = [
 ]
 
 
+CHOICES = {"device_type": "primary_device", "platform": "primary_platform", "browser": "primary_browser"}
+
+
 def platform_daily(events: DataFrame) -> DataFrame:
     """Events, users and devices per platform, event type, device type and day."""
     return events.groupBy("platform", "event_type", "device_type", "event_date").agg(
@@ -205,11 +208,24 @@ def engagement_category(percentile: Column | str) -> Column:
 
 def primary_choices(events: DataFrame) -> DataFrame:
     """Most used device type, platform and browser per user."""
-    return mode_per_key(
-        events,
-        "user_id",
-        {"device_type": "primary_device", "platform": "primary_platform", "browser": "primary_browser"},
-    )
+    return mode_per_key(events, "user_id", CHOICES)
+
+
+def scored_user_days(events: DataFrame) -> DataFrame:
+    """Scored user days with their day as a date, to be stored by day."""
+    return engagement_scores(user_day_metrics(events)).withColumn("event_day", F.col("event_date").cast("date"))
+
+
+def daily_choices(events: DataFrame) -> DataFrame:
+    """How often a user used each device type, platform and browser on each day."""
+    return value_counts(events, "user_id", list(CHOICES), by="event_date")
+
+
+def engagement_mart(ranked: DataFrame, choices: DataFrame) -> DataFrame:
+    """The engagement mart from stored user days with their percentile, and from stored daily choices."""
+    added_up = choices.groupBy("user_id", "slot", "value").agg(F.sum("n").alias("n"))
+    labelled = ranked.drop("event_day").withColumn("engagement_category", engagement_category("engagement_percentile"))
+    return left_merge(labelled, mode_of_counts(added_up, "user_id", CHOICES), "user_id")
 
 
 def gold_user_engagement(events: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from eventmart.operators.incremental import LOOKBACK_MINUTES
 from eventmart.operators.quality import run_checks
 from eventmart.plans import bronze, gold, silver
+from eventmart.plans.check_state import CheckState
 from eventmart.plans.checks import SUITES
 from eventmart.plans.store import ConcurrentCommit, LayerTable
+from eventmart.plans.value_counts import ValueCounts
 from eventmart.schemas import FAMILIES
 from eventmart.session import require_utc, staging
 from eventmart.sources.scan import SOURCE, require_sources
@@ -21,8 +23,10 @@ BRONZE = [f.table for f in FAMILIES.values()]
 SILVER = ["silver_device_events", "silver_transactions", "silver_user_activity"]
 GOLD = ["gold_platform_events", "gold_user_conversion", "gold_user_engagement"]
 
-#: The platform mart's groups by day, from which it is added up.
+#: Groups by day, from which the platform and the engagement mart are added up.
 DAILY = "gold_platform_daily"
+USER_DAYS = "gold_user_days"
+DAILY_CHOICES = "gold_user_choices"
 
 # table -> (key, partition column, sort column, marked columns)
 _LAYOUT = {
@@ -37,6 +41,8 @@ _LAYOUT = {
     "silver_user_activity": ("activity_id", "event_date", "activity_window_start", ("activity_window_start",)),
     **{name: (None, None, None, ()) for name in GOLD},
     DAILY: (None, "event_date", None, ()),
+    USER_DAYS: (None, "event_day", None, ()),
+    DAILY_CHOICES: (None, "event_date", None, ()),
 }
 
 
@@ -150,31 +156,43 @@ class Warehouse:
             return None
         with staging(self.spark):
             if name == "gold_platform_events":
-                self.build_daily()
+                self.build_daily(DAILY)
                 return table.replace(gold.platform_mart(self.read(DAILY), as_of), now)
             if name == "gold_user_conversion":
                 mart = gold.gold_user_conversion(
                     self.read("silver_user_activity"), self.read("silver_transactions"), as_of
                 )
             else:
-                mart = gold.gold_user_engagement(self.read("silver_device_events"))
+                self.build_daily(USER_DAYS)
+                self.build_daily(DAILY_CHOICES)
+                scores = ValueCounts(self.spark, f"{self.root}/gold", "gold_score_counts")
+                scores.follow(self.table(USER_DAYS), "engagement_score")
+                ranked = scores.ranked(self.read(USER_DAYS), "engagement_score", "engagement_percentile")
+                mart = gold.engagement_mart(ranked, self.read(DAILY_CHOICES))
             return table.replace(mart, now)
 
-    def build_daily(self) -> list[str] | None:
-        """Bring the daily platform groups up to date: only days whose events have changed are grouped again. The days, or None for all."""
-        source, table = self.table("silver_device_events"), self.table(DAILY)
+    def build_daily(self, name: str = DAILY) -> list[str] | None:
+        """Bring stored daily groups up to date: only days whose events have changed are grouped again. The days, or None for all."""
+        source, table = self.table("silver_device_events"), self.table(name)
+        groups = {DAILY: gold.platform_daily, USER_DAYS: gold.scored_user_days, DAILY_CHOICES: gold.daily_choices}[name]
         now = self._versions(("silver_device_events",))
         held = table.snapshot()
         since = held.batches.get("silver_device_events") if held else None
         days = source.changed_days(since) if since is not None else None
         if days is None:
-            table.replace(gold.platform_daily(source.read()), now)
+            table.replace(groups(source.read()), now)
         elif days:
-            table.replace_days(gold.platform_daily(source.read_days(days)), days, now)
+            table.replace_days(groups(source.read_days(days)), days, now)
         return days
 
     def check(self, name: str) -> DataFrame:
-        """The report of a table's suite, evaluated once: a row per check."""
+        """The report of a table's suite, evaluated once: a row per check.
+
+        A table with a key is judged by what changed since the last report, others as a whole.
+        """
+        table, key = self.table(name), _LAYOUT[name][0]
+        if key and table.snapshot() and table.snapshot().keyed:
+            return CheckState(table, key, SUITES[name], f"{self.root}/checks").report()
         report = run_checks(self.read(name), SUITES[name])
         return self.spark.createDataFrame(report.collect(), report.schema)
 

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmart.functions.timecols import seconds_interval
 from eventmart.operators.dedup import latest_per_key
 from eventmart.operators.incremental import LOOKBACK_MINUTES
-from eventmart.operators.joins import spread_by_time
+from eventmart.operators.joins import HotKeys, spread_by_time
 from eventmart.plans import silver
 from eventmart.plans.bronze import parse_raw
 from eventmart.plans.refresh import Warehouse
@@ -80,10 +80,12 @@ def interval_join(
     take: dict[str, str],
     late_minutes: int = LOOKBACK_MINUTES,
     salts: int = 1,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Stream-stream left outer interval join.
 
-    State is spread over time buckets and, with `salts`, within a bucket. Both watermarks bound the state. A left row without a partner appears only once
+    State is spread over time buckets and, with `salts`, within a bucket. `hot` keys, measured on rows that have
+    landed, must stay the same for the life of a checkpoint, as rows in the state were dealt by them. Both watermarks bound the state. A left row without a partner appears only once
     the watermark shows that none can come any more.
     """
     span = seconds_interval(within_seconds)
@@ -96,7 +98,7 @@ def interval_join(
     for k in keys:
         condition = (F.col(k) == F.col(f"_r_{k}")) & condition
     timed, side, same = spread_by_time(
-        stream_time(left, left_ts, late_minutes), side, left_ts, "_r_ts", within_seconds, salts
+        stream_time(left, left_ts, late_minutes), side, left_ts, "_r_ts", within_seconds, salts, hot, keys, [f"_r_{k}" for k in keys]
     )
     joined = timed.join(side, same & condition, "leftOuter")
     return joined.select(

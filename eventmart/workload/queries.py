@@ -20,7 +20,7 @@ from eventmart.operators.incremental import (
     upsert,
     within_lookback,
 )
-from eventmart.operators.joins import full_outer_merge, interval_join, left_merge
+from eventmart.operators.joins import full_outer_merge, hot_keys, interval_join, left_merge
 from eventmart.operators.quality import (
     accepted_range,
     accepted_values,
@@ -559,7 +559,7 @@ _INTERVAL_SQL = """SELECT a.event_id, a.user_id, a.ts, b.event_id AS partner_id,
     ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 30 MINUTE AND a.ts + INTERVAL 30 MINUTE"""
 
 
-def _interval(spark, sf_dir, salts):
+def _interval(spark, sf_dir, salts, hot=None):
     rows = fam.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     return interval_join(
         rows.drop("event_type"),
@@ -570,6 +570,7 @@ def _interval(spark, sf_dir, salts):
         1800,
         {"event_id": "partner_id", "ts": "partner_ts"},
         salts=salts,
+        hot=hot,
     )
 
 
@@ -583,6 +584,14 @@ def interval_join_salted(spark, sf_dir):
     return _interval(spark, sf_dir, salts=4)
 
 
+@query(_INTERVAL_SQL)
+def interval_join_hot(spark, sf_dir):
+    """Keys found frequent in their time bucket are dealt out, the others are not copied."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = fam.table(spark, sf_dir, "events").select("user_id", "ts")
+    return _interval(spark, sf_dir, salts=1, hot=hot_keys(rows, ["user_id"], "ts", 1800, tasks))
+
+
 @query(
     """SELECT a.event_id, a.ts, b.event_id AS partner_id
     FROM events a LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b

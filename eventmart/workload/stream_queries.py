@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.timecols import time_literal
+from eventmart.plans import checks
 from eventmart.plans.bronze import parse_raw
+from eventmart.plans.check_state import CheckState
 from eventmart.plans.refresh import Warehouse
 from eventmart.plans.store import LayerTable
+from eventmart.plans.value_counts import ValueCounts
 from eventmart.session import shared_path
 from eventmart.sources.landing import land_batch
 from eventmart.sources.scan import SOURCE
 from eventmart.streaming import streams
 from eventmart.workload import families as fam
 from eventmart.workload.oracle import AS_OF as SQL_AS_OF
-from eventmart.workload.queries import REPEAT, SPLIT, money_rounded, query
+from eventmart.workload.queries import ORACLE, REPEAT, SPLIT, money_rounded, query
 
 _AS_OF = datetime.fromisoformat(fam.AS_OF)
 _LOADED = datetime.fromisoformat(fam.LOADED_AT)
@@ -223,3 +226,31 @@ def upsert_stored(spark, sf_dir):
     if table.upsert(later, "event_id") != version:
         raise AssertionError("an upsert without a change published a version")
     return table.read().select(*columns)
+
+
+@query(ORACLE["pct_rank_avg"])
+def pct_rank_kept(spark, sf_dir):
+    """Percentiles from counts that follow a stored table through three increments, the last of which corrects values."""
+    work = shared_path(spark, "ranks")
+    rows = fam.events(spark, sf_dir).select("event_id", "value", F.to_date("ts").alias("event_date"), "ts")
+    early, odd = F.col("ts") < time_literal(fam.SPLIT_AT), F.col("event_id") % 10 == 0
+    wrong = rows.withColumn("value", F.when(odd, F.col("value") + 1).otherwise(F.col("value")))
+    table = LayerTable(spark, work, "values", "event_date", "event_id")
+    counts = ValueCounts(spark, work, "value_counts")
+    for batch in (wrong.where(early), wrong.where(~early), rows.where(odd)):
+        table.upsert(batch.drop("ts"), "event_id")
+        counts.follow(table, "value")
+    return counts.ranked(table.read(), "value", "pct").select("event_id", "value", "pct")
+
+
+@query(ORACLE["check_suite_bronze_device"], ("bronze_copies",))
+def check_suite_kept(spark, sf_dir):
+    """A suite on two commits: the second report looks at the files that changed. Copies of a key come in one batch."""
+    work = shared_path(spark, "checks")
+    bronze = fam.bronze_device_with_copies(fam.events(spark, sf_dir))
+    table = LayerTable(spark, work, "device", "event_date", "event_id")
+    early = F.col("event_timestamp") < time_literal(fam.SPLIT_AT)
+    for batch in (bronze.where(early), bronze.where(~early)):
+        table.upsert(batch, "event_id")
+        report = CheckState(table, "event_id", checks.BRONZE_DEVICE, f"{work}/state").report()
+    return report

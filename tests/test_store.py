@@ -312,3 +312,9 @@ def test_a_refresh_without_new_files_publishes_nothing_and_an_hour_changes_a_day
 
     whole = gold.gold_platform_events(w.read("silver_device_events"), AS_OF)
     assert w.read("gold_platform_events").exceptAll(whole).isEmpty() and whole.exceptAll(w.read("gold_platform_events")).isEmpty()
+    whole = gold.gold_user_engagement(w.read("silver_device_events"))
+    mart = w.read("gold_user_engagement").select(*whole.columns)
+    assert mart.exceptAll(whole).isEmpty() and whole.exceptAll(mart).isEmpty() and mart.dtypes == whole.dtypes
+    for name in ("gold_user_days", "gold_user_choices"):
+        held = w.table(name).snapshot()
+        assert {e["part"] for e in held.entries if int(e["write"][:10]) == held.version} == {"2024-01-12"}
