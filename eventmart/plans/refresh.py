@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventmart.operators.incremental import LOOKBACK_MINUTES
 from eventmart.operators.quality import run_checks
 from eventmart.plans import bronze, gold, silver
+from eventmart.plans.catalog import publish
 from eventmart.plans.check_state import CheckState
 from eventmart.plans.checks import SUITES
 from eventmart.plans.store import ConcurrentCommit, LayerTable
@@ -71,7 +72,8 @@ class Warehouse:
 
     `salts` spreads a heavy user of the activity join further. With `keep_versions` each build is
     followed by upkeep: days in many files are folded and versions beyond the newest so many expire,
-    which readers of older ones must be able to bear.
+    which readers of older ones must be able to bear. With `catalog` the tables are named in the
+    session catalog after each build, in namespaces bronze, silver and gold.
     """
 
     spark: SparkSession
@@ -80,6 +82,7 @@ class Warehouse:
     retract_unmatched: bool = False
     salts: int = 1
     keep_versions: int | None = None
+    catalog: bool = False
 
     def __post_init__(self) -> None:
         require_utc(self.spark)
@@ -101,6 +104,10 @@ class Warehouse:
             self.read(name).createOrReplaceTempView(name)
         return built
 
+    def publish(self, name: str) -> str | None:
+        """Point `layer.name` in the catalog at the newest build, for every session; None where there is none."""
+        return publish(self.spark, self.table(name), name.split("_")[0], max(2, self.keep_versions or 0))
+
     # ---- bronze ----
 
     def load_bronze(self, directory: str, family: str, as_of: datetime) -> int | None:
@@ -224,6 +231,8 @@ class Warehouse:
                 with suppress(ConcurrentCommit):
                     self.table(name).compact()
                     self.table(name).expire(self.keep_versions)
+            if self.catalog:
+                self.publish(name)
             if name in SUITES:
                 reports[name] = self.check(name)
                 failed = [f"{r['check']} {r['column']}: {r['failing_rows']}" for r in reports[name].collect() if not r["passed"]]

@@ -228,6 +228,17 @@ def upsert_stored(spark, sf_dir):
     return table.read().select(*columns)
 
 
+@query("SELECT platform, user_id, customer_segment FROM gold_conversion", ("gold_conversion",))
+def catalog_conversion(spark, sf_dir):
+    """A mart by its name in the catalog, as another session sees it after the refresh."""
+    work = shared_path(spark, "refresh")
+    ev = fam.events(spark, sf_dir)
+    for family, raw in fam.RAW.items():
+        land_batch(raw(ev, as_text=True), f"{work}/in", family, fam.STAMP)
+    Warehouse(spark, work, catalog=True).refresh(f"{work}/in", _AS_OF)
+    return spark.newSession().sql("SELECT platform, user_id, customer_segment FROM gold.gold_user_conversion")
+
+
 @query(ORACLE["pct_rank_avg"])
 def pct_rank_kept(spark, sf_dir):
     """Percentiles from counts that follow a stored table through three increments, the last of which corrects values."""
@@ -243,7 +254,7 @@ def pct_rank_kept(spark, sf_dir):
     return counts.ranked(table.read(), "value", "pct").select("event_id", "value", "pct")
 
 
-@query(ORACLE["check_suite_bronze_device"], ("bronze_copies",))
+@query(ORACLE["check_suite_bronze_device"])
 def check_suite_kept(spark, sf_dir):
     """A suite on two commits: the second report looks at the files that changed. Copies of a key come in one batch."""
     work = shared_path(spark, "checks")
