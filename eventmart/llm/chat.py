@@ -172,6 +172,48 @@ def turn_events(conversations: DataFrame) -> DataFrame:
 
     Rows of one turn number are separate messages, ordered by role and text.
     """
+    return _numbered(conversations).select(
+        "conv_id", "seq", F.col("seq").alias("message_id"), F.lit("message").alias("kind"), "role", "text"
+    )
+
+
+def _numbered(conversations: DataFrame) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("seq", F.row_number().over(order).cast("long"))
-    return rows.select("conv_id", "seq", F.col("seq").alias("message_id"), F.lit("message").alias("kind"), "role", "text")
+    rows = conversations.select("conv_id", "turn", "role", "text")
+    return rows.withColumn("seq", F.row_number().over(order).cast("long"))
+
+
+#: Code points that the edit of a streamed turn sets; and events for each turn.
+EDITED, EVENTS = 16, 7
+
+
+def streamed_events(conversations: DataFrame) -> DataFrame:
+    """A table of finished turns as the log of a service that streams, edits and regenerates.
+
+    Each turn begins as a draft, another message follows it, and a regeneration drops both the draft's text and
+    that message. The text then comes as a wrong delta, an edit to the first `EDITED` code points, and the rest in
+    two deltas. Folded, the log gives the turns again; what comes from a null text or role is empty.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    half = F.call_function("div", F.length("text") + F.lit(EDITED), F.lit(2)).cast("int")
+    first = F.col("seq") * F.lit(EVENTS)
+    none = F.lit(None).cast("string")
+
+    def event(i, kind, role, text, own=True):
+        message = F.col("seq") if own else -F.col("seq")
+        return F.struct(
+            (first + F.lit(i)).alias("seq"), message.alias("message_id"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text")
+        )
+
+    begin = F.lit(EDITED + 1)
+    log = F.array(
+        event(0, "message", F.col("role"), F.lit("draft")),
+        event(1, "message", F.lit(ASSISTANT), F.lit("answer to a draft"), own=False),
+        event(2, "regenerate", none, none),
+        event(3, "delta", none, F.lit("wrong")),
+        event(4, "edit", none, F.substring("text", 1, EDITED)),
+        event(5, "delta", none, F.call_function("substring", F.col("text"), begin, half - F.lit(EDITED))),
+        event(6, "delta", none, F.call_function("substring", F.col("text"), F.greatest(half + F.lit(1), begin))),
+    )
+    rows = _numbered(conversations).withColumn("text", text)
+    return rows.select("conv_id", F.inline(log))

@@ -61,11 +61,11 @@ FROM sized GROUP BY conv_id
 
 @query(OP5_SQL)
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation, and -1, through the event log, the template and back."""
+    """Every conversation, and -1, as a log of drafts, deltas, edits and regenerations, folded, through the template and back."""
     told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], told.schema)
-    done = chat.read_back(chat.rendered(chat.conversations_of(chat.turn_events(told.unionByName(own)))))
+    done = chat.read_back(chat.rendered(chat.conversations_of(chat.streamed_events(told.unionByName(own)))))
     lines = F.transform("read_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return done.select(
         "conv_id",

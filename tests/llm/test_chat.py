@@ -72,3 +72,19 @@ def test_query_adds_the_marked_conversation(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_streamed_logs_fold_back_to_their_turns(spark):
+    rng = random.Random(6)
+    sizes = [0, 1, 2, 15, 16, 17, 18, 19, 33, 34, 500]
+    piece = lambda n: "".join(rng.choice(["a", "\\", "</s>", "é", "😀", "\n"]) for _ in range(n))[:n]
+    rows = [(c, t, rng.choice(["user", "assistant", None, ""]), rng.choice([piece(n), piece(n), None])) for c in range(9) for t, n in enumerate(sizes)]
+    rows += [(None, None, None, None), (3, 0, "user", "again"), (3, 0, "user", "again")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("seq", F.lit("clash"))
+    log = chat.streamed_events(df)
+    assert log.count() == chat.EVENTS * len(rows)
+    events = [tuple(r) for r in log.select("conv_id", "seq", "message_id", "kind", "role", "text").collect()]
+    of = lambda events: {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat.conversations_of(events).collect()}
+    assert of(log) == of(chat.turn_events(df)) == fold(events)
+    assert of(log.repartition(7)) == fold(events)
+    assert chat.conversations_of(chat.streamed_events(df.limit(0))).count() == 0
