@@ -11,6 +11,8 @@ other columns than the key is run on the whole table each time.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,73 +24,70 @@ _REPORT = "check string, column string, failing_rows long, passed boolean"
 
 
 class CheckState:
-    """What the last report of a suite on `table` found, stored under `root`."""
+    """What the last report of a suite on `table` found, stored under `root`.
+
+    Repeated keys are the rows of one table; the failing rows of each check and the version that was judged are
+    noted with them, in one commit.
+    """
 
     def __init__(self, table: LayerTable, key: str, checks: list[Check], root: str):
         self.table = table
         self.key = key
         self.checks = checks
         self.row_wise = [c for c in checks if c.kind != "unique"]
-        self.on_key = [c for c in checks if c.kind == "unique" and c.column == key]
-        self.faults = LayerTable(table.spark, root, f"{table.name}_faults")
         self.repeats = LayerTable(table.spark, root, f"{table.name}_repeats")
 
     def report(self) -> DataFrame:
         """(check, column, failing_rows, passed), the rows of `run_checks` on the whole table."""
         spark = self.table.spark
-        found = {}
         with staging(spark):
-            if self.row_wise:
-                found.update(self._row_wise())
-            if self.on_key:
-                self._count_repeats()
-                found.update({c: self.repeats.read().count() for c in self.on_key})
-            for c in self.checks:
-                if c not in found:
-                    found[c] = run_checks(self.table.read(), [c]).first()["failing_rows"]
-        ordered = [*self.row_wise, *[c for c in self.checks if c.kind == "unique"]]
-        rows = [(c.kind, c.column_label, found[c], found[c] == 0) for c in ordered]
-        return spark.createDataFrame(rows, _REPORT)
+            self._follow()
+        state = self.repeats.snapshot()
+        found = []
+        for c in [*self.row_wise, *[c for c in self.checks if c.kind == "unique"]]:
+            if c.kind != "unique":
+                n = state.batches[repr(c)]
+            elif c.column == self.key:
+                n = sum(e["rows"] for e in state.entries)
+            else:
+                n = run_checks(self.table.read(), [c]).first()["failing_rows"]
+            found.append((c.kind, c.column_label, n, n == 0))
+        return spark.createDataFrame(found, _REPORT)
 
-    def _since(self, state: LayerTable) -> tuple[int, int | None]:
-        """The newest version of the table, and the one that a state was made from, where that is still there."""
+    def _follow(self) -> None:
+        """Bring the state to the newest version of the table."""
         newest = self.table.versions()[-1]
-        held = state.snapshot()
-        seen = held.batches.get(self.table.name) if held else None
-        return newest, seen if seen in self.table.versions() else None
-
-    def _row_wise(self) -> dict[Check, int]:
-        newest, seen = self._since(self.faults)
+        held = self.repeats.snapshot()
+        notes = held.batches if held else {}
         labels = [repr(c) for c in self.row_wise]
-        held = {r["label"]: r["n"] for r in self.faults.read().collect()} if seen is not None else {}  # a row per check
-        if seen is None or set(held) != set(labels):
-            seen, held = None, dict.fromkeys(labels, 0)
-        if seen != newest:
-            columns = list(dict.fromkeys(c.column for c in self.row_wise))
-            for sign, files in zip((1, -1), self.table.difference(seen, columns)):
-                row = files.agg(*row_faults(self.row_wise)).first()
-                held = {label: held[label] + sign * row[i] for i, label in enumerate(labels)}
-            state = self.table.spark.createDataFrame(list(held.items()), "label string, n long")
-            self.faults.replace(state.coalesce(1), {self.table.name: newest})
-        return {c: held[repr(c)] for c in self.row_wise}
-
-    def _count_repeats(self) -> None:
-        """Bring the table of repeated keys, `key, n` with n above one, to the newest version."""
-        newest, seen = self._since(self.repeats)
+        seen = notes.get(self.table.name)
+        if seen not in self.table.versions() or any(label not in notes for label in labels):
+            seen = None
         if seen == newest:
             return
         key = self.key
+        columns = list(dict.fromkeys([key, *(c.column for c in self.row_wise)]))
+        come, gone = (df if df is None else stage(df) for df in self.table.difference(seen, columns))
+        faults = {label: notes[label] if seen is not None else 0 for label in labels}
+        for sign, files in ((1, come), (-1, gone)):
+            if files is not None and labels:
+                row = files.agg(*row_faults(self.row_wise)).first()
+                faults = {label: faults[label] + sign * row[i] for i, label in enumerate(labels)}
+        notes = {self.table.name: newest, **faults}
         if seen is None:
-            whole = self.table.read().select(key)
-            self.repeats.replace(_repeated(whole, key), {self.table.name: newest})
+            found = _repeated(come, key) if come is not None else self.table.read().select(key).withColumn("n", F.lit(0).cast("long"))
+            self.repeats.replace(found, notes)
+            return
+        sides = [df.select(key).withColumn("_n", F.lit(sign)) for df, sign in ((come, 1), (gone, -1)) if df is not None]
+        if not sides:
+            self.repeats.replace(self.repeats.read(), notes)
             return
-        come, gone = self.table.difference(seen, [key])
-        both = come.withColumn("_n", F.lit(1)).unionByName(gone.withColumn("_n", F.lit(-1)))
+        both = reduce(DataFrame.unionByName, sides)
         altered = both.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("_n").alias("_n")).where("_n <> 0")
         altered = stage(altered.select(key))
         now = _repeated(self.table.rows_of(altered, key).select(key), key)
         kept = self.repeats.read().join(altered, key, "left_anti")
-        self.repeats.replace(stage(kept.unionByName(now)), {self.table.name: newest})
+        self.repeats.replace(stage(kept.unionByName(now)), notes)
 
 
 def _repeated(df: DataFrame, key: str) -> DataFrame:

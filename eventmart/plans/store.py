@@ -248,16 +248,13 @@ class LayerTable:
             files.append(days)
         return sorted(d for d in {**files[0], **files[1]} if files[0].get(d) != files[1].get(d))
 
-    def difference(self, since: int | None, columns: list[str]) -> tuple[DataFrame, DataFrame] | None:
-        """`columns` of the files that came and of those that went between a version and the newest.
+    def difference(self, since: int | None, columns: list[str]) -> tuple[DataFrame | None, DataFrame | None]:
+        """`columns` of the files that came and of those that went between a version and the newest; None for no files.
 
-        Rows that a commit carried over into a new file are in both. None where the older version has
-        expired; `since=None` takes the whole table as new.
+        Rows that a commit carried over into a new file are in both. `since=None` takes the whole table as new; any
+        other version must still be there.
         """
-        known = self.versions()
-        if since is not None and since not in known:
-            return None
-        now = self.snapshot(known[-1])
+        now = self.snapshot()
         before = self.snapshot(since).entries if since is not None else []
 
         def name(e):
@@ -267,7 +264,7 @@ class LayerTable:
         schema = T.StructType.fromJson(json.loads(now.schema))
         come = [e for e in now.entries if name(e) not in held]
         gone = [e for e in before if name(e) not in live]
-        return tuple(self._read_entries(entries, schema).select(*columns) for entries in (come, gone))
+        return tuple(self._read_entries(entries, schema).select(*columns) if entries else None for entries in (come, gone))
 
     def rows_of(self, keys: DataFrame, key: str) -> DataFrame:
         """The live rows with a key of `keys`; only days that may hold one are read."""

@@ -11,6 +11,7 @@ NULL and NaN are not counted. Minus zero counts as zero. An empty table gives no
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,15 +47,13 @@ class ValueCounts:
         since = held.batches.get(source.name) if held else None
         if since == newest:
             return []
-        # A difference is of use as long as the older files are there.
-        changed = source.difference(since, [column])
         with staging(self.spark):
-            if since is None or changed is None:
-                counted = _counted(source.difference(None, [column])[0], column, 1)
+            if since not in source.versions():  # never seen, or expired
+                counted = _counted(source.read(), column, 1)
                 self._cut(stage(counted.groupBy("value").agg(F.sum("n").alias("n"))), {source.name: newest})
                 return None
-            come, gone = changed
-            both = _counted(come, column, 1).unionByName(_counted(gone, column, -1))
+            sides = [_counted(df, column, sign) for sign, df in zip((1, -1), source.difference(since, [column])) if df is not None]
+            both = reduce(DataFrame.unionByName, sides, self.spark.createDataFrame([], "value double, n long"))
             delta = both.groupBy("value").agg(F.sum("n").alias("n")).where("n <> 0")
             ranges = self._ranges(held)
             if not ranges:

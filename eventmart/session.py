@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -68,7 +69,14 @@ def path_exists(spark: SparkSession, name: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-_staged: list[str] = []
+_threads = threading.local()
+
+
+def _staged() -> list[str]:
+    """What this thread has staged; tables may be built side by side."""
+    if not hasattr(_threads, "staged"):
+        _threads.staged = []
+    return _threads.staged
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -80,7 +88,7 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "stage")
     df.write.parquet(path)
-    _staged.append(path)
+    _staged().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,12 +99,12 @@ def staging(spark: SparkSession):
     For jobs that store their result inside the block; a result still to be read
     needs its staged rows.
     """
-    start = len(_staged)
+    start = len(_staged())
     try:
         yield
     finally:
         conf = spark._jsc.hadoopConfiguration()
-        for name in _staged[start:]:
+        for name in _staged()[start:]:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)
-        del _staged[start:]
+        del _staged()[start:]
