@@ -18,8 +18,8 @@ A group of more than `GROUP_MOST` unlike contexts is not sorted in one task: its
 and counted by partial sums instead, with the same result.
 
 Polynomial hashes are modulo 2^64 over strings of at most `2 * LENGTH` bytes. Equal grams and sorted windows are
-verified on bytes; step 2 trusts two 64-bit hashes of equal windows, and documents are told apart by a 64-bit hash of id and
-text.
+verified on bytes; step 2 trusts two 64-bit hashes of equal windows. Documents are told apart by 128 bits, two hashes of id and
+text that start from different seeds, so that unlike documents of 10^10 share a key with a probability below 1e-18.
 
 Edge cases: null text is empty; texts under `LENGTH` bytes have nothing removed; a string that overlaps itself counts;
 repeated rows are documents of their own and remove each other; a null id is passed on; very long
@@ -112,17 +112,23 @@ def _bytes(text) -> bytes:
     return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-def row_key(df: DataFrame) -> Column:
-    return F.xxhash64(df["doc_id"], text_or_empty(df))
+#: The two halves of a row's key.
+KEY = ["uid", "uid2"]
+
+
+def row_key(df: DataFrame) -> list[Column]:
+    """128 bits that rows with equal id and text share, and no others."""
+    text = text_or_empty(df)
+    return [F.xxhash64(df["doc_id"], text).alias("uid"), F.xxhash64(F.lit("second"), text, df["doc_id"]).alias("uid2")]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, names = Hasher(), ["uid", "pos", "gram", "context"]
+    hasher, names = Hasher(), [*KEY, "pos", "gram", "context"]
     for batch in batches:
         out, n = [], 0
-        for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for *key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             at, gram, context = hasher.anchors(np.frombuffer(_bytes(text), np.uint8))
-            out.append((np.full(len(at), uid, np.int64), at, gram, context))
+            out.append((*(np.full(len(at), k, np.int64) for k in key), at, gram, context))
             n += len(at)
             if n > 1 << 16:
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names)
@@ -136,7 +142,7 @@ def _filtered(shared):
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(may_hold(shared.value, batch.column(2).to_numpy().view(np.uint64))))
+            yield batch.filter(pa.array(may_hold(shared.value, batch.column(3).to_numpy().view(np.uint64))))
 
     return run
 
@@ -348,12 +354,12 @@ def _counted_spans(contexts: DataFrame) -> DataFrame:
 
 
 def repeated_spans(df: DataFrame) -> DataFrame:
-    """`uid, spans` of rows with something to remove: `spans` are (begin, end), in no order and overlapping.
+    """`uid, uid2, spans` of rows with something to remove: `spans` are (begin, end), in no order and overlapping.
 
-    `uid` is `row_key`. A span may reach past the text's ends, where it is to be cut.
+    The first two are `row_key`. A span may reach past the text's ends, where it is to be cut.
     """
-    texts = df.select(row_key(df).alias("uid"), text_or_empty(df).alias("text"))
-    anchors = stage(texts.mapInArrow(_anchors, "uid bigint, pos bigint, gram bigint, context bigint"))
+    texts = df.select(*row_key(df), text_or_empty(df).alias("text"))
+    anchors = stage(texts.mapInArrow(_anchors, "uid bigint, uid2 bigint, pos bigint, gram bigint, context bigint"))
     grams = anchors.groupBy("gram").agg(
         F.count("*").alias("n"), (F.min("context") < F.max("context")).alias("unlike")
     )
@@ -386,9 +392,9 @@ def repeated_spans(df: DataFrame) -> DataFrame:
     spans = F.zip_with(
         "begins", "ends", lambda a, b: F.struct((F.col("pos") + a).alias("begin"), (F.col("pos") + b).alias("end"))
     )
-    met = anchors.join(verdicts, ["gram", "context"]).select("uid", spans.alias("spans"))
+    met = anchors.join(verdicts, ["gram", "context"]).select(*KEY, spans.alias("spans"))
     # A row gathers the spans of its own anchors.
-    return met.groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return met.groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,8 +427,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated(df: DataFrame) -> DataFrame:
     """`doc_id, n_bytes, n_removed, n_spans, kept` of every row; `kept` is bytes, as cuts may split a character."""
-    spans = repeated_spans(df).withColumnRenamed("uid", "_uid")
-    rows = df.select(df["doc_id"], text_or_empty(df).alias("text"), row_key(df).alias("_uid"))
-    met = rows.join(spans.hint("shuffle_hash"), "_uid", "left").select("doc_id", "text", "spans")
+    rows = df.select(df["doc_id"], text_or_empty(df).alias("text"), *row_key(df))
+    met = rows.join(repeated_spans(df), KEY, "left").select("doc_id", "text", "spans")
     kind = df.schema["doc_id"].dataType.simpleString()
     return met.mapInArrow(_cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
