@@ -8,7 +8,9 @@ a write; a failed commit leaves only files nobody points to.
 
 An upsert writes what has changed and no more. A side table says on which days a key
 has been stored; it lies in buckets by key hash, so that a batch reads the buckets of its
-keys, and then only the days they name. Batch rows that the table already holds are left
+keys, and then only the days they name. Each commit adds a note with its own keys, which the pointer
+names as it names data; `compact` folds notes of like size, so that there are few of them and a key is
+rewritten a logarithmic number of times. Batch rows that the table already holds are left
 out, and a batch without any change publishes no version.
 """
 
@@ -17,22 +19,25 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.operators.incremental import Bounds, bounds_from_max, without_keys
-from eventmart.session import path_exists, stage, staging
+from eventmart.session import stage, staging
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = "*"
 _STAMP = "_commit"
 _SIDE = "_side"
 COMMIT_TRIES = 5
+#: How errors name files that are gone.
+_MISSING = ("FILE_NOT_EXIST", "PATH_NOT_FOUND", "FileNotFoundException")
 #: Folders of the side table that tells where keys are.
 KEY_BUCKETS = 64
 
@@ -48,6 +53,21 @@ def _holds_map(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.MapType) or isinstance(dtype, T.ArrayType) and _holds_map(dtype.elementType)
 
 
+def foldable(notes: list[dict], least: int) -> list[dict]:
+    """The smallest notes up to the last that is at most twice as large as all before it; none if they are fewer than `least`.
+
+    The fold is half as large again as any of its notes, so a row is rewritten a logarithmic number of times; from the
+    `least`-th on, each note left is over twice the sum of all smaller ones, so their number is logarithmic too.
+    """
+    ordered = sorted(notes, key=lambda note: note["rows"])
+    n = total = 0
+    for i, note in enumerate(ordered):
+        if i and note["rows"] <= 2 * total:
+            n = i + 1
+        total += note["rows"]
+    return ordered[:n] if n >= least else []
+
+
 class ConcurrentCommit(RuntimeError):
     """Another writer published the version this commit was building."""
 
@@ -63,6 +83,8 @@ class Snapshot:
     batches: dict[str, int]
     #: Whether the side table knows the days of all keys.
     keyed: bool = False
+    #: Live parts of the side table: their folder and how many rows they stand for.
+    notes: list[dict] = field(default_factory=list)
 
     def mark(self, column: str):
         """Largest value of a marked column over all live files; None when there is none."""
@@ -123,11 +145,18 @@ class LayerTable:
         finally:
             stream.close()
         body = json.loads(text)
-        return Snapshot(version, body["schema"], body["entries"], body["batches"], body.get("keyed", False))
+        notes = body.get("notes", [])
+        return Snapshot(version, body["schema"], body["entries"], body["batches"], bool(notes) and body.get("keyed", False), notes)
 
     def _publish(self, snapshot: Snapshot) -> None:
         body = json.dumps(
-            {"schema": snapshot.schema, "entries": snapshot.entries, "batches": snapshot.batches, "keyed": snapshot.keyed}
+            {
+                "schema": snapshot.schema,
+                "entries": snapshot.entries,
+                "batches": snapshot.batches,
+                "keyed": snapshot.keyed,
+                "notes": snapshot.notes,
+            }
         )
         # Rival writers have temporary files of their own, and a rename that does not overwrite lets one win.
         final = f"{self.path}/_versions/{snapshot.version:010d}.json"
@@ -279,13 +308,21 @@ class LayerTable:
         return self._read_entries(entries, T.StructType.fromJson(json.loads(snapshot.schema)))
 
     def _retried(self, commit):
-        """Run a commit again, from the then newest version, when a rival published first."""
+        """Run a commit again, from the then newest version, when a rival published first.
+
+        A commit that has lost may also learn so from files that the rival's `expire` has deleted under it.
+        """
         for left in reversed(range(COMMIT_TRIES)):
+            known = self.versions()
             try:
                 return commit()
             except ConcurrentCommit:
                 if not left:
                     raise
+            except (Py4JJavaError, CapturedException) as error:
+                beaten = self.versions()[-1:] != known[-1:]
+                if not left or not beaten or not any(sign in str(error) for sign in _MISSING):
+                    raise
 
     def _replace(self, df: DataFrame, days: set[str] | None, made_from: dict[str, int] | None) -> int:
         snapshot = self.snapshot()
@@ -332,8 +369,8 @@ class LayerTable:
             added = self._write(batch, version)
             if snapshot and not added and writer is None:
                 return snapshot.version
-            self._note_keys(added, batch.schema, key)
-            return self._commit(snapshot, version, schema, added, writer, batch_id, self.partition_by is not None)
+            notes = self._note_keys(added, batch.schema, key)
+            return self._commit(snapshot, version, schema, added, writer, batch_id, notes)
         known = set(stored_schema.names)
         schema = T.StructType([*stored_schema.fields, *[f for f in batch.schema.fields if f.name not in known]])
         with staging(self.spark):
@@ -346,15 +383,14 @@ class LayerTable:
                 written = self._read_entries(added, rows.schema)
                 keys = written.select(key) if retract is None else written.select(key).unionByName(retract(written).select(key))
                 entries = self._without(snapshot, schema, keys, key, version)
-                if snapshot.keyed:
-                    self._note_keys(added, rows.schema, key)
-        return self._commit(snapshot, version, schema, entries + added, writer, batch_id, snapshot.keyed)
+            notes = snapshot.notes + self._note_keys(added, rows.schema, key) if snapshot.keyed else []
+        return self._commit(snapshot, version, schema, entries + added, writer, batch_id, notes)
 
-    def _commit(self, snapshot, version, schema, entries, writer, batch_id, keyed) -> int:
+    def _commit(self, snapshot, version, schema, entries, writer, batch_id, notes) -> int:
         batches = dict(snapshot.batches) if snapshot else {}
         if writer is not None:
             batches[writer] = batch_id
-        self._publish(Snapshot(version, schema.json(), entries, batches, keyed))
+        self._publish(Snapshot(version, schema.json(), entries, batches, bool(notes), notes))
         return version
 
     # ---- where keys are ----
@@ -363,32 +399,45 @@ class LayerTable:
     def _keys_path(self) -> str:
         return f"{self.path}/keys"
 
-    def _note_keys(self, added: list[dict], schema: T.StructType, key: str) -> None:
-        """Add (key, day) of rows just written to the side table, before they are published.
+    def _note_keys(self, added: list[dict], schema: T.StructType, key: str) -> list[dict]:
+        """The note that tells the days of the keys of rows just written; none without days or rows.
 
-        An entry of a commit that fails, or of a row that goes later, names a day in vain and costs a look; none is ever missing.
+        A key that goes later names a day in vain and costs a look; none is ever missing.
         """
         if self.partition_by is None or not added:
-            return
+            return []
         day = F.col(self.partition_by).cast("string")
         rows = self._read_entries(added, schema).where(F.col(key).isNotNull())
         rows = rows.select(F.col(key).cast("string").alias("key"), F.coalesce(day, F.lit(_NULL_PARTITION)).alias("day"))
-        bucket = key_bucket(F.col("key"))
-        rows.distinct().withColumn("bucket", bucket).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self._keys_path)
-
-    def key_days(self, keys: DataFrame, key: str) -> DataFrame:
+        return [self._write_note(rows, added[0]["write"], sum(e["rows"] for e in added))]
+
+    def _write_note(self, rows: DataFrame, write: str, size: int) -> dict:
+        """One exchange, of which adaptive execution merges small buckets and splits large ones."""
+        rows = rows.withColumn("bucket", key_bucket(F.col("key")))
+        adaptive = self.spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        rows = rows.hint("rebalance", "bucket") if adaptive else rows.repartition("bucket")
+        rows.sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(f"{self._keys_path}/{_STAMP}={write}")
+        return {"write": write, "rows": size}
+
+    def _read_notes(self, notes: list[dict]) -> DataFrame:
+        paths = [f"{self._keys_path}/{_STAMP}={n['write']}" for n in notes]
+        notes = self.spark.read.schema(f"key string, day string, {_STAMP} string, bucket int")
+        return notes.option("basePath", self._keys_path).parquet(*paths).select("key", "day", "bucket")
+
+    def key_days(self, keys: DataFrame, key: str, snapshot: Snapshot | None = None) -> DataFrame:
         """`key, day`: the days on which a key of `keys` has been stored. Only the buckets of the keys are read."""
+        snapshot = snapshot or self.snapshot()
         own = keys.select(F.col(key).cast("string").alias("key")).where("key is not null").distinct()
         own = own.withColumn("bucket", key_bucket(F.col("key")))
         buckets = [r["bucket"] for r in own.select("bucket").distinct().collect()]  # KEY_BUCKETS at most
-        noted = self.spark.read.schema("key string, day string, bucket int").parquet(self._keys_path)
-        return noted.where(F.col("bucket").isin(buckets)).join(own, ["bucket", "key"]).select("key", "day")
+        noted = self._read_notes(snapshot.notes).where(F.col("bucket").isin(buckets))
+        return noted.join(own, ["bucket", "key"]).select("key", "day")
 
     def _days_of(self, snapshot: Snapshot, keys: DataFrame, key: str) -> list[dict]:
         """The live entries on days that may hold one of the keys."""
-        if not snapshot.keyed or not path_exists(self.spark, self._keys_path):
+        if not snapshot.keyed:
             return snapshot.entries
-        days = {r["day"] for r in self.key_days(keys, key).select("day").distinct().collect()}  # a row per day
+        days = {r["day"] for r in self.key_days(keys, key, snapshot).select("day").distinct().collect()}  # a row per day
         return [e for e in snapshot.entries if e["part"] in days]
 
     # ---- what changes ----
@@ -439,7 +488,7 @@ class LayerTable:
         return untouched + self._write(survivors, version)
 
     def compact(self, min_files: int = 8) -> int | None:
-        """Rewrite the days that have gathered files of many commits into one each."""
+        """Rewrite the days that have gathered files of many commits into one each, and fold as many notes of keys into one."""
         return self._retried(lambda: self._compact(min_files))
 
     def _compact(self, min_files: int) -> int | None:
@@ -450,29 +499,42 @@ class LayerTable:
         for e in snapshot.entries:
             count[e["part"]] = count.get(e["part"], 0) + 1
         many = [e for e in snapshot.entries if count[e["part"]] >= min_files]
-        if not many:
+        folded = foldable(snapshot.notes, min_files)
+        if not many and not folded:
             return None
         version = snapshot.version + 1
-        schema = T.StructType.fromJson(json.loads(snapshot.schema))
-        rewritten = self._write(self._read_entries(many, schema), version)
-        rest = [e for e in snapshot.entries if count[e["part"]] < min_files]
-        self._publish(Snapshot(version, snapshot.schema, rest + rewritten, snapshot.batches, snapshot.keyed))
+        entries, notes = snapshot.entries, snapshot.notes
+        if many:
+            schema = T.StructType.fromJson(json.loads(snapshot.schema))
+            rewritten = self._write(self._read_entries(many, schema), version)
+            entries = [e for e in snapshot.entries if count[e["part"]] < min_files] + rewritten
+        if folded:
+            # The same keys lie on the same days in the rewritten files.
+            write = f"{version:010d}-{uuid.uuid4().hex}"
+            rows = self._read_notes(folded).select("key", "day").distinct()
+            notes = [n for n in notes if n not in folded] + [self._write_note(rows, write, sum(n["rows"] for n in folded))]
+        self._publish(Snapshot(version, snapshot.schema, entries, snapshot.batches, snapshot.keyed, notes))
         return version
 
     def expire(self, keep: int = 3) -> list[str]:
         """Delete pointers but the newest `keep`, and data no kept pointer names."""
         known = self.versions()
         gone, kept = known[:-keep], known[-keep:]
-        live = {e["write"] for v in kept for e in self.snapshot(v).entries}
+        states = [self.snapshot(v) for v in kept]
         for v in gone:
             fs, path = self._fs(f"{self.path}/_versions/{v:010d}.json")
             fs.delete(path, False)
-        fs, data = self._fs(f"{self.path}/data")
-        removed = []
         newest = kept[-1] if kept else 0
-        for status in fs.listStatus(data) if fs.exists(data) else []:
+        removed = self._sweep(f"{self.path}/data", {e["write"] for s in states for e in s.entries}, newest)
+        self._sweep(self._keys_path, {n["write"] for s in states for n in s.notes}, newest)
+        return removed
+
+    def _sweep(self, folder: str, live: set[str], newest: int) -> list[str]:
+        """Delete the writes in a folder that are not live; those of versions after the newest may belong to a commit under way."""
+        fs, path = self._fs(folder)
+        removed = []
+        for status in fs.listStatus(path) if fs.exists(path) else []:
             write = status.getPath().getName().split("=")[1]
-            # Files newer than the last pointer may belong to a commit still under way.
             if write not in live and int(write.split("-")[0]) <= newest:
                 fs.delete(status.getPath(), True)
                 removed.append(write)

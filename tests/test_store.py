@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventmart.plans.refresh import Warehouse
-from eventmart.plans.store import ConcurrentCommit, LayerTable, Snapshot
+from eventmart.plans.store import ConcurrentCommit, LayerTable, Snapshot, foldable
 from eventmart.sources.landing import land_batch
 from eventmart.workload import families as fam
 
@@ -292,6 +292,67 @@ def test_compact_starts_again_after_a_rival(spark, table, monkeypatch):
     assert ids(table.read()) == [(f"k{i}", i) for i in range(4)] + [("late", 1)]
 
 
+def test_notes_stay_few_and_are_seldom_rewritten():
+    notes, rewritten = [], 0
+    for i in range(5000):
+        notes.append({"write": str(i), "rows": 1 + i % 7})
+        if folded := foldable(notes, 8):
+            rows = sum(n["rows"] for n in folded)
+            rewritten += rows
+            notes = [n for n in notes if n not in folded] + [{"write": f"f{i}", "rows": rows}]
+        assert len(notes) <= 20
+    total = sum(n["rows"] for n in notes)
+    assert total == sum(1 + i % 7 for i in range(5000)) and rewritten <= 12 * total
+    assert foldable([], 1) == [] and foldable(notes[:1], 2) == []
+    assert foldable([{"rows": 100}, {"rows": 1}, {"rows": 1}], 2) == [{"rows": 1}, {"rows": 1}]
+
+
+def folders(table, name):
+    fs, path = table._fs(f"{table.path}/{name}")
+    return sorted(s.getPath().getName().split("=")[1] for s in fs.listStatus(path))
+
+
+def test_folded_notes_still_name_every_day(spark, table):
+    for i in range(5):
+        table.upsert(rows(spark, (f"k{i}", f"2024-01-0{1 + i}", i), (f"m{i}", "2024-01-09", i), (None, "2024-01-01", i)), "id")
+    table.upsert(rows(spark, ("k0", "2024-02-01", 7)), "id")
+    before = {(r["key"], r["day"]) for r in table._read_notes(table.snapshot().notes).collect()}
+    assert len(table.snapshot().notes) == 6 and table.compact(min_files=4) is not None
+    now = table.snapshot()
+    assert len(now.notes) == 1 and now.keyed
+    assert {(r["key"], r["day"]) for r in table._read_notes(now.notes).collect()} == before
+    assert {r["day"] for r in table.key_days(rows(spark, ("k0", "2024-03-01", 1)), "id").collect()} == {"2024-01-01", "2024-02-01"}
+    # A reader of the version before still has its notes, until it expires.
+    assert table._read_notes(table.snapshot(now.version - 1).notes).count() == len(before)
+    table.expire(keep=1)
+    assert folders(table, "keys") == [n["write"] for n in now.notes]
+    table.upsert(rows(spark, ("k3", "2024-01-20", -3), ("new", "2024-01-20", 1)), "id")
+    got = [(r["id"], r["v"]) for r in table.read().where("id is not null").collect()]
+    assert sorted(got) == sorted([("k0", 7), ("k1", 1), ("k2", 2), ("k3", -3), ("k4", 4), ("new", 1), *((f"m{i}", i) for i in range(5))])
+
+
+def test_a_commit_whose_files_a_rival_swept_starts_again(spark, table, monkeypatch):
+    table.upsert(rows(spark, ("a", "2024-01-01", 1)), "id")
+    rival = LayerTable(spark, table.path.rsplit("/", 1)[0], "t", "day", "id", ("id",))
+    without, done = table._without, []
+
+    def late(*args):
+        if not done:
+            done.append(1)
+            for i in range(2):
+                rival.upsert(rows(spark, (f"r{i}", "2024-01-02", i)), "id")
+            rival.expire(keep=1)
+        return without(*args)
+
+    monkeypatch.setattr(table, "_without", late)
+    table.upsert(rows(spark, ("a", "2024-01-03", 2)), "id")
+    assert ids(table.read()) == [("a", 2), ("r0", 0), ("r1", 1)]
+    # Files that are gone without a rival's commit are an error.
+    monkeypatch.setattr(table, "_without", lambda *args: spark.read.parquet(f"{table.path}/none"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        table.upsert(rows(spark, ("a", "2024-01-04", 3)), "id")
+
+
 def test_a_refresh_without_new_files_publishes_nothing_and_an_hour_changes_a_day(spark, sf_dir, tmp_path):
     source = str(tmp_path / "in")
     land(spark, sf_dir, source, "2024-01-01", "2024-01-12 10:00:00", "20240131_000000")
