@@ -185,3 +185,33 @@ def test_cnn_learns_what_labels_mark(spark):
     held = [r for r in got if r.held_out and r.doc_id < 800]
     assert sum(r.predicted != (r.doc_id % 4 != 0) for r in held) <= 0.02 * len(held)
     assert byte_cnn.scored(docs.limit(0), byte_cnn.fitted(docs, labels.limit(0))).count() == 0
+
+
+def test_cnn_scores_match_plain_sums(spark):
+    rng = np.random.default_rng(4)
+    p = {
+        "T": rng.normal(0, 0.2, (byte_cnn.WIDTH, 256, byte_cnn.FILTERS)), "b": rng.normal(0, 0.2, byte_cnn.FILTERS),
+        "w": rng.normal(0, 0.3, 3 * byte_cnn.FILTERS), "a": rng.normal(0, 0.1, 1),
+    }
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    say = lambda n: "".join(rng.choice(list("abc é\n日")) for _ in range(n))
+    texts = [None, "", "x", *(say(n) for n in (5, 60, 127, 128, 129, 300, 2500)), "ab" * 9000, "\x00" * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.score for r in byte_cnn.scored(docs, p).collect()}
+    step = byte_cnn.CHUNK // 2
+    for i, text in enumerate(texts):
+        data = list((text or "").encode())
+        chunks = max(2, -(-len(data) // step)) - 1
+        data += [0] * ((chunks + 1) * step + byte_cnn.WIDTH - 1 - len(data))
+        pooled = []
+        for c in range(chunks):
+            best = None
+            for at in range(c * step, c * step + byte_cnn.CHUNK):
+                said = sum(p["T"][k][data[at + k]].astype(float) for k in range(byte_cnn.WIDTH))
+                best = said if best is None else np.maximum(best, said)
+            pooled.append(np.maximum(best + p["b"], 0))
+        pooled = np.array(pooled)
+        x = [*pooled.mean(axis=0), *pooled.max(axis=0), *pooled.min(axis=0)]
+        logit = sum(a * b for a, b in zip(x, p["w"].tolist())) + float(p["a"][0])
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4)
+    assert len(got) == len(texts)

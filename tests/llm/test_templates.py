@@ -1,3 +1,5 @@
+import random
+
 from eventmart.llm import templates
 
 ITEM = "Anna Smith buys 12 apples for 3 dollars each. Later Anna Smith eats 12 apples and sells the rest to Bob."
@@ -59,3 +61,84 @@ def test_other_line_breaks_change_nothing(spark):
     items = spark.createDataFrame([(1, item), (2, lists)], "item_id bigint, text string")
     got = [(r.doc_id, r.item_id) for r in templates.leaks(docs, items).collect()]
     assert sorted(got) == sorted([(d, 1) for d, _ in rows if d != 201] + [(201, 2)])
+
+
+def plain_readings(text):
+    """Lists of (token, value): the template's token, and the slot's value or None."""
+    words, first, line = [], True, False
+    for word in (text or "").replace("\n", " \n ").split(" "):
+        if word == "\n":
+            line = True
+            continue
+        if not word.split():
+            continue
+        core = word.strip(templates.OUTER)
+        words.append((core, first, line))
+        first, line = word.rstrip("\"'”’»)]")[-1:] in (".", "?", "!", ":", ";", "…", "。", "！", "？"), False
+
+    def reading(with_lines):
+        out = []
+        for core, start, line in words:
+            start = start or with_lines and line
+            low = core.lower()
+            if not core:
+                continue
+            if templates.NUMBER.fullmatch(core) or low in templates.NUMBERS:
+                out.append(("<num>", low))
+            elif low in templates.UNITS:
+                out.append(("<unit>", low))
+            elif core[0].isupper() and core[1:].lower() == core[1:] and not start:
+                if not out or out[-1][0] != "<name>":
+                    out.append(("<name>", low))
+            else:
+                out.append((low, None))
+        return out
+
+    flat, broken = reading(False), reading(True)
+    return [flat] if flat == broken else [flat, broken]
+
+
+def plain_leaks(docs, items):
+    found = set()
+    for doc_id, text in docs:
+        for item_id, said in items:
+            for item in plain_readings(said):
+                size, n = len(item), min(templates.WINDOW, len(item))
+                covered = set()
+                for doc in plain_readings(text) if size >= templates.LEAST_TOKENS else []:
+                    for diagonal in range(-size, len(doc)):
+                        at, pairs = set(), set()
+                        for i in range(size - n + 1):
+                            a, b = item[i : i + n], doc[max(0, i + diagonal) : i + diagonal + n] if i + diagonal >= 0 else []
+                            if [t for t, _ in a] == [t for t, _ in b] and any(v is None for _, v in a):
+                                at.add(i)
+                                pairs |= {(x, y) for (_, x), (_, y) in zip(a, b) if x is not None}
+                        if len({x for x, _ in pairs}) >= templates.CONSISTENT * len(pairs):
+                            covered |= {i + j for i in at for j in range(n)}
+                if covered and len(covered) >= templates.COVERED * size:
+                    found.add((doc_id, item_id))
+    return found
+
+
+def test_leaks_match_brute_force(spark):
+    rng = random.Random(17)
+    words = "the red fox Anna Bob Carl 3 7 12 km hours runs to and sells apples, Then buys? two Paris .. ( over".split()
+    say = lambda n: "".join(rng.choice(words) + rng.choice([" "] * 9 + ["\n"]) for _ in range(n))
+    items = [(i, say(rng.choice([2, 3, 4, 6, 9, 14, 20]))) for i in range(40)] + [(90, None), (91, ""), (92, "3 7 12 3 7")]
+    swap = {"Anna": "Eva", "Bob": "Tom", "3": "45", "7": "8", "12": "600"}
+    docs = [(0, None), (1, ""), (2, "3 7 12 3 7 12")]
+    for i in range(3, 90):
+        said = rng.choice(items[:40])[1].split(" ")
+        kind = rng.randrange(5)
+        if kind == 1:  # other values, the same throughout
+            said = [swap.get(w, w) for w in said]
+        elif kind == 2:  # some values, at random
+            said = [swap.get(w, w) if rng.random() < 0.5 else w for w in said]
+        elif kind == 3:  # some words lost
+            said = [w for w in said if rng.random() < 0.9]
+        docs.append((i, say(rng.randint(0, 12)) + " ".join(said if kind < 4 else []) + " " + say(rng.randint(0, 12))))
+    got = templates.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    want = plain_leaks(docs, items)
+    assert len(want) > 40 and {(r.doc_id, r.item_id) for r in got.collect()} == want
