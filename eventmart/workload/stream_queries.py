@@ -33,25 +33,20 @@ def _event_stream(spark, sf_dir) -> DataFrame:
 
 
 def _closed(spark, sf_dir, build, work, beats) -> DataFrame:
-    """Drain a stream over `events`, land heartbeats later than all of them, and drain what they close.
+    """Land heartbeats later than all `events` and drain a stream over both.
 
+    One drain takes the events and the heartbeats in one batch: none is late, as a watermark moves after its
+    batch, and the batch without data that follows brings out what they close. State is written twice.
     `build` makes the stream from the inputs, one for each heartbeat: its column values.
     """
     events = fam.table(spark, sf_dir, "events")
     paths = [f"{work}/heartbeat{i}" for i in range(len(beats))]
-
-    def drained() -> DataFrame:
-        inputs = [streams.with_heartbeat(_event_stream(spark, sf_dir), path) for path in paths]
-        return streams.drain_to_files(build(*inputs), f"{work}/out", f"{work}/checkpoint")
-
-    out = drained()
     newest = events.agg(F.max("ts").cast("timestamp_ntz")).first()[0]
-    if newest is None:
-        return out
-    for i, (path, values) in enumerate(zip(paths, beats)):
+    for i, (path, values) in enumerate(zip(paths, beats) if newest is not None else ()):
         # Hours apart, so that no heartbeat is a partner of another.
         streams.beat(spark, path, events.schema, "ts", streams.beat_after(newest) + timedelta(hours=i), values)
-    return drained()
+    inputs = [streams.with_heartbeat(_event_stream(spark, sf_dir), path) for path in paths]
+    return streams.drain_to_files(build(*inputs), f"{work}/out", f"{work}/checkpoint")
 
 
 @query(
