@@ -35,7 +35,9 @@ def scan_by_schema(spark: SparkSession, directory: str, family: str, mark: str =
         own = F.lit(False)
         for first, after in ranges:
             own = own | ((path >= F.lit(first)) & ((path < F.lit(after)) if after else F.lit(True)))
-        frames.append(rows.where(own & (batch_name(fam) > F.lit(mark))).select("*", batch_name(fam).alias(SOURCE)))
+        if mark:  # no name is empty
+            own = own & (batch_name(fam) > F.lit(mark))
+        frames.append(rows.where(own).select("*", batch_name(fam).alias(SOURCE)))
     return frames
 
 

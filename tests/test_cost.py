@@ -2,6 +2,7 @@
 
 import os
 
+from eventmart.sources.drift import scan_by_schema
 from eventmart.workload import stream_queries
 
 ROWS = [("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:04:00"), ("c", "2024-01-01 02:00:00")]
@@ -23,3 +24,14 @@ def test_a_closed_stream_writes_its_state_twice(spark, tmp_path, monkeypatch):
     assert sorted(r[0] for r in rows if r[1] is None) == [2]
     commits = os.listdir(f"{tmp_path}/stream/checkpoint/commits")
     assert sorted(name for name in commits if name.isdigit()) == ["0", "1"]
+
+
+def test_a_first_load_takes_the_batch_name_once(spark, tmp_path):
+    """Without a mark no row is compared with it; with one, only later batches are read."""
+    for stamp in ("20240101_000000", "20240102_000000"):
+        spark.createDataFrame([(stamp,)], "event_id string").write.parquet(f"{tmp_path}/device_events_{stamp}.parquet")
+    (first,) = scan_by_schema(spark, str(tmp_path), "device")
+    assert first._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
+    assert first.count() == 2
+    (later,) = scan_by_schema(spark, str(tmp_path), "device", "device_events_20240101_000000.parquet")
+    assert [r["event_id"] for r in later.collect()] == ["20240102_000000"]
