@@ -67,7 +67,8 @@ class CheckState:
             return
         key = self.key
         columns = list(dict.fromkeys([key, *(c.column for c in self.row_wise)]))
-        come, gone = (df if df is None else stage(df) for df in self.table.difference(seen, columns))
+        # Files that stay as they are, read by column: storing them again would cost more than the second look.
+        come, gone = self.table.difference(seen, columns)
         faults = {label: notes[label] if seen is not None else 0 for label in labels}
         for sign, files in ((1, come), (-1, gone)):
             if files is not None and labels:

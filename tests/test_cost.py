@@ -2,6 +2,9 @@
 
 import os
 
+from eventmart.operators.quality import not_null, unique
+from eventmart.plans import check_state
+from eventmart.plans.store import LayerTable
 from eventmart.sources.drift import scan_by_schema
 from eventmart.workload import stream_queries
 
@@ -26,6 +29,18 @@ def test_a_closed_stream_writes_its_state_twice(spark, tmp_path, monkeypatch):
     assert sorted(name for name in commits if name.isdigit()) == ["0", "1"]
 
 
+def test_a_report_does_not_store_the_files_again(spark, tmp_path, monkeypatch):
+    table = LayerTable(spark, str(tmp_path), "t", "day", "id")
+    rows = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "id string, v int").selectExpr("*", "DATE'2024-01-01' AS day")
+    table.upsert(rows, "id")
+    stored = []
+    kept = check_state.stage
+    monkeypatch.setattr(check_state, "stage", lambda df: stored.append(df) or kept(df))
+    report = check_state.CheckState(table, "id", [unique("id"), not_null("v")], f"{tmp_path}/state").report()
+    assert {(r["check"], r["failing_rows"]) for r in report.collect()} == {("unique", 1), ("not_null", 1)}
+    assert stored == []
+
+
 def test_a_first_load_takes_the_batch_name_once(spark, tmp_path):
     """Without a mark no row is compared with it; with one, only later batches are read."""
     for stamp in ("20240101_000000", "20240102_000000"):
